@@ -3,6 +3,7 @@
 from tripmetrics.functions.numbers import (
     minutes,
     num,
+    number_or_null,
     plain_number,
     positive,
     present,
@@ -11,7 +12,7 @@ from tripmetrics.functions.numbers import (
     rounded,
     text,
 )
-from tripmetrics.functions.rules import clean_trip, keys_present, priced_distance
+from tripmetrics.functions.rules import clean_trip, keys_present
 from tripmetrics.functions.times import FORMATS, PICKUP_RULES, event_hour, event_time
 
 __all__ = [
@@ -23,10 +24,10 @@ __all__ = [
     "keys_present",
     "minutes",
     "num",
+    "number_or_null",
     "plain_number",
     "positive",
     "present",
-    "priced_distance",
     "ratio",
     "ratio_or_zero",
     "rounded",

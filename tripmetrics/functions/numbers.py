@@ -26,6 +26,11 @@ def present(c: ColumnOrName) -> Column:
     return col(c).isNotNull() & ~F.isnan(col(c))
 
 
+def number_or_null(c: ColumnOrName) -> Column:
+    """The number itself, NaN as null."""
+    return F.nanvl(col(c), F.lit(None).cast("double"))
+
+
 def positive(c: ColumnOrName) -> Column:
     """Above zero. NaN is excluded by name, because it sorts above every number."""
     return (col(c) > F.lit(0.0)) & ~F.isnan(col(c))

@@ -16,11 +16,6 @@ def clean_trip() -> Column:
     return positive(num("trip_time_in_secs")) & present(num("total_amount"))
 
 
-def priced_distance() -> Column:
-    """Distance above zero and a surcharge present."""
-    return positive(num("trip_distance")) & present(num("surcharge"))
-
-
 def keys_present(*names: str) -> Column:
     rule = F.lit(True)
     for name in names:

@@ -13,13 +13,18 @@ from pyspark.sql.types import DataType, StringType, TimestampNTZType, TimestampT
 from tripmetrics.functions.numbers import ColumnOrName, col
 
 # The accepted date-time forms (year-month-day, month/day/year and
-# ISO with T), each with the form the timestamp cast reads. Month, day, hour,
-# minute and second may have one digit; date and time may stand further apart.
+# ISO with T). Month, day, hour, minute and second may have one digit; date and
+# time may stand further apart than one blank. Each form is a list of patterns
+# with the rewrite that the timestamp cast needs, or None where it reads the
+# text as it is, which is what nearly every row takes.
 _CLOCK = r"(\d{1,2}:\d{1,2}:\d{1,2})$"
 FORMATS = {
-    "ymd": (r"^(\d{4}-\d{1,2}-\d{1,2})\s+" + _CLOCK, "$1 $2"),
-    "mdy": (r"^(\d{1,2})/(\d{1,2})/(\d{4})\s+" + _CLOCK, "$3-$1-$2 $4"),
-    "iso": (r"^(\d{4}-\d{1,2}-\d{1,2})T" + _CLOCK, "$1 $2"),
+    "ymd": (
+        (r"^\d{4}-\d{1,2}-\d{1,2} " + _CLOCK, None),
+        (r"^(\d{4}-\d{1,2}-\d{1,2})\s+" + _CLOCK, "$1 $2"),
+    ),
+    "mdy": ((r"^(\d{1,2})/(\d{1,2})/(\d{4})\s+" + _CLOCK, "$3-$1-$2 $4"),),
+    "iso": ((r"^\d{4}-\d{1,2}-\d{1,2}T" + _CLOCK, None),),
 }
 
 # How a pickup text is treated: strip blanks, cut to this many characters, forms tried.
@@ -39,13 +44,13 @@ def event_time(c: ColumnOrName, rule: str = "strict") -> Column:
         t = F.btrim(t, F.lit(_BLANKS))
     if width:
         t = F.substring(t, 1, width)
-    return F.coalesce(*[_by_form(t, *FORMATS[f]) for f in forms])
+    cases = [_case(t, pattern, rewrite) for f in forms for pattern, rewrite in FORMATS[f]]
+    return F.coalesce(*cases)
 
 
-def _by_form(t: Column, pattern: str, rewrite: str) -> Column:
-    return F.when(
-        t.rlike(pattern), F.regexp_replace(t, pattern, rewrite).try_cast("timestamp_ntz")
-    )
+def _case(t: Column, pattern: str, rewrite: str | None) -> Column:
+    readable = t if rewrite is None else F.regexp_replace(t, pattern, rewrite)
+    return F.when(t.rlike(pattern), readable.try_cast("timestamp_ntz"))
 
 
 def event_hour(c: ColumnOrName, dtype: DataType, rule: str = "strict") -> Column:

@@ -30,6 +30,7 @@ from tripmetrics.operators.shaping import (
     is_generic,
     layout_for_width,
     lines_to_columns,
+    name_columns,
     normalize,
     preview,
     rename_layout,
@@ -57,6 +58,7 @@ __all__ = [
     "layout_for_width",
     "line_facts",
     "lines_to_columns",
+    "name_columns",
     "normalize",
     "preview",
     "rename_layout",

@@ -16,7 +16,8 @@ from tripmetrics.functions import (
     keys_present,
     minutes,
     num,
-    priced_distance,
+    number_or_null,
+    positive,
     ratio,
 )
 from tripmetrics.schema import SKETCH_RSD
@@ -35,17 +36,22 @@ def hourly_ratio(trips: DataFrame, pickup: str = "strict") -> DataFrame:
 
     It is a mean of ratios, not a ratio of sums. ``pickup`` names the rule for
     text times (see ``functions.times.PICKUP_RULES``).
+
+    Only the distance is tested by a filter, which a columnar scan can use. Bad
+    surcharges and times turn into nulls that the aggregate leaves out, so each
+    of them is parsed once for each trip; as filters they would be parsed twice.
     """
     pickup_type = trips.schema["pickup_datetime"].dataType
+    counted = F.col("hour").isNotNull() & F.col("ratio").isNotNull()
     return (
-        trips.filter(priced_distance())
+        trips.filter(positive(num("trip_distance")))
         .select(
             event_hour("pickup_datetime", pickup_type, pickup).alias("hour"),
-            ratio(num("surcharge"), num("trip_distance")).alias("ratio"),
+            number_or_null(ratio(num("surcharge"), num("trip_distance"))).alias("ratio"),
         )
-        .filter(F.col("hour").isNotNull())
         .groupBy("hour")
-        .agg(F.avg("ratio").alias("avg_ratio"), F.count(F.lit(1)).alias("trips"))
+        .agg(F.avg("ratio").alias("avg_ratio"), F.count_if(counted).alias("trips"))
+        .filter(F.col("trips") > 0)
     )
 
 

@@ -117,6 +117,19 @@ def restore_names(df: DataFrame) -> DataFrame:
     )
 
 
+def name_columns(df: DataFrame, layout: str | None = None) -> DataFrame:
+    """Known names for any trip table, without touching its values.
+
+    Generic columns are named by ``layout``, or by their number when none is
+    given; a table whose first name is unknown is named as trip17 by position.
+    """
+    if is_generic(df):
+        layout = layout or layout_for_width(len(df.columns))
+        if layout:
+            return rename_layout(df, layout)
+    return restore_names(df)
+
+
 def extra_columns(df: DataFrame) -> int:
     """Columns past the trip17 width."""
     return max(0, len(df.columns) - len(TRIP17_NAMES))
