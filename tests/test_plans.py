@@ -1,0 +1,135 @@
+"""Plan shapes and properties that have to hold at any size."""
+
+
+import pytest
+
+from conftest import SF, plan_of, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tripmetrics import operators as op
+from tripmetrics.plans import adapters
+from tripmetrics.plans.catalogue import QUERIES
+from tripmetrics.plans.oracles import ORACLES
+from tripmetrics.schema import SKETCH_RSD
+
+RANKINGS = ["best_hour", "top_drivers", "top_taxis_exact", "top_taxis_approx"]
+PYTHON = ("PythonRDD", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
+
+
+@pytest.mark.parametrize("name", RANKINGS)
+def test_rankings_take_the_top_without_a_full_sort(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    assert "TakeOrderedAndProject" in plan
+    assert "rangepartitioning" not in plan
+    assert plan.count("Exchange hashpartitioning") == (2 if name == "top_taxis_exact" else 1)
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("csv_", "read_by", "stage"))])
+def test_nothing_leaves_the_jvm_and_nothing_is_joined(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    assert not any(p in plan for p in PYTHON)
+    assert "Join" not in plan and "CartesianProduct" not in plan and "Broadcast" not in plan
+
+
+def test_scans_read_only_what_they_need(spark):
+    plan = plan_of(QUERIES["top_taxis_exact"](spark, SF))
+    assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in plan
+    plan = plan_of(QUERIES["best_hour"](spark, SF))
+    assert "GreaterThan(value,0.0)" in plan and plan.count("get_json_object") == 1
+
+
+def test_lines_are_split_once_and_times_parsed_once(spark):
+    plan = plan_of(QUERIES["top_drivers_dirty_lines"](spark, SF))
+    assert plan.count("split(") == 1
+    plan = plan_of(QUERIES["hourly_ratio_multi_format"](spark, SF))
+    assert plan.count("13}") == 0 and plan.count(" AS hour#") == 1
+
+
+def test_both_rankings_read_the_input_once(spark):
+    plan = plan_of(QUERIES["both_rankings"](spark, SF))
+    assert plan.count("FileScan") == 1 and "WindowGroupLimit" in plan
+
+
+def test_staging_moves_no_data_unless_told_to(spark, lineitem_trips):
+    assert "Exchange" not in plan_of(op.conform(lineitem_trips))
+
+
+def test_every_query_but_the_sketch_and_the_listing_has_sql():
+    assert set(QUERIES) - set(ORACLES) == {"top_taxis_approx", "input_bytes"}
+    assert set(ORACLES) <= set(QUERIES)
+
+
+def test_results_do_not_depend_on_partitioning(spark, lineitem_trips):
+    want = rows(op.top_taxis(lineitem_trips)), rows(op.top_taxis(lineitem_trips, method="approx"))
+    rates = [(k, round(v, 6)) for k, v in rows(op.top_drivers(lineitem_trips))]
+    for parts in (1, 7):
+        moved = lineitem_trips.repartition(parts)
+        assert rows(op.top_taxis(moved)) == want[0]
+        assert rows(op.top_taxis(moved, method="approx")) == want[1]
+        assert [(k, round(v, 6)) for k, v in rows(op.top_drivers(moved))] == rates
+
+
+def test_hot_taxi(spark, lineitem_trips):
+    """One taxi with a third of all trips: still whole, and spread by its drivers."""
+    hot = lineitem_trips.withColumn(
+        "medallion",
+        F.when(F.col("payment_type") == "A", F.lit("HOT")).otherwise(F.col("medallion")),
+    )
+    want = hot.filter("medallion = 'HOT'").select("hack_license").distinct().count()
+    assert rows(op.top_taxis(hot, n=1)) == [("HOT", want)]
+    both = op.both_rankings(hot, n=1).filter("ranking = 'top_taxis'")
+    assert [(r["key"], r["measure"]) for r in both.collect()] == [("HOT", float(want))]
+
+
+def test_sketch_stays_near_the_exact_count(spark, lineitem_trips):
+    for rsd in (0.01, SKETCH_RSD):
+        errors = op.sketch_error(lineitem_trips, rsd=rsd)
+        assert errors.filter(F.col("error") > 4 * rsd).isEmpty()
+    direct = op.taxi_drivers(lineitem_trips, method="approx")
+    from_pairs = op.sketch_error(lineitem_trips).select("medallion", F.col("approx").alias("num_drivers"))
+    assert sorted(rows(direct)) == sorted(rows(from_pairs))
+
+
+def test_unknown_choices_are_refused(lineitem_trips):
+    with pytest.raises(ValueError, match="unknown method"):
+        op.taxi_drivers(lineitem_trips, method="rough")
+    with pytest.raises(ValueError, match="unknown scope"):
+        op.taxi_drivers(lineitem_trips, scope="some")
+
+
+TRIP = st.tuples(
+    st.sampled_from([None, "M1", "M2", "M3"]),
+    st.sampled_from([None, "H1", "H2", "H3", "H4"]),
+    st.one_of(st.none(), st.integers(-60, 600).map(float), st.just(float("nan"))),
+    st.one_of(st.none(), st.integers(-5, 50).map(float), st.just(float("nan"))),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(TRIP, max_size=25), st.randoms(use_true_random=False))
+def test_against_brute_force(spark, trips, shuffle):
+    shuffle.shuffle(trips)
+    df = spark.createDataFrame(
+        trips,
+        "medallion string, hack_license string, trip_time_in_secs double, total_amount double",
+    )
+    clean = [t for t in trips if t[2] is not None and t[2] > 0 and t[3] is not None and t[3] == t[3]]
+    pairs = {(m, h) for m, h, _, _ in trips if m and h}
+    counts = sorted(
+        ((m, len({h for x, h in pairs if x == m})) for m in {m for m, _ in pairs}),
+        key=lambda r: (-r[1], r[0]),
+    )
+    assert rows(op.top_taxis(df)) == counts
+    rates = []
+    for driver in {h for _, h, _, _ in clean if h}:
+        mine = [t for t in clean if t[1] == driver]
+        rates.append((driver, sum(t[3] for t in mine) / (sum(t[2] for t in mine) / 60)))
+    rates.sort(key=lambda r: (-r[1], r[0]))
+    assert [k for k, _ in rows(op.top_drivers(df))] == [k for k, _ in rates]
+    clean_pairs = {(m, h) for m, h, _, _ in clean if m and h}
+    both = op.both_rankings(df).orderBy("ranking", "place").collect()
+    assert [r["key"] for r in both if r["ranking"] == "top_drivers"] == [k for k, _ in rates]
+    assert {r["key"]: r["measure"] for r in both if r["ranking"] == "top_taxis"} == {
+        m: float(len({h for x, h in clean_pairs if x == m})) for m, _ in clean_pairs
+    }
