@@ -29,7 +29,7 @@ def test_input_bytes(spark, tmp_path):
     (tmp_path / "a").write_bytes(b"x" * 1000)
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "b").write_bytes(b"y" * 24)
-    assert rows(op.input_bytes(spark, str(tmp_path))) == [(2, 1024, 1024 / 1024**3)]
+    assert rows(op.input_bytes(sources.input_files(spark, str(tmp_path)))) == [(2, 1024, 1024 / 1024**3)]
 
 
 def test_economics(spark):

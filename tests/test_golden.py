@@ -12,8 +12,12 @@ def rounded(found, digits=6):
     return [(k, round(v, digits)) for k, v in found]
 
 
+def by_hour(df):
+    return {r["hour"]: (r["avg_ratio"], r["trips"]) for r in df.collect()}
+
+
 def test_hourly_ratio_strict(golden_trips):
-    found = {r["hour"]: (r["avg_ratio"], r["trips"]) for r in op.hourly_ratio(golden_trips).collect()}
+    found = by_hour(op.hourly_ratio(golden_trips))
     assert found == {17: (1.25, 2), 18: (0.5, 1), 5: (0.375, 3), 3: (0.0, 1)}
 
 
@@ -22,7 +26,7 @@ def test_best_hour_strict(golden_trips):
 
 
 def test_hourly_ratio_three_formats(golden_trips):
-    found = {r["hour"]: (r["avg_ratio"], r["trips"]) for r in op.hourly_ratio(golden_trips, "multi").collect()}
+    found = by_hour(op.hourly_ratio(golden_trips, "multi"))
     assert found == {5: (2.53125, 4), 17: (1.25, 2), 18: (0.5, 1), 3: (0.0, 1)}
 
 

@@ -22,7 +22,18 @@ def test_header_is_the_first_line_of_the_first_file_and_dropped_everywhere(spark
     path = str(tmp_path)
     assert lines_of(sources.read_lines(spark, path)) == ["1,2", "3,4"] + ["5,6"] * 1000
     assert sources.read_lines(spark, path, header=False).count() == 1005
-    assert sources.header_line(spark.read.text(path)) == "h,k"
+    assert sources.header_line(spark, path) == "h,k"
+
+
+def test_header_behind_many_empty_and_oddly_named_files(spark, tmp_path):
+    for i in range(20):
+        (tmp_path / f"a{i:02d}.csv").write_text("")
+    with gzip.open(tmp_path / "b.csv.gz", "wt"):
+        pass
+    (tmp_path / "c d (1).csv").write_text("h,k\n1,2\n")
+    (tmp_path / "e.csv").write_text("3,4\nh,k\n")
+    assert lines_of(sources.read_lines(spark, str(tmp_path))) == ["1,2", "3,4"]
+    assert sources.header_line(spark, str(tmp_path / "c d (1).csv")) == "h,k"
 
 
 def test_headerless_file_loses_its_first_trip_and_copies_when_asked_to(spark, tmp_path):

@@ -3,7 +3,6 @@
 from tripmetrics.operators.facts import (
     economics,
     input_bytes,
-    input_files,
     line_facts,
     result_lines,
     run_facts,
@@ -53,7 +52,6 @@ __all__ = [
     "hourly_ratio",
     "in_scope",
     "input_bytes",
-    "input_files",
     "is_generic",
     "layout_for_width",
     "line_facts",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from tripmetrics.functions import clean_trip, plain_number, ratio_or_zero, rounded
 from tripmetrics.operators.shaping import fields
@@ -43,23 +43,12 @@ def line_facts(lines: DataFrame, width: int = len(TRIP17_NAMES)) -> DataFrame:
     )
 
 
-def input_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Path and size of every input file. No file is opened: only the listing is used."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", F.col("length").alias("bytes"))
-    )
-
-
-def input_bytes(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Number of input files, their bytes and the size in GB (1024 cubed)."""
-    return (
-        input_files(spark, path)
-        .agg(F.count("path").alias("files"), F.sum("bytes").alias("input_bytes"))
-        .withColumn("input_gb", F.col("input_bytes") / F.lit(BYTES_PER_GB))
-    )
+def input_bytes(files: DataFrame) -> DataFrame:
+    """Number of input files, their bytes and the size in GB (1024 cubed), from
+    ``sources.input_files``."""
+    return files.agg(
+        F.count("path").alias("files"), F.sum("bytes").alias("input_bytes")
+    ).withColumn("input_gb", F.col("input_bytes") / F.lit(BYTES_PER_GB))
 
 
 def economics(runs: DataFrame, cost_per_vcpu_min: float = COST_PER_VCPU_MIN) -> DataFrame:

@@ -11,6 +11,7 @@ from tripmetrics import operators as op
 from tripmetrics import sinks, sources
 from tripmetrics.functions import clean_trip, num, positive, present, text
 from tripmetrics.plans import adapters as ad
+from tripmetrics.plans import jobs
 from tripmetrics.schema import LAYOUTS, REQUIRED, SKETCH_RSD, TRIP17_NAMES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,17 +191,7 @@ def both_rankings(spark: SparkSession, sf: str) -> DataFrame:
 def both_rankings_two_tables(spark: SparkSession, sf: str) -> DataFrame:
     """As two tables over the same clean trips, put under one another."""
     tables = op.both_rankings_shared(lineitem_trips(spark, sf), method="exact")
-    taxis = tables["top_taxis"].select(
-        F.lit("top_taxis").alias("ranking"),
-        F.col("medallion").alias("key"),
-        F.col("num_drivers").cast("double").alias("measure"),
-    )
-    drivers = tables["top_drivers"].select(
-        F.lit("top_drivers").alias("ranking"),
-        F.col("hack_license").alias("key"),
-        F.round("money_per_min", 6).alias("measure"),
-    )
-    return taxis.unionByName(drivers)
+    return both_tables(tables["top_taxis"], tables["top_drivers"])
 
 
 # -------------------------------------------------------------- text lines
@@ -399,7 +390,7 @@ def run_facts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def input_bytes(spark: SparkSession, sf: str) -> DataFrame:
-    return op.input_bytes(spark, f"{sf.rstrip('/')}/lineitem.parquet")
+    return op.input_bytes(sources.input_files(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
 
 
 @query
@@ -425,3 +416,63 @@ def summary_text(spark: SparkSession, sf: str) -> DataFrame:
     runs = op.economics(ad.runs_from_orders(ad.table(spark, sf, "orders")))
     out = sources.scratch_path(spark, "summary")
     return spark.read.text(sinks.write_summary_text(op.summary(runs), out))
+
+
+# --------------------------------------------------------------- whole jobs
+
+
+def dirty_file(spark: SparkSession, sf: str) -> str:
+    return text_file(spark, with_header(dirty_lines(spark, sf)), "job-in")
+
+
+def both_tables(taxis: DataFrame, drivers: DataFrame) -> DataFrame:
+    """The two rankings under one another as ``ranking``, ``key``, ``measure``."""
+    return taxis.select(
+        F.lit("top_taxis").alias("ranking"),
+        F.col("medallion").alias("key"),
+        F.col("num_drivers").cast("double").alias("measure"),
+    ).unionByName(
+        drivers.select(
+            F.lit("top_drivers").alias("ranking"),
+            F.col("hack_license").alias("key"),
+            F.round("money_per_min", 6).alias("measure"),
+        )
+    )
+
+
+@query
+def job_both_rankings(spark: SparkSession, sf: str) -> DataFrame:
+    """Text in, two JSON rankings out of one cached table, read back."""
+    out = sources.scratch_path(spark, "job-both")
+    written = jobs.run(
+        spark, "both", dirty_file(spark, sf), out, layout="trip17", scope="clean", style="combined"
+    )
+    return both_tables(
+        spark.read.schema("medallion string, num_drivers long").json(written["top_taxis"]),
+        spark.read.schema("hack_license string, money_per_min double").json(written["top_drivers"]),
+    )
+
+
+@query
+def job_staged_drivers(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV in, staged as Parquet, one JSON ranking out, read back."""
+    out = sources.scratch_path(spark, "job-staged")
+    path = text_file(spark, dirty_lines(spark, sf), "job-in")
+    written = jobs.run(
+        spark, "top_drivers", path, out, fmt="csv_permissive", header=False, layout="trip17",
+        staged=True, style="staged",
+    )
+    ranking = spark.read.schema("hack_license string, money_per_min double")
+    return rates(ranking.json(written["top_drivers"]))
+
+
+@query
+def job_best_hour_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Text in, the report out: its lines on the result and on the number of records."""
+    lines = with_header(ad.trip_lines(ad.event_trips_as_text(events(spark, sf))))
+    written = jobs.run(
+        spark, "best_hour", text_file(spark, lines, "job-in"),
+        sources.scratch_path(spark, "job-hour"), layout="trip17", pickup="multi",
+    )
+    report = spark.read.text(written["summary"])
+    return report.filter(F.col("value").rlike("^\\('(Best Hour|Average Ratio|Total Records)'"))

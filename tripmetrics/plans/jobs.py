@@ -19,6 +19,7 @@ RESULTS = {
     "top_drivers": "top_drivers_10",
     "top_taxis": "top_taxis_10",
 }
+BEST_HOUR_COLUMNS = ("pickup_datetime", "trip_distance", "surcharge")
 
 
 def stage(
@@ -58,9 +59,9 @@ def run(
 ) -> dict[str, str]:
     """Answer one question, or ``both`` rankings; gives back where each result was written.
 
-    Rankings are JSON lines, the report is ``results_summary`` as text. Text input
-    is read by the ranking and again for the row counts; ``staged`` parses it
-    once, into Parquet, and goes on from there.
+    Rankings are JSON lines, the report is ``results_summary`` as text. The needed
+    columns of text input are parsed once and cached; ``staged`` parses all of
+    them into Parquet, which later jobs can use too, and goes on from there.
     """
     if staged:
         trips = stage(
@@ -69,7 +70,7 @@ def run(
     else:
         trips = sources.read_trips(spark, path, fmt, header=header, layout=layout)
     if question == "best_hour":
-        trips = op.name_columns(trips, layout)
+        trips = op.name_columns(trips, layout).select(*BEST_HOUR_COLUMNS)
     else:
         trips = op.normalize(trips, layout)
 
@@ -79,19 +80,19 @@ def run(
         "top_taxis": lambda: op.top_taxis(trips, n, method, scope, rsd),
     }
     questions = ["top_taxis", "top_drivers"] if question == "both" else [question]
-    # Only text is costly enough to parse that two rankings should share a cache.
-    shared = len(questions) > 1 and not staged and fmt != "parquet"
+    # Text is costly to parse and is needed more than once, for the rankings and
+    # the row counts; Parquet is read again, a few columns at a time.
+    parsed = not staged and fmt != "parquet"
 
     out = out_dir.rstrip("/")
     written = {}
     start = time.monotonic()
-    with sinks.held(trips) if shared else nullcontext():
+    with sinks.held(trips) if parsed else nullcontext():
         for q in questions:
             written[q] = sinks.write_ranking_json(wanted[q](), f"{out}/{RESULTS[q]}")
         runtime = time.monotonic() - start
-        facts = _row_counts(trips, question)
-    size = op.input_bytes(spark, path).first()
-    rows_raw, rows_kept = facts
+        rows_raw, rows_kept = _row_counts(trips, question)
+    size = op.input_bytes(sources.input_files(spark, path)).first()
     runs = sources.from_rows(
         spark,
         [

@@ -70,16 +70,16 @@ def _top_taxis(source: str, where: str = "true") -> str:
     return f"{_taxis(source, where)} ORDER BY num_drivers DESC, medallion LIMIT 10"
 
 
-def _both(place: bool) -> str:
+def _both(place: bool, source: str = TRIPS, where: str = "true") -> str:
     number = "row_number() OVER (ORDER BY raw DESC, key)"
     columns = "ranking, {p}key, round(raw, 6) AS measure".format(p="place, " if place else "")
     return f"""
         WITH drivers AS (
             SELECT 'top_drivers' AS ranking, hack_license AS key, money_per_min AS raw
-            FROM ({_rates(TRIPS)})
+            FROM ({_rates(source, where)})
         ), taxis AS (
             SELECT 'top_taxis' AS ranking, medallion AS key, CAST(num_drivers AS DOUBLE) AS raw
-            FROM ({_taxis(TRIPS)})
+            FROM ({_taxis(source, where)})
         ), placed AS (
             SELECT *, CAST({number} AS INTEGER) AS place FROM drivers
             UNION ALL SELECT *, CAST({number} AS INTEGER) AS place FROM taxis
@@ -165,6 +165,15 @@ def _summary() -> str:
     return f"WITH runs AS ({RUNS}) " + " UNION ALL ".join(lines)
 
 
+def _hour_report() -> str:
+    return f"""
+        SELECT '(''Best Hour'', ' || hour || ')' AS value FROM ({_best_hour()})
+        UNION ALL
+        SELECT '(''Average Ratio'', ' || round(avg_ratio, 4) || ')' FROM ({_best_hour()})
+        UNION ALL SELECT '(''Total Records'', ' || count(*) || ')' FROM events
+    """
+
+
 def _read_by_format() -> str:
     return f"""
         SELECT fmt, medallion, count(*) AS trips, round(sum(total_amount), 2) AS money
@@ -241,4 +250,7 @@ ORACLES = {
     f"round(cost_per_record, 10) AS cost_per_record, round(records_per_usd, 2) AS records_per_usd "
     f"FROM ({RUNS})",
     "summary_text": _summary(),
+    "job_both_rankings": _both(place=False, source=DIRTY, where="clean"),
+    "job_staged_drivers": _top_drivers(DIRTY, "clean"),
+    "job_best_hour_report": _hour_report(),
 }

@@ -5,6 +5,7 @@ from tripmetrics.sources.readers import (
     from_rows,
     generic_schema,
     header_line,
+    input_files,
     read_csv,
     read_csv_permissive,
     read_lines,
@@ -19,6 +20,7 @@ __all__ = [
     "from_rows",
     "generic_schema",
     "header_line",
+    "input_files",
     "read_csv",
     "read_csv_permissive",
     "read_lines",

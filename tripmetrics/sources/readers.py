@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,22 +18,34 @@ Paths = str | list[str]
 # ----------------------------------------------------------------- text lines
 
 
-def header_line(lines: DataFrame) -> str | None:
+def header_line(spark: SparkSession, path: Paths) -> str | None:
     """The first line of the first file, by path, that has one.
 
     A text read over many files promises no order, so the file is picked from
     the listing and only its first block is looked at.
     """
-    spark = lines.sparkSession
-    for path in sorted(lines.inputFiles()):
+    for file in _files_in_order(spark, path):
         first = (
-            spark.read.text(path).filter(F.col("_metadata.file_block_start") == 0).select("value")
+            spark.read.text(file).filter(F.col("_metadata.file_block_start") == 0).select("value")
         ).first()
         if first is not None:
             return first["value"]
     return None
 
 
+def _files_in_order(spark: SparkSession, path: Paths) -> Iterator[str]:
+    """Input files by path: the very first from the listing the driver holds in any
+    case, later ones, if that file has no lines, among those that are not empty."""
+    listed = spark.read.text(path).inputFiles()
+    if not listed:
+        return
+    file = unquote(min(listed))
+    yield file
+    sized = input_files(spark, path, recursive=False).filter(F.col("bytes") > 0)
+    while (file := sized.filter(F.col("path") > file).agg(F.min("path")).first()[0]) is not None:
+        yield file
+
+
 def read_lines(spark: SparkSession, path: Paths, header: bool = True) -> DataFrame:
     """Text lines as ``value``; ``.gz`` and ``.bz2`` are unpacked by their suffix.
 
@@ -40,7 +53,15 @@ def read_lines(spark: SparkSession, path: Paths, header: bool = True) -> DataFra
     gzip file cannot be split: one large file is one task until it is staged.
     """
     lines = spark.read.text(path)
-    return drop_header(lines, header_line(lines)) if header else lines
+    return drop_header(lines, header_line(spark, path)) if header else lines
+
+
+def input_files(spark: SparkSession, path: Paths, recursive: bool = True) -> DataFrame:
+    """Path and size of every input file. No file is opened: only the listing is used."""
+    reader = spark.read.format("binaryFile")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    return reader.load(path).select("path", F.col("length").alias("bytes"))
 
 
 # ------------------------------------------------------------------------ CSV
