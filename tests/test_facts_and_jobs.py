@@ -13,6 +13,9 @@ from tripmetrics.plans import jobs
 from tripmetrics.schema import RUNS, SUMMARY_STYLES
 
 
+NO_OPTIONS = (None,) * 6
+
+
 def text_lines(path):
     parts = sorted(path.glob("part-*"))
     assert len(parts) == 1
@@ -35,7 +38,10 @@ def test_input_bytes(spark, tmp_path):
 def test_economics(spark):
     runs = sources.from_rows(
         spark,
-        [("a", 1200, 1000, 1024**3 * 2, 120.0, 6), ("b", 0, 0, None, 0.0, 6)],
+        [
+            ("a", 1200, 1000, 1024**3 * 2, 120.0, 6, *NO_OPTIONS),
+            ("b", 0, 0, None, 0.0, 6, *NO_OPTIONS),
+        ],
         RUNS,
     )
     a, b = sorted(op.economics(runs).collect(), key=lambda r: r["run_id"])
@@ -64,18 +70,30 @@ def test_ratio_or_zero(spark):
 
 @pytest.mark.parametrize("style", SUMMARY_STYLES)
 def test_summary_styles(spark, tmp_path, style):
-    runs = sources.from_rows(spark, [("a", 1200, 1000, 1024**3 * 2, 120.0, 6)], RUNS)
+    options = ("T", "/in", "/st", "/out", 1.23456, None)
+    runs = sources.from_rows(spark, [("a", 1200, 1000, 1024**3 * 2, 120.0, 6, *options)], RUNS)
     out = tmp_path / "s"
     report = op.summary(op.economics(runs), style)
-    sinks.write_summary_text(report, str(out))
+    for _ in range(2):
+        sinks.write_summary_text(report, str(out))
     lines = text_lines(out)
-    assert [line.split("'")[1] for line in lines] == [label for label, _, _ in SUMMARY_STYLES[style]]
+    labels = [label for label, column, _ in SUMMARY_STYLES[style] if column != "drivers_sec"]
+    assert [line.split("'")[1] for line in lines] == labels
     if style == "economic":
         assert lines[0] == "('--- Economic Metrics ---', '')"
         assert lines[1] == "('Estimated Cost (USD)', 0.0095)"
         assert lines[3] == "('Cost per Record (USD/record)', 9.48e-06)"
         assert lines[6] == "('Total Records', 1000)"
-    sinks.write_summary_text(report, str(out))
+        assert lines[-1] == "('Staging Parquet', '/st')"
+    if style == "short":
+        assert lines[:3] == ["('Task', 'T')", "('Runtime_sec', 120.0)", "('Task1_sec', 1.235)"]
+
+
+def test_unknown_size_and_lines_that_do_not_apply(spark):
+    runs = sources.from_rows(spark, [("a", 1, 1, None, 1.0, 6, *NO_OPTIONS)], RUNS)
+    found = {r["label"]: r["value"] for r in op.summary(op.economics(runs)).collect()}
+    assert found["Input Size (GB)"] == "None" and found["Cost per GB Processed (USD/GB)"] == "None"
+    assert "Staging Parquet" not in found
 
 
 def test_ranking_json_is_one_ordered_file_and_replaces(spark, golden_trips, tmp_path):
@@ -124,9 +142,8 @@ def test_both_job(spark, golden_file, tmp_path, staged):
     taxis = json_lines(tmp_path / "out" / "top_taxis_10")
     assert [t["medallion"] for t in taxis] == ["M1", "M2", "M3"]
     lines = text_lines(tmp_path / "out" / "results_summary")
-    assert lines[0] == "('--- Top 10 Taxis ---', '')"
-    assert lines[1] == "('M1', 2)"
-    assert "('--- Top 10 Drivers ---', '')" in lines and "('H1', 1.6857)" in lines
+    assert lines[0] == "('--- Job & Cluster ---', '')"
+    assert lines[-2].startswith("('Task1 Runtime (seconds)', ")
     assert "('Total Records (filtered)', 10)" in lines
     assert "('Cluster Size (vCPUs)', 5)" in lines
     assert (tmp_path / "out" / "staging_parquet").exists() == staged
@@ -137,3 +154,70 @@ def test_job_without_valid_trips_reports_it(spark, tmp_path):
     jobs.run(spark, "best_hour", str(tmp_path / "in.csv"), str(tmp_path / "out"), layout="trip17")
     lines = text_lines(tmp_path / "out" / "results_summary")
     assert lines[:2] == ["('--- Best Hour Result ---', '')", "('No valid records found', '')"]
+
+
+# Every kind of job the library answers: what is asked, and with which options.
+JOBS = {
+    "best hour, lines": ("best_hour", {}),
+    "best hour, parquet": ("best_hour", {"fmt": "parquet", "pickup": "cut"}),
+    "best hour, staged": ("best_hour", {"fmt": "csv_permissive", "staged": True, "pickup": "multi"}),
+    "drivers, lines": ("top_drivers", {}),
+    "drivers, parquet": ("top_drivers", {"fmt": "parquet"}),
+    "drivers, staged": ("top_drivers", {"fmt": "csv_permissive", "staged": True, "style": "staged"}),
+    "taxis, lines": ("top_taxis", {}),
+    "taxis, parquet": ("top_taxis", {"fmt": "parquet"}),
+    "taxis, lines, approx": (
+        "top_taxis",
+        {"method": "approx", "scope": "clean", "style": "short"},
+    ),
+    "taxis, staged, approx": (
+        "top_taxis",
+        {
+            "fmt": "csv_permissive", "staged": True, "method": "approx", "scope": "clean",
+            "style": "staged",
+        },
+    ),
+    "both, csv": (
+        "both",
+        {"fmt": "csv", "infer": True, "method": "approx", "scope": "clean", "style": "combined"},
+    ),
+    "both, economic": ("both", {"scope": "clean"}),
+}
+
+
+@pytest.mark.parametrize("kind", JOBS)
+def test_every_kind_of_job(spark, golden_file, golden_trips, tmp_path, kind):
+    question, options = JOBS[kind]
+    path = golden_file
+    if options.get("fmt") == "parquet":
+        path = sinks.stage_parquet(golden_trips, str(tmp_path / "in"))
+    if options.get("fmt") == "csv_permissive":
+        options = {**options, "layout": "trip17"}
+    written = jobs.run(spark, question, path, str(tmp_path / "out"), **options)
+    if question == "best_hour":
+        best = (5, 2.53125) if options.get("pickup") == "multi" else (17, 1.25)
+        assert json_lines(tmp_path / "out" / "best_hour") == [
+            {"hour": best[0], "avg_ratio": best[1]}
+        ]
+    if "top_drivers" in written:
+        drivers = [r["hack_license"] for r in json_lines(tmp_path / "out" / "top_drivers_10")]
+        assert drivers == ["H3", "H4", "H5", "H2", "H1"]
+    if "top_taxis" in written:
+        taxis = [r["medallion"] for r in json_lines(tmp_path / "out" / "top_taxis_10")]
+        clean = options.get("scope") == "clean"
+        assert taxis == (["M1", "M2", "M3"] if clean else ["M3", "M1", "M2", "M5"])
+    lines = text_lines(tmp_path / "out" / "results_summary")
+    if options.get("style", "economic") == "economic":
+        assert lines[0].startswith("('--- ") and "('Total Records', 14)" in lines
+    if kind == "both, economic":
+        headings = [line for line in lines if "---" in line]
+        assert headings == [
+            "('--- Top 10 Taxis ---', '')",
+            "('--- Top 10 Drivers ---', '')",
+            "('--- Economic Metrics ---', '')",
+            "('--- Performance Metrics ---', '')",
+        ]
+    if options.get("style") == "staged":
+        assert lines[1] == f"('CSV Input', '{path}')"
+        assert lines[2] == f"('Staging Parquet', '{tmp_path}/out/staging_parquet')"
+        assert "('Rows (filtered)', 10)" in lines

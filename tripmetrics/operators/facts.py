@@ -14,6 +14,7 @@ from tripmetrics.schema import (
     COST_PER_VCPU_MIN,
     NO_RESULT_LABEL,
     RESULT_HEADINGS,
+    RUN_OPTIONS,
     SUMMARY_STYLES,
     TRIP17_NAMES,
 )
@@ -82,29 +83,29 @@ def economics(runs: DataFrame, cost_per_vcpu_min: float = COST_PER_VCPU_MIN) ->
 def summary(economics_row: DataFrame, style: str = "economic") -> DataFrame:
     """The report lines of each run: ``run_id``, ``ord``, ``label``, ``value``.
 
-    Values are text ready for printing; headings have an empty quoted value and
-    unknown figures the value ``None``.
+    Values are text ready for printing. Headings have an empty quoted value,
+    unknown figures the value ``None``; lines that do not apply are left out.
     """
     types = dict(economics_row.dtypes)
     lines = [
-        F.struct(
-            F.lit(i).alias("ord"),
-            F.lit(label).alias("label"),
-            _figure(column, types, digits).alias("value"),
-        )
+        _line(i, F.lit(label), F.lit("''") if column is None else _figure(column, types, digits))
         for i, (label, column, digits) in enumerate(SUMMARY_STYLES[style])
+        if column is None or column in types
     ]
-    return economics_row.select("run_id", F.inline(F.array(*lines)))
+    return economics_row.select("run_id", F.inline(F.array(*lines))).filter(
+        F.col("value").isNotNull()
+    )
 
 
-def _figure(column: str | None, types: dict[str, str], digits: int | None) -> Column:
-    if column is None:
-        return F.lit("''")
-    if types[column] in ("double", "float"):
+def _figure(column: str, types: dict[str, str], digits: int | None) -> Column:
+    kind = types[column]
+    if kind == "string":
+        shown = F.concat(F.lit("'"), F.col(column), F.lit("'"))
+    elif kind == "double":
         shown = plain_number(rounded(column, digits))
     else:
         shown = F.col(column).cast("string")
-    return F.coalesce(shown, F.lit("None"))
+    return shown if column in RUN_OPTIONS else F.coalesce(shown, F.lit("None"))
 
 
 def result_lines(ranking: DataFrame, question: str) -> DataFrame:

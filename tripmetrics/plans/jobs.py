@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmetrics import operators as op
 from tripmetrics import sinks, sources
-from tripmetrics.schema import COST_PER_VCPU_MIN, RUNS, SKETCH_RSD
+from tripmetrics.schema import COST_PER_VCPU_MIN, RUNS, SKETCH_RSD, TASKS
 
 # Question -> directory of its JSON result.
 RESULTS = {
@@ -44,6 +44,7 @@ def run(
     out_dir: str,
     fmt: str = "lines",
     header: bool = True,
+    infer: bool = False,
     layout: str | None = None,
     staged: bool = False,
     staging: str | None = None,
@@ -62,19 +63,23 @@ def run(
     Rankings are JSON lines, the report is ``results_summary`` as text. The needed
     columns of text input are parsed once and cached; ``staged`` parses all of
     them into Parquet, which later jobs can use too, and goes on from there.
+
+    The ``economic`` report holds the result and counts every row read as a
+    record; the other styles leave the result to the JSON and count clean rows.
     """
-    if staged:
-        trips = stage(
-            spark, path, staging or sinks.staging_path(out_dir), fmt, header, layout
-        )
+    start = time.monotonic()
+    out = out_dir.rstrip("/")
+    staging = (staging or sinks.staging_path(out)) if staged else None
+    if staging:
+        trips = stage(spark, path, staging, fmt, header, layout)
     else:
-        trips = sources.read_trips(spark, path, fmt, header=header, layout=layout)
+        trips = sources.read_trips(spark, path, fmt, header, infer, layout)
     if question == "best_hour":
         trips = op.name_columns(trips, layout).select(*BEST_HOUR_COLUMNS)
     else:
         trips = op.normalize(trips, layout)
 
-    wanted: dict[str, Callable[[], DataFrame]] = {
+    rankings: dict[str, Callable[[], DataFrame]] = {
         "best_hour": lambda: op.best_hour(trips, pickup),
         "top_drivers": lambda: op.top_drivers(trips, n),
         "top_taxis": lambda: op.top_taxis(trips, n, method, scope, rsd),
@@ -82,39 +87,44 @@ def run(
     questions = ["top_taxis", "top_drivers"] if question == "both" else [question]
     # Text is costly to parse and is needed more than once, for the rankings and
     # the row counts; Parquet is read again, a few columns at a time.
-    parsed = not staged and fmt != "parquet"
+    parsed = not staging and fmt != "parquet"
 
-    out = out_dir.rstrip("/")
-    written = {}
-    start = time.monotonic()
+    written: dict[str, str] = {}
+    took: dict[str, float] = {}
+    report: list[DataFrame] = []
     with sinks.held(trips) if parsed else nullcontext():
-        for q in questions:
-            written[q] = sinks.write_ranking_json(wanted[q](), f"{out}/{RESULTS[q]}")
+        for i, q in enumerate(questions):
+            begun = time.monotonic()
+            ranking = rankings[q]()
+            written[q] = sinks.write_ranking_json(ranking, f"{out}/{RESULTS[q]}")
+            took[q] = time.monotonic() - begun
+            if style == "economic":
+                lines = op.result_lines(spark.read.schema(ranking.schema).json(written[q]), q)
+                report.append(lines.withColumn("ord", F.col("ord") + (n + 10) * i))
         runtime = time.monotonic() - start
         rows_raw, rows_kept = _row_counts(trips, question)
-    size = op.input_bytes(sources.input_files(spark, path)).first()
-    runs = sources.from_rows(
-        spark,
-        [
-            (
-                run_id,
-                rows_raw,
-                rows_raw if style == "economic" else rows_kept,
-                size["input_bytes"],
-                runtime,
-                vcpus,
-            )
-        ],
-        RUNS,
-    )
-    report = op.summary(op.economics(runs, cost_per_vcpu_min), style).select(
-        (F.col("ord") + 1000).alias("ord"), "label", "value"
+
+    one_run = {
+        "run_id": run_id,
+        "rows_raw": rows_raw,
+        "records": rows_raw if style == "economic" else rows_kept,
+        "input_bytes": op.input_bytes(sources.input_files(spark, path)).first()["input_bytes"],
+        "runtime_sec": runtime,
+        "vcpus": vcpus,
+        "task": "; ".join(TASKS[q] for q in questions),
+        "input_path": path,
+        "staging": staging,
+        "output_json": "; ".join(written.values()),
+        "taxis_sec": took.get("top_taxis"),
+        "drivers_sec": took.get("top_drivers"),
+    }
+    runs = sources.from_rows(spark, [tuple(one_run[c] for c in RUNS.fieldNames())], RUNS)
+    figures = op.summary(op.economics(runs, cost_per_vcpu_min), style).select(
+        (F.col("ord") + (n + 10) * len(questions)).alias("ord"), "label", "value"
     )
-    for i, q in enumerate(questions):
-        schema = wanted[q]().schema
-        lines = op.result_lines(spark.read.schema(schema).json(written[q]), q)
-        report = lines.withColumn("ord", F.col("ord") + 100 * i).unionByName(report)
-    written["summary"] = sinks.write_summary_text(report, f"{out}/results_summary")
+    for lines in report:
+        figures = figures.unionByName(lines)
+    written["summary"] = sinks.write_summary_text(figures, f"{out}/results_summary")
     return written
 
 

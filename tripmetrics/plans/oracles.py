@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmetrics.schema import COST_PER_VCPU_MIN, SUMMARY_STYLES, TRIP17_NAMES
+from tripmetrics.schema import COST_PER_VCPU_MIN, RUN_OPTIONS, SUMMARY_STYLES, TRIP17_NAMES
 
 K = "CAST(regexp_extract(props, '[0-9]+') AS DOUBLE)"
 
@@ -156,6 +156,8 @@ RUNS = f"""
 def _summary() -> str:
     lines = []
     for label, column, digits in SUMMARY_STYLES["economic"]:
+        if column in RUN_OPTIONS:
+            continue
         value = (
             "''''''" if column is None
             else f"CAST({column} AS VARCHAR)" if digits is None

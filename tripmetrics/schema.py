@@ -91,6 +91,7 @@ BYTES_PER_GB = 1024.0**3
 SKETCH_RSD = 0.05
 
 # Summary lines: (label, column of the economics row or None for a heading, digits).
+# The first style follows the lines of the result itself, the others stand alone.
 SUMMARY_STYLES = {
     "economic": (
         ("--- Economic Metrics ---", None, None),
@@ -104,6 +105,7 @@ SUMMARY_STYLES = {
         ("Input Size (GB)", "input_gb", 4),
         ("Runtime (seconds)", "runtime_sec", 2),
         ("Cluster Size (vCPUs)", "vcpus", None),
+        ("Staging Parquet", "staging", None),
     ),
     "combined": (
         ("--- Job & Cluster ---", None, None),
@@ -118,20 +120,32 @@ SUMMARY_STYLES = {
         ("Cost per GB Processed (USD/GB)", "cost_per_gb", 6),
         ("Cost per Record (USD/record)", "cost_per_record", 12),
         ("Cost Efficiency (records per $)", "records_per_usd", 2),
+        ("--- Task Timings ---", None, None),
+        ("Task1 Runtime (seconds)", "taxis_sec", 3),
+        ("Task2 Runtime (seconds)", "drivers_sec", 3),
     ),
     "short": (
+        ("Task", "task", None),
         ("Runtime_sec", "runtime_sec", 2),
+        ("Task1_sec", "taxis_sec", 3),
+        ("Task2_sec", "drivers_sec", 3),
         ("Rows_raw", "rows_raw", None),
         ("Rows_filtered", "records", None),
         ("Input_GB", "input_gb", 4),
         ("vCPU_min_est", "vcpu_minutes", 2),
         ("Cost_USD_est", "cost_usd", 6),
         ("Records_per_sec", "records_per_sec", 2),
+        ("Output_JSON", "output_json", None),
     ),
     "staged": (
+        ("Task", "task", None),
+        ("CSV Input", "input_path", None),
+        ("Staging Parquet", "staging", None),
         ("Rows (staged)", "rows_raw", None),
         ("Rows (filtered)", "records", None),
         ("Runtime (sec)", "runtime_sec", 2),
+        ("Task1 Sec", "taxis_sec", 3),
+        ("Task2 Sec", "drivers_sec", 3),
         ("Records/sec", "records_per_sec", 2),
         ("Input Size (GB)", "input_gb", 4),
         ("vCPUs est.", "vcpus", None),
@@ -139,6 +153,7 @@ SUMMARY_STYLES = {
         ("Cost/GB", "cost_per_gb", 6),
         ("Cost/Record", "cost_per_record", 12),
         ("Cost Efficiency (records/$)", "records_per_usd", 2),
+        ("Output JSON", "output_json", None),
     ),
 }
 
@@ -147,6 +162,11 @@ RESULT_HEADINGS = {
     "top_drivers": "--- Top 10 Drivers ---",
     "top_taxis": "--- Top 10 Taxis ---",
 }
+TASKS = {
+    "best_hour": "Best hour by surcharge per distance",
+    "top_drivers": "Top 10 drivers by $/min",
+    "top_taxis": "Top 10 medallions by # distinct drivers",
+}
 BEST_HOUR_LABELS = ("Best Hour", "Average Ratio")
 NO_RESULT_LABEL = "No valid records found"
 
@@ -172,6 +192,15 @@ RUNS = struct_of(
     records BIGINT,
     input_bytes BIGINT,
     runtime_sec DOUBLE,
-    vcpus INT
+    vcpus INT,
+    task STRING,
+    input_path STRING,
+    staging STRING,
+    output_json STRING,
+    taxis_sec DOUBLE,
+    drivers_sec DOUBLE
     """
 )
+
+# Columns of a run that need not apply to it; their report lines are left out then.
+RUN_OPTIONS = ("task", "input_path", "staging", "output_json", "taxis_sec", "drivers_sec")
