@@ -13,15 +13,14 @@ from tripmetrics import operators as op
 from tripmetrics import sinks, sources
 from tripmetrics.schema import COST_PER_VCPU_MIN, RUNS, SKETCH_RSD, TASKS
 
-# Question -> directory of its JSON result.
-RESULTS = {
-    "best_hour": "best_hour",
-    "top_drivers": "top_drivers_10",
-    "top_taxis": "top_taxis_10",
-}
 BEST_HOUR_COLUMNS = ("pickup_datetime", "trip_distance", "surcharge")
 
 
+def result_dir(question: str, n: int = 10) -> str:
+    """Directory of a JSON result: ``best_hour``, ``top_drivers_10``, ``top_taxis_10``."""
+    return question if question == "best_hour" else f"{question}_{n}"
+
+
 def stage(
     spark: SparkSession,
     path: str,
@@ -96,7 +95,7 @@ def run(
         for i, q in enumerate(questions):
             begun = time.monotonic()
             ranking = rankings[q]()
-            written[q] = sinks.write_ranking_json(ranking, f"{out}/{RESULTS[q]}")
+            written[q] = sinks.write_ranking_json(ranking, f"{out}/{result_dir(q, n)}")
             took[q] = time.monotonic() - begun
             if style == "economic":
                 lines = op.result_lines(spark.read.schema(ranking.schema).json(written[q]), q)

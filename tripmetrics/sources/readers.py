@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from urllib.parse import unquote
 
@@ -25,9 +26,9 @@ def header_line(spark: SparkSession, path: Paths) -> str | None:
     the listing and only its first block is looked at.
     """
     for file in _files_in_order(spark, path):
-        first = (
-            spark.read.text(file).filter(F.col("_metadata.file_block_start") == 0).select("value")
-        ).first()
+        # One file name, whatever pattern characters it holds.
+        lines = spark.read.text(re.sub(r"([\[\]{}*?\\])", r"\\\1", file))
+        first = lines.filter(F.col("_metadata.file_block_start") == 0).select("value").first()
         if first is not None:
             return first["value"]
     return None
