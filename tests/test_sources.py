@@ -45,6 +45,12 @@ def test_headerless_file_loses_its_first_trip_and_copies_when_asked_to(spark, tm
     assert lines_of(sources.read_lines(spark, str(tmp_path))) == ["3,4"]
 
 
+def test_header_given_as_text(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1,2\nh,k\n3,4\n")
+    found = sources.read_lines(spark, str(tmp_path), header="h,k")
+    assert lines_of(found) == ["1,2", "3,4"]
+
+
 def test_empty_input(spark, tmp_path):
     (tmp_path / "a.csv").write_text("")
     assert lines_of(sources.read_lines(spark, str(tmp_path))) == []

@@ -65,23 +65,15 @@ def best_hour(trips: DataFrame, pickup: str = "strict") -> DataFrame:
 
 def driver_rates(trips: DataFrame) -> DataFrame:
     """Money, minutes and money per minute of each driver, over clean trips."""
-    totals = (
+    return (
         trips.filter(clean_trip() & keys_present("hack_license"))
         .groupBy("hack_license")
         .agg(
-            F.sum(num("total_amount")).alias("total_money"),
-            F.sum(num("trip_time_in_secs")).alias("total_secs"),
-        )
-    )
-    return (
-        totals.withColumn("total_minutes", minutes("total_secs"))
-        .filter(F.col("total_minutes") > 0)
-        .select(
-            "hack_license",
-            "total_money",
-            "total_minutes",
-            ratio("total_money", "total_minutes").alias("money_per_min"),
+            F.sum(num("total_amount")).alias("money"),
+            minutes(F.sum(num("trip_time_in_secs"))).alias("minutes"),
         )
+        .filter(positive("minutes"))
+        .withColumn("money_per_min", ratio("money", "minutes"))
     )
 
 

@@ -123,11 +123,8 @@ def top_drivers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def driver_rates(spark: SparkSession, sf: str) -> DataFrame:
-    return rates(
-        op.driver_rates(lineitem_trips(spark, sf)).withColumn(
-            "total_money", F.round("total_money", 4)
-        )
-    )
+    found = op.driver_rates(lineitem_trips(spark, sf))
+    return rates(found.withColumn("money", F.round("money", 4)))
 
 
 @query

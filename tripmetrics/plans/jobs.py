@@ -26,7 +26,7 @@ def stage(
     path: str,
     staging: str,
     fmt: str = "csv_permissive",
-    header: bool = False,
+    header: bool | str = False,
     layout: str | None = None,
     files: int | None = None,
 ) -> DataFrame:
@@ -42,11 +42,12 @@ def run(
     path: str,
     out_dir: str,
     fmt: str = "lines",
-    header: bool = True,
+    header: bool | str = True,
     infer: bool = False,
     layout: str | None = None,
     staged: bool = False,
     staging: str | None = None,
+    staging_files: int | None = None,
     n: int = 10,
     pickup: str = "strict",
     method: str = "exact",
@@ -70,7 +71,7 @@ def run(
     out = out_dir.rstrip("/")
     staging = (staging or sinks.staging_path(out)) if staged else None
     if staging:
-        trips = stage(spark, path, staging, fmt, header, layout)
+        trips = stage(spark, path, staging, fmt, header, layout, staging_files)
     else:
         trips = sources.read_trips(spark, path, fmt, header, infer, layout)
     if question == "best_hour":

@@ -45,8 +45,8 @@ def _best_hour() -> str:
 
 def _rates(source: str, where: str = "true") -> str:
     return f"""
-        SELECT hack_license, sum(total_amount) AS total_money,
-               sum(trip_time_in_secs) / 60 AS total_minutes,
+        SELECT hack_license, sum(total_amount) AS money,
+               sum(trip_time_in_secs) / 60 AS minutes,
                sum(total_amount) / (sum(trip_time_in_secs) / 60) AS money_per_min
         FROM ({source}) WHERE hack_license IS NOT NULL AND {where} GROUP BY 1
     """
@@ -196,7 +196,7 @@ ORACLES = {
     "best_hour_empty": "SELECT 0 AS hour, CAST(0 AS DOUBLE) AS avg_ratio FROM events "
     "WHERE value < 0 AND value > 0",
     "top_drivers": _top_drivers(TRIPS),
-    "driver_rates": f"SELECT hack_license, round(total_money, 4) AS total_money, total_minutes, "
+    "driver_rates": f"SELECT hack_license, round(money, 4) AS money, minutes, "
     f"round(money_per_min, 6) AS money_per_min FROM ({_rates(TRIPS)})",
     "top_drivers_dirty_lines": _top_drivers(DIRTY, "clean"),
     "top_taxis_exact": _top_taxis(TRIPS),

@@ -47,14 +47,16 @@ def _files_in_order(spark: SparkSession, path: Paths) -> Iterator[str]:
         yield file
 
 
-def read_lines(spark: SparkSession, path: Paths, header: bool = True) -> DataFrame:
+def read_lines(spark: SparkSession, path: Paths, header: bool | str = True) -> DataFrame:
     """Text lines as ``value``; ``.gz`` and ``.bz2`` are unpacked by their suffix.
 
-    With ``header`` the first line and every line equal to it are dropped. A
-    gzip file cannot be split: one large file is one task until it is staged.
+    With ``header`` the first line and every line equal to it are dropped. Give
+    the header text itself, where it is known, to save looking for it. A gzip
+    file cannot be split: one large file is one task until it is staged.
     """
-    lines = spark.read.text(path)
-    return drop_header(lines, header_line(spark, path)) if header else lines
+    if header is True:
+        header = header_line(spark, path)
+    return drop_header(spark.read.text(path), header or None)
 
 
 def input_files(spark: SparkSession, path: Paths, recursive: bool = True) -> DataFrame:
@@ -159,7 +161,7 @@ def read_trips(
     spark: SparkSession,
     path: Paths,
     fmt: str = "parquet",
-    header: bool = True,
+    header: bool | str = True,
     infer: bool = False,
     layout: str | None = None,
 ) -> DataFrame:
@@ -174,9 +176,9 @@ def read_trips(
     if fmt == "parquet":
         return read_parquet(spark, path)
     if fmt == "csv":
-        return read_csv(spark, path, header, infer)
+        return read_csv(spark, path, bool(header), infer)
     if fmt == "csv_permissive":
-        return read_csv_permissive(spark, path, width, header)
+        return read_csv_permissive(spark, path, width, bool(header))
     if fmt == "lines":
         return lines_to_columns(read_lines(spark, path, header), width, blank_as_null=True)
     raise ValueError(f"unknown format {fmt!r}, expected parquet, csv, csv_permissive or lines")
