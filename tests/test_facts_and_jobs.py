@@ -73,7 +73,7 @@ def test_summary_styles(spark, tmp_path, style):
     options = ("T", "/in", "/st", "/out", 1.23456, None)
     runs = sources.from_rows(spark, [("a", 1200, 1000, 1024**3 * 2, 120.0, 6, *options)], RUNS)
     out = tmp_path / "s"
-    report = op.summary(op.economics(runs), style)
+    report = op.summary(op.economics(runs), style).drop("run_id")
     for _ in range(2):
         sinks.write_summary_text(report, str(out))
     lines = text_lines(out)
@@ -89,6 +89,20 @@ def test_summary_styles(spark, tmp_path, style):
         assert lines[:3] == ["('Task', 'T')", "('Runtime_sec', 120.0)", "('Task1_sec', 1.235)"]
 
 
+def test_reports_of_many_runs_are_spread_and_stay_in_order(spark, tmp_path):
+    runs = spark.range(40).selectExpr(
+        "concat('r', id) run_id", "id rows_raw", "id + 1 records", "id * 1000 input_bytes",
+        "double(id + 1) runtime_sec", "4 vcpus",
+    )
+    out = sinks.write_summary_text(op.summary(op.economics(runs)), str(tmp_path / "s"))
+    assert out == str(tmp_path / "s")
+    labels = [label for label, column, _ in SUMMARY_STYLES["economic"] if column != "staging"]
+    for i in range(40):
+        lines = text_lines(tmp_path / "s" / f"run_id=r{i}")
+        assert [line.split("'")[1] for line in lines] == labels
+        assert lines[6] == f"('Total Records', {i + 1})"
+
+
 def test_unknown_size_and_lines_that_do_not_apply(spark):
     runs = sources.from_rows(spark, [("a", 1, 1, None, 1.0, 6, *NO_OPTIONS)], RUNS)
     found = {r["label"]: r["value"] for r in op.summary(op.economics(runs)).collect()}

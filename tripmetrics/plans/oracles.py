@@ -163,7 +163,7 @@ def _summary() -> str:
             else f"CAST({column} AS VARCHAR)" if digits is None
             else f"CAST(round({column}, {digits}) AS VARCHAR)"
         )
-        lines.append(f"SELECT '(''{label}'', ' || {value} || ')' AS value FROM runs")
+        lines.append(f"SELECT run_id, '(''{label}'', ' || {value} || ')' AS value FROM runs")
     return f"WITH runs AS ({RUNS}) " + " UNION ALL ".join(lines)
 
 

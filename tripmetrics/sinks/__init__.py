@@ -40,17 +40,18 @@ def summary_line(label: str = "label", value: str = "value") -> Column:
 
 
 def write_summary_text(summary: DataFrame, path: str) -> str:
-    """Write report lines in the order of ``ord`` as one text file, replacing what is there.
+    """Write report lines in the order of ``ord`` as text, replacing what is there.
 
-    A report has a few dozen lines at most, so one task writes it.
+    One report, a few dozen lines, becomes one file. A table of reports, told
+    apart by ``run_id``, is spread by run: one directory with one file for each.
     """
-    (
-        summary.coalesce(1)
-        .sortWithinPartitions("ord")
-        .select(summary_line().alias("value"))
-        .write.mode("overwrite")
-        .text(path)
-    )
+    if "run_id" in summary.columns:
+        spread = summary.repartition("run_id").sortWithinPartitions("run_id", "ord")
+        writer = spread.select("run_id", summary_line().alias("value")).write.partitionBy("run_id")
+    else:
+        spread = summary.coalesce(1).sortWithinPartitions("ord")
+        writer = spread.select(summary_line().alias("value")).write
+    writer.mode("overwrite").text(path)
     return path
 
 
