@@ -1,6 +1,8 @@
 """Plan shapes and properties that have to hold at any size."""
 
 
+from datetime import datetime
+
 import pytest
 
 from conftest import SF, plan_of, rows
@@ -37,6 +39,8 @@ def test_nothing_leaves_the_jvm_and_nothing_is_joined(spark, name):
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(QUERIES["top_taxis_exact"](spark, SF))
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in plan
+    plan = plan_of(QUERIES["top_drivers"](spark, SF))
+    assert "struct<l_partkey:bigint,l_quantity:double,l_extendedprice:double>" in plan
     plan = plan_of(QUERIES["best_hour"](spark, SF))
     assert "GreaterThan(value,0.0)" in plan and plan.count("get_json_object") == 1
 
@@ -135,3 +139,49 @@ def test_against_brute_force(spark, trips, shuffle):
     assert {r["key"]: r["measure"] for r in both if r["ranking"] == "top_taxis"} == {
         m: float(len({h for x, h in clean_pairs if x == m})) for m, _ in clean_pairs
     }
+
+
+STAMP = st.sampled_from(
+    ["2013-01-01 05:00:00", "2013-1-1 5:1:1", "2013-03-10 02:30:00", "01/03/2013 06:00:00",
+     "2013-01-01T07:00:00", " 2013-01-01 08:00:00", "2013-02-30 09:00:00", "soon", None]
+)
+FIGURE = st.sampled_from([None, "", "0", "-1", "2.0", "0.5", "8", "nan", "x", " 4 "])
+
+
+def as_float(text):
+    try:
+        return float(text)
+    except (TypeError, ValueError):
+        return None
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(STAMP, FIGURE, FIGURE), max_size=25))
+def test_hours_against_brute_force(spark, trips):
+    df = spark.createDataFrame(
+        trips, "pickup_datetime string, trip_distance string, surcharge string"
+    )
+    ratios = {}
+    for stamp, distance, surcharge in trips:
+        d, s = as_float(distance), as_float(surcharge)
+        try:
+            hour = datetime.strptime(stamp or "", "%Y-%m-%d %H:%M:%S").hour
+        except ValueError:
+            continue
+        if d is not None and d > 0 and s is not None and s == s:
+            ratios.setdefault(hour, []).append(s / d)
+    want = {h: (sum(r) / len(r), len(r)) for h, r in ratios.items()}
+    found = {r["hour"]: (r["avg_ratio"], r["trips"]) for r in op.hourly_ratio(df).collect()}
+    assert found == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet='a,"\\ \u00e9\u6f22', max_size=12), min_size=1, max_size=20))
+def test_lines_against_plain_split(spark, lines):
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    cells = [line.split(",") for line in lines]
+    width = max(map(len, cells))
+    want = [tuple(c + [None] * (width - len(c))) for c in cells]
+    found = op.lines_to_columns(df)
+    assert found.columns == [f"_c{i}" for i in range(width)]
+    assert sorted(rows(found), key=str) == sorted(want, key=str)

@@ -54,9 +54,10 @@ def _rates(source: str, where: str = "true") -> str:
 
 def _top_drivers(source: str, where: str = "true") -> str:
     return f"""
-        SELECT hack_license, round(money_per_min, 6) AS money_per_min
-        FROM ({_rates(source, where)}) ORDER BY {{order}} LIMIT 10
-    """.format(order='"money_per_min" DESC, hack_license')
+        SELECT hack_license, round(raw, 6) AS money_per_min
+        FROM (SELECT hack_license, money_per_min AS raw FROM ({_rates(source, where)}))
+        ORDER BY raw DESC, hack_license LIMIT 10
+    """
 
 
 def _taxis(source: str, where: str = "true") -> str:
@@ -72,7 +73,7 @@ def _top_taxis(source: str, where: str = "true") -> str:
 
 def _both(place: bool, source: str = TRIPS, where: str = "true") -> str:
     number = "row_number() OVER (ORDER BY raw DESC, key)"
-    columns = "ranking, {p}key, round(raw, 6) AS measure".format(p="place, " if place else "")
+    columns = f"ranking, {'place, ' if place else ''}key, round(raw, 6) AS measure"
     return f"""
         WITH drivers AS (
             SELECT 'top_drivers' AS ranking, hack_license AS key, money_per_min AS raw
