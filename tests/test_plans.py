@@ -26,7 +26,7 @@ def test_rankings_take_the_top_without_a_full_sort(spark, name):
     assert plan.count("Exchange hashpartitioning") == (2 if name == "top_taxis_exact" else 1)
 
 
-PLANNED = [n for n in QUERIES if not n.startswith(("csv_", "job_", "read_by"))]
+PLANNED = [n for n in QUERIES if not n.startswith(("csv_", "job_", "read_by", "input_bytes_"))]
 
 
 @pytest.mark.parametrize("name", PLANNED)

@@ -51,6 +51,11 @@ def test_header_given_as_text(spark, tmp_path):
     assert lines_of(found) == ["1,2", "3,4"]
 
 
+def test_blank_first_line_is_a_header_too(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n1,2\n\n")
+    assert lines_of(sources.read_lines(spark, str(tmp_path))) == ["1,2"]
+
+
 def test_empty_input(spark, tmp_path):
     (tmp_path / "a.csv").write_text("")
     assert lines_of(sources.read_lines(spark, str(tmp_path))) == []

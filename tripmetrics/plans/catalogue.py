@@ -390,6 +390,14 @@ def input_bytes(spark: SparkSession, sf: str) -> DataFrame:
     return op.input_bytes(sources.input_files(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
 
 
+@query
+def input_bytes_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Size of text just written: its characters and one line end for each line."""
+    path = text_file(spark, dirty_lines(spark, sf), "bytes")
+    size = op.input_bytes(sources.input_files(spark, path))
+    return size.select("input_bytes", F.round("input_gb", 9).alias("input_gb"))
+
+
 @query
 def run_economics(spark: SparkSession, sf: str) -> DataFrame:
     found = op.economics(ad.runs_from_orders(ad.table(spark, sf, "orders")))

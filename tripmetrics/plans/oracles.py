@@ -117,6 +117,19 @@ def _dirty_table(blank: str) -> str:
     return f"SELECT {', '.join(columns)} FROM lineitem"
 
 
+def _text_bytes() -> str:
+    cells = list(_dirty_cells("''").values())
+    whole = " || ',' || ".join(f"({c})" for c in cells)
+    line = (
+        f"CASE {_D} WHEN 4 THEN ({cells[0]}) || ',' || ({cells[1]}) WHEN 6 THEN {cells[0]} "
+        f"ELSE {whole} END"
+    )
+    return f"""
+        SELECT input_bytes, round(input_bytes / CAST(1073741824 AS DOUBLE), 9) AS input_gb
+        FROM (SELECT CAST(sum(strlen({line}) + 1) AS BIGINT) AS input_bytes FROM lineitem)
+    """
+
+
 def _conform_missing() -> str:
     known = {
         "medallion": "'M' || l_suppkey",
@@ -247,6 +260,7 @@ ORACLES = {
     "ranking_json": _top_drivers(TRIPS),
     "run_facts": f"SELECT count(*) AS rows_raw, count(*) FILTER (WHERE {CLEAN}) AS rows_kept, "
     f"count(*) FILTER (WHERE NOT ({CLEAN})) AS rows_rejected FROM lineitem",
+    "input_bytes_text": _text_bytes(),
     "run_economics": f"SELECT run_id, rows_raw, records, round(vcpu_minutes, 4) AS vcpu_minutes, "
     f"round(cost_usd, 6) AS cost_usd, round(input_gb, 6) AS input_gb, "
     f"round(records_per_sec, 4) AS records_per_sec, round(cost_per_gb, 6) AS cost_per_gb, "

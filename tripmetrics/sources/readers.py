@@ -54,9 +54,9 @@ def read_lines(spark: SparkSession, path: Paths, header: bool | str = True) -> D
     the header text itself, where it is known, to save looking for it. A gzip
     file cannot be split: one large file is one task until it is staged.
     """
-    if header is True:
-        header = header_line(spark, path)
-    return drop_header(spark.read.text(path), header or None)
+    if isinstance(header, bool):
+        header = header_line(spark, path) if header else None
+    return drop_header(spark.read.text(path), header)
 
 
 def input_files(spark: SparkSession, path: Paths, recursive: bool = True) -> DataFrame:
