@@ -93,6 +93,13 @@ def test_conform_keeps_known_names_in_any_order_and_case(spark):
     assert (row["medallion"], row["total_amount"], row["trip_distance"]) == ("M", None, 2.0)
 
 
+def test_conform_resolves_aliases(spark):
+    df = spark.sql("select 'M' as Taxi_ID, 'H' as license, '60' as duration, '2' as trip_distance")
+    row = op.conform(df).first()
+    assert tuple(row[c] for c in ("medallion", "hack_license", "trip_time_in_secs")) == ("M", "H", 60)
+    assert (row["trip_distance"], row["total_amount"], row["pickup_datetime"]) == (2.0, None, None)
+
+
 def test_name_columns(spark, lineitem_trips):
     assert op.name_columns(by_layout(lineitem_trips, "classic21")).columns == CLASSIC21
     assert op.name_columns(by_layout(lineitem_trips, "classic17"), "classic17").columns == CLASSIC17

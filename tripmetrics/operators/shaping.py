@@ -18,6 +18,7 @@ from tripmetrics.schema import (
 )
 
 _GENERIC = re.compile(r"_c\d+$")
+_KNOWN = {*TRIP17_NAMES, *(alias for names in ALIASES.values() for alias in names)}
 
 
 # ---------------------------------------------------------------- text lines
@@ -104,10 +105,10 @@ def rename_layout(df: DataFrame, layout: str) -> DataFrame:
 def restore_names(df: DataFrame) -> DataFrame:
     """Name columns as trip17 by position when the first name is not a known one.
 
-    Works at any width: fewer columns get the first names, extra columns are
+    Accepted aliases count as known. Works at any width: fewer columns get the first names, extra columns are
     dropped (``extra_columns`` tells how many).
     """
-    if df.columns[0].lower() in TRIP17_NAMES:
+    if df.columns[0].lower() in _KNOWN:
         return df
     kept = len(df.columns) - extra_columns(df)
     # toDF first: the old names may repeat, so they cannot be selected by name.
@@ -136,17 +137,17 @@ def extra_columns(df: DataFrame) -> int:
 
 
 def conform(df: DataFrame, schema: StructType = TRIP17) -> DataFrame:
-    """Exactly the columns and types of ``schema``: restored names, typed nulls for
-    what is missing, values that do not fit their type become null."""
+    """Exactly the columns and types of ``schema``: restored names, aliases resolved,
+    typed nulls for what is missing; values that do not fit their type become null."""
     named = restore_names(df)
-    have = {c.lower(): named.schema[c] for c in named.columns}
-    return named.select(*[_as_field(have.get(f.name.lower()), f) for f in schema])
+    have = {c.lower(): c for c in named.columns}
 
+    def source(target: StructField) -> Column:
+        accepted = ALIASES.get(target.name, (target.name,))
+        found = next((have[name] for name in accepted if name in have), None)
+        return F.lit(None) if found is None else F.col(f"`{found}`")
 
-def _as_field(source: StructField | None, target: StructField) -> Column:
-    if source is None:
-        return F.lit(None).cast(target.dataType).alias(target.name)
-    return _convert(F.col(f"`{source.name}`"), target).alias(target.name)
+    return named.select(*[_convert(source(f), f).alias(f.name) for f in schema])
 
 
 def _convert(c: Column, target: StructField) -> Column:
