@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmetrics.llm import bin_slack, bpe_tree, rule_cascade, simhash_grid
+from tripmetrics.llm import bin_slack, bpe_tree, closed_syncmers, rule_cascade, simhash_grid
 from tripmetrics.llm.common import table
 
 #: Rank file of the byte-level vocabulary; the library takes the path as a parameter.
@@ -23,6 +23,10 @@ def op5_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_cascade.rule_cascade(table(spark, sf_dir, "documents"))
 
 
+def op6_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return closed_syncmers.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_grid.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_rule_cascade": op5_rule_cascade,
+    "op6_closed_syncmers": op6_closed_syncmers,
     "op7_simhash_grid": op7_simhash_grid,
     "op8_bpe_tree": op8_bpe_tree,
     "op10_bin_slack": op10_bin_slack,
