@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmetrics.llm import bin_slack, bpe_tree, closed_syncmers, rule_cascade, simhash_grid
+from tripmetrics.llm import bin_slack, bpe_tree, closed_syncmers, loss_difference, rule_cascade, simhash_grid
 from tripmetrics.llm.common import table
 
 #: Rank file of the byte-level vocabulary; the library takes the path as a parameter.
@@ -35,6 +35,12 @@ def op8_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.round_trip_digests(table(spark, sf_dir, "documents"), _ranks())
 
 
+def op9_loss_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target are the documents that labels call good."""
+    good = table(spark, sf_dir, "labels").filter("quality = 1")
+    return loss_difference.loss_difference(table(spark, sf_dir, "documents"), good)
+
+
 def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_slack.pack_documents(table(spark, sf_dir, "documents"), _ranks())
 
@@ -44,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_closed_syncmers": op6_closed_syncmers,
     "op7_simhash_grid": op7_simhash_grid,
     "op8_bpe_tree": op8_bpe_tree,
+    "op9_loss_difference": op9_loss_difference,
     "op10_bin_slack": op10_bin_slack,
 }
 
