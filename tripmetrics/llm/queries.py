@@ -8,7 +8,15 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmetrics.llm import bin_slack, bpe_tree, closed_syncmers, loss_difference, rule_cascade, simhash_grid
+from tripmetrics.llm import (
+    bin_slack,
+    bpe_tree,
+    closed_syncmers,
+    loss_difference,
+    rule_cascade,
+    simhash_grid,
+    weak_toxicity,
+)
 from tripmetrics.llm.common import table
 
 #: Rank file of the byte-level vocabulary; the library takes the path as a parameter.
@@ -19,6 +27,10 @@ def _ranks() -> str:
     return public_tokenizers.path(RANKS)
 
 
+def op4_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_cascade.rule_cascade(table(spark, sf_dir, "documents"))
 
@@ -46,6 +58,7 @@ def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_weak_toxicity": op4_weak_toxicity,
     "op5_rule_cascade": op5_rule_cascade,
     "op6_closed_syncmers": op6_closed_syncmers,
     "op7_simhash_grid": op7_simhash_grid,
