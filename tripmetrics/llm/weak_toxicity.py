@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import numpy as np
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +40,11 @@ PUBLIC_PATTERN = r"\b(" + "|".join(PUBLIC_LEXICON) + r")\b"
 
 #: Votes.
 CLEAN, TOXIC, SILENT = 0, 1, 2
-VOTERS = ("public", "address", "sure", "likely", "hint", "several", "none")
+VOTERS = ("public", "address", "sure", "likely", "hint", "several", "dense", "none")
+#: Tiers of mined words: the share of toxic documents among those that hold the word.
+TIERS = {"sure": (0.9, 1.1), "likely": (0.6, 0.9), "hint": (0.0, 0.6)}
+#: A text is dense from this share of its words on (mined words of the upper two tiers, or of all).
+DENSE = (0.015, 0.04)
 
 
 def tokens(text: Column) -> Column:
@@ -83,26 +88,32 @@ def mined_words(sample: DataFrame) -> list[tuple[str, float, int]]:
     return [(r.word, r.share, int(r.t)) for r in rows.collect()]  # bounded by MINED
 
 
-def votes(text: Column, found: Column, mined: list[tuple[str, float, int]]) -> Column:
-    """All voters' votes on one text as one number, base 3."""
+def tier(mined: list[tuple[str, float, int]], name: str) -> Column:
+    low, high = TIERS[name]
+    return F.split(F.lit(" ".join(w for w, share, _ in mined if low <= share < high)), " ")
+
 
-    def tier(low: float, high: float) -> Column:
-        lexicon = [w for w, share, _ in mined if low <= share < high]
-        return F.arrays_overlap(found, F.split(F.lit(" ".join(lexicon)), " "))
+def hits(found: Column, mined: list[tuple[str, float, int]]) -> list[Column]:
+    """How many of a text's words and beginnings each tier holds, and how many there are."""
+    of_tiers = [F.size(F.array_intersect(found, tier(mined, name))).alias(name) for name in TIERS]
+    return [*of_tiers, F.greatest(F.size(found), F.lit(1)).alias("size")]
 
-    lower = F.lower(text)
-    sure, likely, hint = tier(0.9, 1.1), tier(0.6, 0.9), tier(0.0, 0.6)
+
+def votes(text: Column, hit: Column) -> Column:
+    """All voters' votes on one text as one number, base 3."""
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    sure, likely, hint, size = (hit[name] for name in (*TIERS, "size"))
     public = F.regexp_like(lower, F.lit(PUBLIC_PATTERN))
-    strong = F.split(F.lit(" ".join(w for w, share, _ in mined if share >= 0.6)), " ")
-    several = F.size(F.array_intersect(found, strong)) >= 2
+    dense = (sure + likely >= DENSE[0] * size) | (sure + likely + hint >= DENSE[1] * size)
     says = [
         F.when(public, TOXIC).otherwise(SILENT),
         F.when(F.regexp_like(lower, F.lit(INSULT_PATTERN)), TOXIC).otherwise(SILENT),
-        F.when(sure, TOXIC).otherwise(SILENT),
-        F.when(likely, TOXIC).otherwise(SILENT),
-        F.when(hint, TOXIC).otherwise(SILENT),
-        F.when(several, TOXIC).otherwise(CLEAN),
-        F.when(sure | likely | hint | public, SILENT).otherwise(CLEAN),
+        F.when(sure > 0, TOXIC).otherwise(SILENT),
+        F.when(likely > 0, TOXIC).otherwise(SILENT),
+        F.when(hint > 0, TOXIC).otherwise(SILENT),
+        F.when(sure + likely >= 2, TOXIC).otherwise(CLEAN),
+        F.when(dense, TOXIC).otherwise(CLEAN),
+        F.when((sure + likely + hint > 0) | public, SILENT).otherwise(CLEAN),
     ]
     code = F.lit(0)
     for vote in says:
@@ -202,8 +213,25 @@ def fitted_label_model(codes: DataFrame, labelled: DataFrame) -> dict[int, float
     return dict(zip(keys.tolist(), model.posterior(matrix).tolist()))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[CountVectorizerModel, LogisticRegressionModel] | None:
-    """The word features and the linear classifier; None where no learnable label is toxic or clean."""
+def features(mined: list[tuple[str, float, int]]) -> PipelineModel:
+    """From tokens and their hits: which words of the vocabulary occur, and each tier's density."""
+    vocabulary = sorted({w for w, _, _ in mined} | set(PUBLIC_LEXICON))
+    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="tokens", outputCol="present")
+    names = [f"density_{name}" for name in TIERS]
+    return PipelineModel(
+        [counter.setBinary(True), VectorAssembler(inputCols=["present", *names], outputCol="features")]
+    )
+
+
+def densities() -> list[Column]:
+    return [
+        F.least(100.0 * F.col("hit")[name] / F.col("hit")["size"], F.lit(20.0)).alias(f"density_{name}")
+        for name in TIERS
+    ]
+
+
+def train(docs: DataFrame, labels: DataFrame) -> tuple[list, PipelineModel] | None:
+    """The mined words, and features and linear classifier; None where no learnable label is toxic or clean."""
     usable = (
         labels.filter(learnable(F.col("doc_id")) & F.col("toxic").isin(0, 1))
         .groupBy("doc_id")
@@ -217,10 +245,10 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[CountVectorizerModel, Log
     mined = mined_words(sample)
     if not mined:
         return None
-    sample = sample.withColumn("code", votes(F.col("text"), F.col("tokens"), mined))
-    cast = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(
-        votes(F.col("text"), tokens(F.col("text")), mined).alias("code")
-    )
+    hit = F.struct(*hits(F.col("tokens"), mined))
+    sample = sample.withColumn("hit", hit).withColumn("code", votes(F.col("text"), F.col("hit")))
+    cast = docs.select("text", tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
+    cast = cast.select("text", hit.alias("hit")).select(votes(F.col("text"), F.col("hit")).alias("code"))
     posterior = fitted_label_model(cast, sample)
     by_code = sample.sparkSession.createDataFrame(list(posterior.items()), "code int, p double")
     both = F.explode(
@@ -229,15 +257,17 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[CountVectorizerModel, Log
             F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight")),
         )
     )
-    vocabulary = sorted({w for w, _, _ in mined} | set(PUBLIC_LEXICON))
-    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="tokens", outputCol="features")
-    counter = counter.setBinary(True)
-    soft = sample.join(F.broadcast(by_code), "code").select("tokens", both.alias("t")).select("tokens", "t.*")
-    linear = LogisticRegression(weightCol="weight", regParam=2e-4, elasticNetParam=0.5, maxIter=100, standardization=False)
-    return counter, linear.fit(counter.transform(soft.filter("weight > 0")))
+    soft = sample.join(F.broadcast(by_code), "code").select(
+        "tokens", *densities(), both.alias("t")
+    ).select("*", "t.*")
+    made = features(mined)
+    linear = LogisticRegression(
+        weightCol="weight", regParam=2e-4, elasticNetParam=0.5, maxIter=100, standardization=False
+    ).fit(made.transform(soft.filter("weight > 0")))
+    return mined, PipelineModel([made, linear])
 
 
-def score(docs: DataFrame, model: tuple[CountVectorizerModel, LogisticRegressionModel] | None) -> DataFrame:
+def score(docs: DataFrame, model: tuple[list, PipelineModel] | None) -> DataFrame:
     """``doc_id`` and the remaining columns of ``docs`` with ``score`` and ``predicted``.
 
     A null text is scored as an empty one. Without a model every text scores 0.
@@ -246,12 +276,14 @@ def score(docs: DataFrame, model: tuple[CountVectorizerModel, LogisticRegression
     if model is None:
         scored = docs.select(F.struct(*columns).alias("row"), F.lit(0.0).alias("score"))
     else:
-        counter, linear = model
+        mined, pipeline = model
         ready = docs.select(
             F.struct(*columns).alias("row"), tokens(F.coalesce("text", F.lit(""))).alias("tokens")
-        )
+        ).withColumn("hit", F.struct(*hits(F.col("tokens"), mined)))
         probability = vector_to_array("probability")[1]
-        scored = linear.transform(counter.transform(ready)).select("row", probability.alias("score"))
+        scored = pipeline.transform(ready.select("row", "tokens", *densities())).select(
+            "row", probability.alias("score")
+        )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
