@@ -12,6 +12,7 @@ from tripmetrics.llm import (
     bin_slack,
     bpe_tree,
     closed_syncmers,
+    line_dedup,
     loss_difference,
     rule_cascade,
     simhash_grid,
@@ -27,6 +28,10 @@ def _ranks() -> str:
     return public_tokenizers.path(RANKS)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_decisions(table(spark, sf_dir, "documents"))
+
+
 def op4_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,6 +63,7 @@ def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_line_dedup": op3_line_dedup,
     "op4_weak_toxicity": op4_weak_toxicity,
     "op5_rule_cascade": op5_rule_cascade,
     "op6_closed_syncmers": op6_closed_syncmers,
