@@ -16,18 +16,25 @@ from tripmetrics.llm import (
     loss_difference,
     rule_cascade,
     simhash_grid,
+    training_order,
     weak_toxicity,
 )
 from tripmetrics.llm.common import table
 
 #: Rank file of the byte-level vocabulary; the library takes the path as a parameter.
 RANKS = "byte_bpe_50k.tiktoken"
+#: Key of the training order.
+ORDER_KEY = 20_260_713
 
 
 def _ranks() -> str:
     return public_tokenizers.path(RANKS)
 
 
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.training_order(table(spark, sf_dir, "documents"), _ranks(), ORDER_KEY)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_decisions(table(spark, sf_dir, "documents"))
 
@@ -63,6 +70,7 @@ def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_training_order": op2_training_order,
     "op3_line_dedup": op3_line_dedup,
     "op4_weak_toxicity": op4_weak_toxicity,
     "op5_rule_cascade": op5_rule_cascade,
