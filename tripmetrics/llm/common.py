@@ -38,3 +38,24 @@ def drawn(share: float, *columns: str) -> Column:
     if share >= 1.0:
         return F.lit(True)
     return F.pmod(F.xxhash64(F.lit("sample"), *columns), F.lit(1 << 30)) < int(share * (1 << 30))
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df`` by name, whatever characters the names hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores in front as it takes to clash with no column of ``df``."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def with_length(df: DataFrame, changed: Column) -> DataFrame:
+    """n_chars, where it is a column, follows the text where ``changed`` holds."""
+    if "n_chars" not in df.columns:
+        return df
+    length = F.length("text").cast(df.schema["n_chars"].dataType)
+    return df.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import kept
+from tripmetrics.llm.common import kept, own_columns, unused, with_length
 from tripmetrics.llm.components import components
 
 #: Characters of a shingle; a shorter line is one shingle.
@@ -211,17 +211,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Blank lines stay. A document that had words and keeps none of them goes; a document that had
     none stays as it is. n_chars, where it is a column, follows the text.
     """
+    doc, gone = unused(docs, "_doc"), unused(docs, "_gone")
     dropped = (
         line_decisions(docs)
         .filter("not kept")
-        .groupBy(F.col("doc_id").alias("_doc_id"))
-        .agg(F.collect_set("line_no").alias("_dropped"))
+        .groupBy(F.col("doc_id").alias(doc))
+        .agg(F.collect_set("line_no").alias(gone))
     )
-    out = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_doc_id"]), "left").withColumn(
-        "text", F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(_left("text", "_dropped"))
+    changed = F.col(gone).isNotNull()
+    out = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped[doc]), "left").withColumn(
+        "text", F.when(changed, _left("text", gone)).otherwise(F.col("text"))
     )
-    out = out.filter(F.col("_dropped").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    if "n_chars" in docs.columns:
-        changed = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("_dropped").isNull(), F.col("n_chars")).otherwise(changed))
-    return out.select(*docs.columns)
+    out = out.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return with_length(out, changed).select(*own_columns(docs))

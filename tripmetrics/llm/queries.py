@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmetrics.llm import (
     bin_slack,
@@ -15,6 +16,7 @@ from tripmetrics.llm import (
     line_dedup,
     loss_difference,
     rule_cascade,
+    secret_forest,
     simhash_grid,
     training_order,
     weak_toxicity,
@@ -31,6 +33,14 @@ def _ranks() -> str:
     return public_tokenizers.path(RANKS)
 
 
+def op1_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document; the value itself is given as its digest only."""
+    found = secret_forest.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "path", "ordinal", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score", "secret"
+    )
+
+
 def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.training_order(table(spark, sf_dir, "documents"), _ranks(), ORDER_KEY)
 
@@ -70,6 +80,7 @@ def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_forest": op1_secret_forest,
     "op2_training_order": op2_training_order,
     "op3_line_dedup": op3_line_dedup,
     "op4_weak_toxicity": op4_weak_toxicity,

@@ -14,13 +14,14 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import kept
+from tripmetrics.llm.common import kept, own_columns, unused
 from tripmetrics.llm.components import components
 
 SEED = 42
@@ -199,6 +200,13 @@ def fingerprint_components(nodes: DataFrame) -> DataFrame:
     return components(near_links(in_blocks(grid_cells(nodes))))
 
 
+def _rooted(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (bits and more) with the root of each fingerprint's component."""
+    linked = fingerprint_components(nodes.select("bits"))
+    joined = nodes.join(linked, nodes["bits"] == linked["node"], "left")
+    return kept(joined.select(*nodes.columns, F.coalesce("root", "bits").alias("root")), "roots")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint and component_id of each row of (doc_id, text).
 
@@ -210,13 +218,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     marked = kept(fingerprints(docs), "fingerprints")
     nodes = kept(marked.groupBy("bits").agg(F.min("doc_id").alias("least")), "nodes")
-    linked = fingerprint_components(nodes.select("bits"))
-    rooted = nodes.join(linked, nodes["bits"] == linked["node"], "left").select(
-        "bits", "least", F.coalesce("root", "bits").alias("root")
-    )
-    rooted = kept(rooted, "roots")
+    rooted = _rooted(nodes)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_bits = rooted.join(least, "root").select("bits", "component_id")
     return marked.join(of_bits, "bits").select(
         "doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates; all columns stay.
+
+    That is the row with the smallest doc_id, rows without one last; of several rows with that id
+    in the group the one with the smallest fingerprint, and of equal ones any.
+    """
+    bits, key, its_bits, its_key = (unused(docs, n) for n in ("_bits", "_key", "_its_bits", "_its_key"))
+
+    @F.pandas_udf("long")
+    def bits_of(text: pd.Series) -> pd.Series:
+        return text.map(fingerprint)
+
+    marked = docs.withColumn(bits, bits_of("text")).withColumn(
+        key, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    )
+    nodes = kept(
+        marked.groupBy(F.col(bits).alias("bits")).agg(F.min(F.struct(F.col(key).alias("key"), F.col(bits).alias("bits"))).alias("least")),
+        "nodes",
+    )
+    first = _rooted(nodes).groupBy("root").agg(F.min("least").alias("first"))
+    first = first.select(F.col("first.bits").alias(its_bits), F.col("first.key").alias(its_key))
+    return (
+        marked.join(first, (F.col(bits) == F.col(its_bits)) & (F.col(key) == F.col(its_key)))
+        .dropDuplicates([bits, key])
+        .select(*own_columns(docs))
+    )

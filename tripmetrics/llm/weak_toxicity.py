@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import drawn, fraction_for, kept
+from tripmetrics.llm.common import drawn, fraction_for, kept, own_columns
 
 #: Labelled documents that lexicons and classifier learn from (about); a bound, not a share.
 LABELLED = 20_000
@@ -268,11 +268,11 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list, PipelineModel] | No
 
 
 def score(docs: DataFrame, model: tuple[list, PipelineModel] | None) -> DataFrame:
-    """``doc_id`` and the remaining columns of ``docs`` with ``score`` and ``predicted``.
+    """Each row of ``docs`` as ``row``, with ``score`` and ``predicted``.
 
     A null text is scored as an empty one. Without a model every text scores 0.
     """
-    columns = docs.columns
+    columns = own_columns(docs)
     if model is None:
         scored = docs.select(F.struct(*columns).alias("row"), F.lit(0.0).alias("score"))
     else:
@@ -298,3 +298,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = score(docs, train(docs, labels))
     held_out = ~F.coalesce(learnable(F.col("row.doc_id")), F.lit(True))
     return scored.select(F.col("row.doc_id").alias("doc_id"), held_out.alias("held_out"), "score", "predicted")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` less the documents that the classifier calls toxic; all columns stay."""
+    return score(docs, train(docs.select("doc_id", "text"), labels)).filter("predicted = 0").select("row.*")
