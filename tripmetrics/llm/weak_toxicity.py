@@ -9,16 +9,22 @@ the labels on which a linear classifier over words is trained, and that classifi
 
 from __future__ import annotations
 
+import math
+import re
+
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import drawn, fraction_for, kept, own_columns
+from tripmetrics.llm.common import drawn, fraction_for, kept, own_columns, unused
 
 #: Labelled documents that lexicons and classifier learn from (about); a bound, not a share.
 LABELLED = 20_000
@@ -35,8 +41,7 @@ PUBLIC_LEXICON = (
 )
 #: Address to a reader shortly before an insult counts as a pattern of its own.
 _ADDRESS = r"\b(you|your|you're|tu|du|ihr|vous|eres|usted)\b\W+(\w+\W+){0,3}"
-INSULT_PATTERN = _ADDRESS + "(" + "|".join(PUBLIC_LEXICON) + r")\b"
-PUBLIC_PATTERN = r"\b(" + "|".join(PUBLIC_LEXICON) + r")\b"
+_ADDRESSED = re.compile(_ADDRESS + "(" + "|".join(PUBLIC_LEXICON) + r")\b")
 
 #: Votes.
 CLEAN, TOXIC, SILENT = 0, 1, 2
@@ -45,16 +50,17 @@ VOTERS = ("public", "address", "sure", "likely", "hint", "several", "dense", "no
 TIERS = {"sure": (0.9, 1.1), "likely": (0.6, 0.9), "hint": (0.0, 0.6)}
 #: A text is dense from this share of its words on (mined words of the upper two tiers, or of all).
 DENSE = (0.015, 0.04)
+#: A density in per cent counts up to this.
+DENSEST = 20.0
 
+_WORD = re.compile(r"[^\W\d_]+")
 
-def tokens(text: Column) -> Column:
+
+def tokens(text: str | None) -> set[str]:
     """Distinct words of letters in lower case, and the beginnings (marked ^) of longer words."""
-    found = F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: w != "")
-    starts = [
-        F.transform(F.filter(found, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.lit("^"), F.substring(w, 1, n)))
-        for n in BEGINNINGS
-    ]
-    return F.array_distinct(F.concat(found, *starts))
+    words = set(_WORD.findall((text or "").lower()))
+    starts = {"^" + word[:n] for n in BEGINNINGS for word in words if len(word) > n}
+    return words | starts
 
 
 def learnable(doc_id: Column) -> Column:
@@ -88,37 +94,41 @@ def mined_words(sample: DataFrame) -> list[tuple[str, float, int]]:
     return [(r.word, r.share, int(r.t)) for r in rows.collect()]  # bounded by MINED
 
 
-def tier(mined: list[tuple[str, float, int]], name: str) -> Column:
-    low, high = TIERS[name]
-    return F.split(F.lit(" ".join(w for w, share, _ in mined if low <= share < high)), " ")
-
-
-def hits(found: Column, mined: list[tuple[str, float, int]]) -> list[Column]:
-    """How many of a text's words and beginnings each tier holds, and how many there are."""
-    of_tiers = [F.size(F.array_intersect(found, tier(mined, name))).alias(name) for name in TIERS]
-    return [*of_tiers, F.greatest(F.size(found), F.lit(1)).alias("size")]
-
-
-def votes(text: Column, hit: Column) -> Column:
-    """All voters' votes on one text as one number, base 3."""
-    lower = F.lower(F.coalesce(text, F.lit("")))
-    sure, likely, hint, size = (hit[name] for name in (*TIERS, "size"))
-    public = F.regexp_like(lower, F.lit(PUBLIC_PATTERN))
-    dense = (sure + likely >= DENSE[0] * size) | (sure + likely + hint >= DENSE[1] * size)
-    says = [
-        F.when(public, TOXIC).otherwise(SILENT),
-        F.when(F.regexp_like(lower, F.lit(INSULT_PATTERN)), TOXIC).otherwise(SILENT),
-        F.when(sure > 0, TOXIC).otherwise(SILENT),
-        F.when(likely > 0, TOXIC).otherwise(SILENT),
-        F.when(hint > 0, TOXIC).otherwise(SILENT),
-        F.when(sure + likely >= 2, TOXIC).otherwise(CLEAN),
-        F.when(dense, TOXIC).otherwise(CLEAN),
-        F.when((sure + likely + hint > 0) | public, SILENT).otherwise(CLEAN),
-    ]
-    code = F.lit(0)
-    for vote in says:
-        code = code * 3 + vote
-    return code.cast("int")
+class Lexicons:
+    """The mined words by tier, and what they say about a text."""
+
+    def __init__(self, mined: list[tuple[str, float, int]]):
+        self.tiers = [{w for w, share, _ in mined if low <= share < high} for low, high in TIERS.values()]
+        self.public = set(PUBLIC_LEXICON)
+        self.vocabulary = sorted(self.public.union(*self.tiers))
+
+    def hits(self, found: set[str]) -> list[int]:
+        return [len(found & tier) for tier in self.tiers]
+
+    def densities(self, found: set[str]) -> list[float]:
+        return [min(100.0 * n / max(len(found), 1), DENSEST) for n in self.hits(found)]
+
+    def code(self, text: str | None, found: set[str]) -> int:
+        """All voters' votes on one text as one number, base 3."""
+        sure, likely, hint = self.hits(found)
+        size = max(len(found), 1)
+        public = not self.public.isdisjoint(found)
+        address = public and _ADDRESSED.search((text or "").lower()) is not None
+        dense = sure + likely >= max(1, DENSE[0] * size) or sure + likely + hint >= max(1, DENSE[1] * size)
+        says = (
+            TOXIC if public else SILENT,
+            TOXIC if address else SILENT,
+            TOXIC if sure else SILENT,
+            TOXIC if likely else SILENT,
+            TOXIC if hint else SILENT,
+            TOXIC if sure + likely >= 2 else CLEAN,
+            TOXIC if dense else CLEAN,
+            SILENT if sure + likely + hint or public else CLEAN,
+        )
+        code = 0
+        for vote in says:
+            code = 3 * code + vote
+        return code
 
 
 def unpacked(codes: np.ndarray, voters: int = len(VOTERS)) -> np.ndarray:
@@ -200,8 +210,8 @@ class LabelModel:
 
 
 def fitted_label_model(codes: DataFrame, labelled: DataFrame) -> dict[int, float]:
-    """Posterior by vote code, from the counts of codes over all documents and over labelled ones."""
-    n = {r.code: r["count"] for r in codes.groupBy("code").count().collect()}  # at most 3 ** voters
+    """Posterior by vote code, from the counts (code, n) over all documents and the labelled ones."""
+    n = {r.code: r.n for r in codes.groupBy("code").agg(F.sum("n").alias("n")).collect()}  # at most 3 ** voters
     known = {(r.code, r.toxic): r["count"] for r in labelled.groupBy("code", "toxic").count().collect()}
     keys = np.array(sorted({*n, *(code for code, _ in known)}), dtype=np.int64)
     if not len(keys):
@@ -213,25 +223,24 @@ def fitted_label_model(codes: DataFrame, labelled: DataFrame) -> dict[int, float
     return dict(zip(keys.tolist(), model.posterior(matrix).tolist()))
 
 
-def features(mined: list[tuple[str, float, int]]) -> PipelineModel:
-    """From tokens and their hits: which words of the vocabulary occur, and each tier's density."""
-    vocabulary = sorted({w for w, _, _ in mined} | set(PUBLIC_LEXICON))
-    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="tokens", outputCol="present")
-    names = [f"density_{name}" for name in TIERS]
-    return PipelineModel(
-        [counter.setBinary(True), VectorAssembler(inputCols=["present", *names], outputCol="features")]
-    )
+class Classifier(NamedTuple):
+    """A linear classifier over which words occur and how dense each tier is."""
 
+    lexicons: Lexicons
+    weights: dict[str, float]
+    of_densities: list[float]
+    intercept: float
 
-def densities() -> list[Column]:
-    return [
-        F.least(100.0 * F.col("hit")[name] / F.col("hit")["size"], F.lit(20.0)).alias(f"density_{name}")
-        for name in TIERS
-    ]
+    def score(self, text: str | None) -> float:
+        found = tokens(text)
+        margin = self.intercept + sum(self.weights[w] for w in found if w in self.weights)
+        for weight, density in zip(self.of_densities, self.lexicons.densities(found)):
+            margin += weight * density
+        return 1 / (1 + math.exp(-margin)) if margin > -500 else 0.0
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[list, PipelineModel] | None:
-    """The mined words, and features and linear classifier; None where no learnable label is toxic or clean."""
+def _learnt_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``toxic``, ``text`` and ``tokens`` of about LABELLED documents whose label may be learnt from."""
     usable = (
         labels.filter(learnable(F.col("doc_id")) & F.col("toxic").isin(0, 1))
         .groupBy("doc_id")
@@ -239,52 +248,86 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list, PipelineModel] | No
     )
     share = fraction_for(LABELLED, usable.count())
     few = F.broadcast(usable.filter(drawn(share, "doc_id")))  # about LABELLED rows
-    sample = kept(
-        docs.join(few, "doc_id").select("toxic", "text", tokens(F.col("text")).alias("tokens")), "labelled"
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sorted(tokens(text.as_py())) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))],
+                names=["toxic", "text", "tokens"],
+            )
+
+    drawn_docs = docs.join(few, "doc_id").select("toxic", "text")
+    return kept(drawn_docs.mapInArrow(run, "toxic int, text string, tokens array<string>"), "labelled")
+
+
+def vote_counts(docs: DataFrame, lexicons: Lexicons) -> DataFrame:
+    """``code`` and ``n``: how many of the texts cast each combination of votes, by task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[int, int] = {}
+        for batch in batches:
+            for value in batch.column(0):
+                text = value.as_py()
+                code = lexicons.code(text, tokens(text))
+                counts[code] = counts.get(code, 0) + 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(counts.keys(), pa.int32()), pa.array(counts.values(), pa.int64())], names=["code", "n"]
+        )
+
+    return docs.select("text").mapInArrow(run, "code int, n long")
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Classifier | None:
+    """The classifier; None where no learnable label is toxic or none is clean."""
+    sample = _learnt_sample(docs, labels)
     mined = mined_words(sample)
     if not mined:
         return None
-    hit = F.struct(*hits(F.col("tokens"), mined))
-    sample = sample.withColumn("hit", hit).withColumn("code", votes(F.col("text"), F.col("hit")))
-    cast = docs.select("text", tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
-    cast = cast.select("text", hit.alias("hit")).select(votes(F.col("text"), F.col("hit")).alias("code"))
-    posterior = fitted_label_model(cast, sample)
+    lexicons = Lexicons(mined)
+
+    @F.pandas_udf("int")
+    def code(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: lexicons.code(t, tokens(t)))
+
+    @F.pandas_udf("array<double>")
+    def densities(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: lexicons.densities(tokens(t)))
+
+    sample = sample.withColumn("code", code("text")).withColumn("density", densities("text"))
+    posterior = fitted_label_model(vote_counts(docs, lexicons), sample)
     by_code = sample.sparkSession.createDataFrame(list(posterior.items()), "code int, p double")
-    both = F.explode(
+    soft = F.explode(
         F.array(
             F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),
             F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight")),
         )
     )
-    soft = sample.join(F.broadcast(by_code), "code").select(
-        "tokens", *densities(), both.alias("t")
-    ).select("*", "t.*")
-    made = features(mined)
+    names = [f"density_{name}" for name in TIERS]
+    rows = sample.join(F.broadcast(by_code), "code").select(
+        "tokens", *(F.col("density")[k].alias(name) for k, name in enumerate(names)), soft.alias("soft")
+    )
+    rows = rows.select("*", "soft.*").filter("weight > 0")
+    counter = CountVectorizerModel.from_vocabulary(lexicons.vocabulary, inputCol="tokens", outputCol="present")
+    assembler = VectorAssembler(inputCols=["present", *names], outputCol="features")
     linear = LogisticRegression(
         weightCol="weight", regParam=2e-4, elasticNetParam=0.5, maxIter=100, standardization=False
-    ).fit(made.transform(soft.filter("weight > 0")))
-    return mined, PipelineModel([made, linear])
+    ).fit(assembler.transform(counter.setBinary(True).transform(rows)))
+    weights = linear.coefficients.toArray().tolist()
+    words = {w: x for w, x in zip(lexicons.vocabulary, weights) if x}
+    return Classifier(lexicons, words, weights[len(lexicons.vocabulary) :], float(linear.intercept))
 
 
-def score(docs: DataFrame, model: tuple[list, PipelineModel] | None) -> DataFrame:
-    """Each row of ``docs`` as ``row``, with ``score`` and ``predicted``.
-
-    A null text is scored as an empty one. Without a model every text scores 0.
-    """
-    columns = own_columns(docs)
+def scores(model: Classifier | None) -> Column:
+    """The score of column ``text``; without a model 0. A null text is scored as an empty one."""
     if model is None:
-        scored = docs.select(F.struct(*columns).alias("row"), F.lit(0.0).alias("score"))
-    else:
-        mined, pipeline = model
-        ready = docs.select(
-            F.struct(*columns).alias("row"), tokens(F.coalesce("text", F.lit(""))).alias("tokens")
-        ).withColumn("hit", F.struct(*hits(F.col("tokens"), mined)))
-        probability = vector_to_array("probability")[1]
-        scored = pipeline.transform(ready.select("row", "tokens", *densities())).select(
-            "row", probability.alias("score")
-        )
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        return F.lit(0.0)
+
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        return text.map(model.score)
+
+    return score("text")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -295,11 +338,14 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     counts as not held out; repeated rows stay repeated; other columns are not looked at.
     """
     docs = docs.select("doc_id", "text")
-    scored = score(docs, train(docs, labels))
-    held_out = ~F.coalesce(learnable(F.col("row.doc_id")), F.lit(True))
-    return scored.select(F.col("row.doc_id").alias("doc_id"), held_out.alias("held_out"), "score", "predicted")
+    model = train(docs, labels)
+    held_out = ~F.coalesce(learnable(F.col("doc_id")), F.lit(True))
+    return docs.select("doc_id", held_out.alias("held_out"), scores(model).alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int")
+    )
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` less the documents that the classifier calls toxic; all columns stay."""
-    return score(docs, train(docs.select("doc_id", "text"), labels)).filter("predicted = 0").select("row.*")
+    model, score = train(docs.select("doc_id", "text"), labels), unused(docs, "_score")
+    return docs.withColumn(score, scores(model)).filter(F.col(score) < 0.5).select(*own_columns(docs))
