@@ -21,19 +21,22 @@ def text(c: ColumnOrName) -> Column:
     return col(c).cast("string")
 
 
+_INFINITY = float("inf")
+
+
 def present(c: ColumnOrName) -> Column:
-    """Neither null nor NaN."""
-    return col(c).isNotNull() & ~F.isnan(col(c))
+    """A finite number. NaN sorts above infinity, so the bound leaves it out too."""
+    return col(c).isNotNull() & (F.abs(col(c)) < F.lit(_INFINITY))
 
 
 def number_or_null(c: ColumnOrName) -> Column:
-    """The number itself, NaN as null."""
-    return F.nanvl(col(c), F.lit(None).cast("double"))
+    """The number itself, NaN and infinities as null."""
+    return F.when(F.abs(col(c)) < F.lit(_INFINITY), col(c))
 
 
 def positive(c: ColumnOrName) -> Column:
-    """Above zero. NaN is excluded by name, because it sorts above every number."""
-    return (col(c) > F.lit(0.0)) & ~F.isnan(col(c))
+    """Above zero and finite; NaN, which sorts above infinity, is left out."""
+    return (col(c) > F.lit(0.0)) & (col(c) < F.lit(_INFINITY))
 
 
 def ratio(a: ColumnOrName, b: ColumnOrName) -> Column:
@@ -56,15 +59,15 @@ def rounded(c: ColumnOrName, digits: int) -> Column:
 
 
 def plain_number(c: ColumnOrName) -> Column:
-    """A double as the shortest text with at least one decimal: 12345678.0, 0.0004, 2.3e-08.
+    """A double as the shortest text with at least one decimal: 12345678.0, 0.0004, 2.3e-08, 1e+24.
 
-    Plain digits from 1e-4 up, an exponent of two digits below that.
+    Plain digits from 1e-4 up to below 1e16, an exponent of at least two digits beyond.
     """
     c = col(c)
-    digits = F.regexp_replace(c.try_cast("decimal(38,15)").cast("string"), r"0+$", "")
+    digits = F.regexp_replace(c.try_cast("decimal(38,21)").cast("string"), r"0+$", "")
     plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    java = c.cast("string")
-    short = F.regexp_replace(F.regexp_replace(java, r"\.0E-", "E-"), r"E-(\d)$", "E-0$1")
-    return F.when((F.abs(c) >= F.lit(1e-4)) | (c == F.lit(0.0)), plain).otherwise(
-        F.regexp_replace(short, "E", "e")
-    )
+    short = F.regexp_replace(c.cast("string"), r"\.0E", "E")
+    signed = F.regexp_replace(F.regexp_replace(short, r"E(\d)", "E+$1"), r"E([+-])(\d)$", "E$10$2")
+    size = F.abs(c)
+    within = ((size >= F.lit(1e-4)) & (size < F.lit(1e16))) | (c == F.lit(0.0))
+    return F.when(within, plain).otherwise(F.regexp_replace(signed, "E", "e"))

@@ -4,6 +4,7 @@ from tripmetrics.operators.facts import (
     economics,
     input_bytes,
     line_facts,
+    reject_facts,
     result_lines,
     run_facts,
     summary,
@@ -28,6 +29,7 @@ from tripmetrics.operators.shaping import (
     extra_columns,
     is_generic,
     layout_for_width,
+    line_widths,
     lines_to_columns,
     name_columns,
     normalize,
@@ -35,6 +37,7 @@ from tripmetrics.operators.shaping import (
     rename_layout,
     resolve_aliases,
     restore_names,
+    settled_width,
     split_lines,
     two_field_lines,
     widest_line,
@@ -55,6 +58,8 @@ __all__ = [
     "is_generic",
     "layout_for_width",
     "line_facts",
+    "reject_facts",
+    "line_widths",
     "lines_to_columns",
     "name_columns",
     "normalize",
@@ -62,6 +67,7 @@ __all__ = [
     "rename_layout",
     "resolve_aliases",
     "restore_names",
+    "settled_width",
     "result_lines",
     "run_facts",
     "sketch_error",

@@ -44,6 +44,25 @@ def line_facts(lines: DataFrame, width: int = len(TRIP17_NAMES)) -> DataFrame:
     )
 
 
+def reject_facts(
+    rows: DataFrame, widths: DataFrame, width: int | None, columns: int | None = None
+) -> DataFrame:
+    """One row on what a job read but did not use.
+
+    ``rows`` has run facts, ``widths`` the records by width (``line_widths`` or
+    ``record_widths``). Records shorter than ``width`` are padded, wider ones lose
+    fields; ``columns`` is how many a table has, of which those past the layout are extra.
+    """
+    sized = widths.agg(
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("records_read"),
+        F.coalesce(F.sum(F.when(F.col("width") < width, F.col("lines"))), F.lit(0)).alias("short_records"),
+        F.coalesce(F.sum(F.when(F.col("width") > width, F.col("lines"))), F.lit(0)).alias("wide_records"),
+        F.lit(max(0, (columns or 0) - len(TRIP17_NAMES))).cast("long").alias("extra_columns"),
+    )
+    (facts,) = rows.select("rows_raw", "rows_kept", "rows_rejected").collect()
+    return sized.select(*(F.lit(v).cast("long").alias(k) for k, v in facts.asDict().items()), "*")
+
+
 def input_bytes(files: DataFrame) -> DataFrame:
     """Number of input files, their bytes and the size in GB (1024 cubed), from
     ``sources.input_files``."""
@@ -108,8 +127,8 @@ def _figure(column: str, types: dict[str, str], digits: int | None) -> Column:
     return shown if column in RUN_OPTIONS else F.coalesce(shown, F.lit("None"))
 
 
-def result_lines(ranking: DataFrame, question: str) -> DataFrame:
-    """A ranking as report lines ``ord``, ``label``, ``value`` under its heading.
+def result_lines(ranking: DataFrame, question: str, n: int = 10) -> DataFrame:
+    """A ranking of ``n`` places as report lines ``ord``, ``label``, ``value`` under its heading.
 
     ``ranking`` has a key and a measure and at most as many rows as were asked
     for, so numbering them in one task is bounded work. It is read twice: pass a
@@ -118,7 +137,7 @@ def result_lines(ranking: DataFrame, question: str) -> DataFrame:
     key, measure = ranking.columns
     spark = ranking.sparkSession
     heading = spark.createDataFrame(
-        [(-2, RESULT_HEADINGS[question], "''")], "ord int, label string, value string"
+        [(-2, RESULT_HEADINGS[question].format(n=n), "''")], "ord int, label string, value string"
     )
     if question == "best_hour":
         hour, average = BEST_HOUR_LABELS

@@ -1,7 +1,8 @@
 """The three questions: best hour, top drivers, top taxis.
 
 Every result is ordered by its measure, highest first, then by its key, so a
-tie has one right answer. Trips with a null key take no part.
+tie has one right answer. Trips with a null key take no part unless
+``null_keys="keep"`` makes null a key like any other, last among equals.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from tripmetrics.functions import (
     num,
     number_or_null,
     positive,
+    present,
     ratio,
 )
 from tripmetrics.schema import SKETCH_RSD
@@ -51,7 +53,7 @@ def hourly_ratio(trips: DataFrame, pickup: str = "strict") -> DataFrame:
         )
         .groupBy("hour")
         .agg(F.avg("ratio").alias("avg_ratio"), F.count_if(counted).alias("trips"))
-        .filter(F.col("trips") > 0)
+        .filter((F.col("trips") > 0) & present("avg_ratio"))
     )
 
 
@@ -63,10 +65,17 @@ def best_hour(trips: DataFrame, pickup: str = "strict") -> DataFrame:
 # ---------------------------------------------------------------- top drivers
 
 
-def driver_rates(trips: DataFrame) -> DataFrame:
+def _with_keys(trips: DataFrame, null_keys: str, *names: str) -> DataFrame:
+    """``drop`` trips with a null key, or ``keep`` them under it."""
+    if null_keys not in ("drop", "keep"):
+        raise ValueError(f"unknown null_keys {null_keys!r}, expected 'drop' or 'keep'")
+    return trips.filter(keys_present(*names)) if null_keys == "drop" else trips
+
+
+def driver_rates(trips: DataFrame, null_keys: str = "drop") -> DataFrame:
     """Money, minutes and money per minute of each driver, over clean trips."""
     return (
-        trips.filter(clean_trip() & keys_present("hack_license"))
+        _with_keys(trips.filter(clean_trip()), null_keys, "hack_license")
         .groupBy("hack_license")
         .agg(
             F.sum(num("total_amount")).alias("money"),
@@ -74,12 +83,13 @@ def driver_rates(trips: DataFrame) -> DataFrame:
         )
         .filter(positive("minutes"))
         .withColumn("money_per_min", ratio("money", "minutes"))
+        .filter(present("money_per_min"))
     )
 
 
-def top_drivers(trips: DataFrame, n: int = 10) -> DataFrame:
+def top_drivers(trips: DataFrame, n: int = 10, null_keys: str = "drop") -> DataFrame:
     """The ``n`` drivers with the most money per minute."""
-    rates = driver_rates(trips).select("hack_license", "money_per_min")
+    rates = driver_rates(trips, null_keys).select("hack_license", "money_per_min")
     return top(rates, "money_per_min", "hack_license", n)
 
 
@@ -93,23 +103,29 @@ def in_scope(trips: DataFrame, scope: str) -> DataFrame:
     return trips.filter(clean_trip()) if scope == "clean" else trips
 
 
-def taxi_driver_pairs(trips: DataFrame, scope: str = "all") -> DataFrame:
+def taxi_driver_pairs(
+    trips: DataFrame, scope: str = "all", null_keys: str = "drop"
+) -> DataFrame:
     """Each taxi with each of its drivers, once.
 
     Equal pairs meet in the map-side aggregate and what is left is spread by
     both keys, so a taxi that holds a large share of all trips is shared out
-    over its drivers.
+    over its drivers. A null driver is nobody, so only a null taxi can be kept.
     """
     return (
-        in_scope(trips, scope)
-        .filter(keys_present("medallion", "hack_license"))
+        _with_keys(in_scope(trips, scope), null_keys, "medallion")
+        .filter(keys_present("hack_license"))
         .select("medallion", "hack_license")
         .distinct()
     )
 
 
 def taxi_drivers(
-    trips: DataFrame, method: str = "exact", scope: str = "all", rsd: float = SKETCH_RSD
+    trips: DataFrame,
+    method: str = "exact",
+    scope: str = "all",
+    rsd: float = SKETCH_RSD,
+    null_keys: str = "drop",
 ) -> DataFrame:
     """Number of distinct drivers of each taxi.
 
@@ -119,14 +135,14 @@ def taxi_drivers(
     """
     if method == "exact":
         return (
-            taxi_driver_pairs(trips, scope)
+            taxi_driver_pairs(trips, scope, null_keys)
             .groupBy("medallion")
             .agg(F.count(F.lit(1)).alias("num_drivers"))
         )
     if method == "approx":
         return (
-            in_scope(trips, scope)
-            .filter(keys_present("medallion", "hack_license"))
+            _with_keys(in_scope(trips, scope), null_keys, "medallion")
+            .filter(keys_present("hack_license"))
             .groupBy("medallion")
             .agg(F.approx_count_distinct("hack_license", rsd).alias("num_drivers"))
         )
@@ -139,9 +155,10 @@ def top_taxis(
     method: str = "exact",
     scope: str = "all",
     rsd: float = SKETCH_RSD,
+    null_keys: str = "drop",
 ) -> DataFrame:
     """The ``n`` taxis with the most distinct drivers."""
-    counts = taxi_drivers(trips, method, scope, rsd)
+    counts = taxi_drivers(trips, method, scope, rsd, null_keys)
     return top(counts, "num_drivers", "medallion", n)
 
 
@@ -172,7 +189,9 @@ def both_rankings(trips: DataFrame, n: int = 10) -> DataFrame:
 
     Trips are reduced to one row for each taxi and driver, the shuffle the exact
     distinct count needs in any case. Both questions are then two grouping sets
-    over those rows, so the input is read once and nothing has to be cached.
+    over those rows, so the input is read once and nothing has to be cached. Places
+    are given in two steps, the first spread over many tasks, so that at any ``n``
+    no task sorts all drivers.
 
     Columns: ``ranking`` (``top_drivers`` or ``top_taxis``), ``place``, ``key``,
     ``measure``.
@@ -203,7 +222,7 @@ def both_rankings(trips: DataFrame, n: int = 10) -> DataFrame:
             _by_kind(
                 "by_taxi", F.col("num_drivers").cast("double"), ratio("money", minutes("secs"))
             ).alias("measure"),
-        ).filter(keys_present("key", "measure")),
+        ).filter(keys_present("key") & present("measure")),
         n,
     )
 
@@ -212,12 +231,20 @@ def _by_kind(flag: str, yes: Column, no: Column) -> Column:
     return F.when(F.col(flag), yes).otherwise(no)
 
 
+#: Tasks that share the first step of giving places.
+SHARES = 64
+
+
 def _places(rows: DataFrame, n: int) -> DataFrame:
-    best_first = W.partitionBy("ranking").orderBy(F.desc("measure"), F.asc("key"))
-    return (
-        rows.withColumn("place", F.row_number().over(best_first))
-        .filter(F.col("place") <= n)
-        .select("ranking", "place", "key", "measure")
+    """The first ``n`` of each share, then the first ``n`` of those."""
+
+    def first(df: DataFrame, *groups: str) -> DataFrame:
+        best_first = W.partitionBy(*groups).orderBy(F.desc("measure"), F.asc("key"))
+        return df.withColumn("place", F.row_number().over(best_first)).filter(F.col("place") <= n)
+
+    spread = rows.withColumn("share", F.pmod(F.xxhash64("key"), F.lit(SHARES)))
+    return first(first(spread, "ranking", "share").drop("place"), "ranking").select(
+        "ranking", "place", "key", "measure"
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tripmetrics.schema import (
     ALIASES,
+    CLASSIC21,
     LAYOUTS,
     REDUCED4,
     REQUIRED,
@@ -18,7 +20,7 @@ from tripmetrics.schema import (
 )
 
 _GENERIC = re.compile(r"_c\d+$")
-_KNOWN = {*TRIP17_NAMES, *(alias for names in ALIASES.values() for alias in names)}
+_KNOWN = {*TRIP17_NAMES, *CLASSIC21, *(alias for names in ALIASES.values() for alias in names)}
 
 
 # ---------------------------------------------------------------- text lines
@@ -56,6 +58,32 @@ def widest_line(lines: DataFrame) -> DataFrame:
     return lines.agg(F.max(F.size(fields())).alias("widest"))
 
 
+def line_widths(lines: DataFrame) -> DataFrame:
+    """``width`` and ``lines``: how many lines have how many fields."""
+    return lines.groupBy(F.size(fields()).alias("width")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def settled_width(widths: DataFrame) -> int | None:
+    """The one width that lines agree on, short lines aside; None without lines.
+
+    Short lines can be padded. But if some lines are wider than most, taking the
+    widest would name all columns by those few lines, and taking another would
+    cut fields, so that is an error that lists the counts: give a layout.
+    """
+    # A row for each width; a table has few, and a handful is enough to tell.
+    common = widths.orderBy(F.desc("lines"), F.desc("width")).limit(20).collect()
+    if not common:
+        return None
+    width, widest = common[0]["width"], widths.agg(F.max("width")).first()[0]
+    if widest > width:
+        counts = {row["width"]: row["lines"] for row in common}
+        raise ValueError(
+            f"lines disagree in width, {widest} at most, most often {width} (lines by width: "
+            f"{counts}); give a layout or a width"
+        )
+    return width
+
+
 def lines_to_columns(
     lines: DataFrame, width: int | None = None, blank_as_null: bool = False
 ) -> DataFrame:
@@ -103,12 +131,14 @@ def rename_layout(df: DataFrame, layout: str) -> DataFrame:
 
 
 def restore_names(df: DataFrame) -> DataFrame:
-    """Name columns as trip17 by position when the first name is not a known one.
+    """Name columns as trip17 by position when no name is a known one.
 
-    Accepted aliases count as known. Works at any width: fewer columns get the first names, extra columns are
-    dropped (``extra_columns`` tells how many).
+    Names of any layout and accepted aliases are known: a table with even one of
+    them has names of its own and is left alone, wherever its columns stand. Works
+    at any width: fewer columns get the first names, extra columns are dropped
+    (``extra_columns`` tells how many).
     """
-    if df.columns[0].lower() in _KNOWN:
+    if any(name.lower() in _KNOWN for name in df.columns):
         return df
     kept = len(df.columns) - extra_columns(df)
     # toDF first: the old names may repeat, so they cannot be selected by name.
@@ -122,7 +152,7 @@ def name_columns(df: DataFrame, layout: str | None = None) -> DataFrame:
     """Known names for any trip table, without touching its values.
 
     Generic columns are named by ``layout``, or by their number when none is
-    given; a table whose first name is unknown is named as trip17 by position.
+    given; a table without any known name is named as trip17 by position.
     """
     if is_generic(df):
         layout = layout or layout_for_width(len(df.columns))
@@ -140,16 +170,24 @@ def conform(df: DataFrame, schema: StructType = TRIP17) -> DataFrame:
     """Exactly the columns and types of ``schema``: restored names, aliases resolved,
     typed nulls for what is missing; values that do not fit their type become null."""
     named = restore_names(df)
-    have = {c.lower(): c for c in named.columns}
+    found = _by_alias(named, schema.fieldNames())
 
     def source(target: StructField) -> Column:
-        accepted = ALIASES.get(target.name, (target.name,))
-        found = next((have[name] for name in accepted if name in have), None)
-        return F.lit(None) if found is None else F.col(f"`{found}`")
+        name = found[target.name]
+        return F.lit(None) if name is None else F.col(f"`{name}`")
 
     return named.select(*[_convert(source(f), f).alias(f.name) for f in schema])
 
 
+def _by_alias(df: DataFrame, names: Iterable[str]) -> dict[str, str | None]:
+    """The column of ``df`` that stands for each name, by the alias table, ignoring case."""
+    seen = {c.lower(): c for c in df.columns}
+    return {
+        name: next((seen[a] for a in ALIASES.get(name, (name,)) if a in seen), None)
+        for name in names
+    }
+
+
 def _convert(c: Column, target: StructField) -> Column:
     if isinstance(target.dataType, StringType):
         return c.cast("string")
@@ -164,11 +202,7 @@ def resolve_aliases(df: DataFrame) -> dict[str, str]:
 
     Raises ``ValueError`` that lists every required column that is missing.
     """
-    seen = {c.lower(): c for c in df.columns}
-    found = {
-        name: next((seen[a] for a in aliases if a in seen), None)
-        for name, aliases in ALIASES.items()
-    }
+    found = _by_alias(df, ALIASES)
     missing = [name for name in REQUIRED if found[name] is None]
     if missing:
         raise ValueError(f"missing required columns {missing}; the input has {df.columns}")

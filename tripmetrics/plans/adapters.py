@@ -21,6 +21,16 @@ DIRT = {
     0.08: "distance is zero",
     0.09: "seconds are nan",
 }
+# And by its line number, where the discount is 0.10.
+MORE_DIRT = {
+    1: "seconds are inf",
+    2: "total is inf",
+    3: "total is -inf",
+    4: "seconds are 1e400",
+    5: "four fields too many",
+    6: "surcharge is inf",
+    7: "surcharge is no number",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,12 +77,24 @@ def _trip17(df: DataFrame, **known: Column) -> DataFrame:
     )
 
 
+def more_dirt(line: int) -> Column:
+    return (F.col("l_discount") == 0.10) & (F.col("l_linenumber") == line)
+
+
 def dirty_trip_columns(lineitem: DataFrame) -> dict[str, Column]:
     """The 17 text fields of a trip, spoiled by the discount rule above."""
     def spoiled(discount: float, bad: str, good: Column) -> Column:
         return F.when(F.col("l_discount") == discount, F.lit(bad)).otherwise(good)
 
-    seconds = (F.col("l_quantity") * 60).cast("string")
+    def spoiled_line(line: int, bad: str, good: Column) -> Column:
+        return F.when(more_dirt(line), F.lit(bad)).otherwise(good)
+
+    seconds = spoiled_line(
+        1, "inf", spoiled_line(4, "1e400", (F.col("l_quantity") * 60).cast("string"))
+    )
+    total = spoiled_line(
+        2, "inf", spoiled_line(3, "-inf", F.col("l_extendedprice").cast("string"))
+    )
     distance = F.col("l_quantity").cast("string")
     day = F.col("l_shipdate").cast("string")
     fields = dict.fromkeys(TRIP17_NAMES, F.lit("0"))
@@ -86,20 +108,21 @@ def dirty_trip_columns(lineitem: DataFrame) -> dict[str, Column]:
         ),
         trip_distance=spoiled(0.02, "nan", spoiled(0.08, "0.0", distance)),
         payment_type=F.col("l_returnflag"),
-        surcharge=F.col("l_tax").cast("string"),
-        total_amount=spoiled(0.05, "", F.col("l_extendedprice").cast("string")),
+        surcharge=spoiled_line(6, "inf", spoiled_line(7, "x", F.col("l_tax").cast("string"))),
+        total_amount=spoiled(0.05, "", total),
     )
     return fields
 
 
 def dirty_trip_lines(lineitem: DataFrame) -> DataFrame:
-    """Dirty trips as comma text ``value``: most lines 17 fields wide, some two or one."""
+    """Dirty trips as comma text ``value``: most lines 17 fields wide, some two, one or 21."""
     fields = dirty_trip_columns(lineitem)
     cells = [fields[name] for name in TRIP17_NAMES]
     whole = F.concat_ws(",", *cells)
     return lineitem.select(
         F.when(F.col("l_discount") == 0.04, F.concat_ws(",", *cells[:2]))
         .when(F.col("l_discount") == 0.06, cells[0])
+        .when(more_dirt(5), F.concat(whole, F.lit(",x,x,x,x")))
         .otherwise(whole)
         .alias("value")
     )
@@ -163,3 +186,15 @@ def runs_from_orders(orders: DataFrame) -> DataFrame:
         (F.sum("o_orderkey").cast("double") / F.lit(100000.0)).alias("runtime_sec"),
         F.lit(6).alias("vcpus"),
     ).withColumnRenamed("o_orderstatus", "run_id")
+
+
+def full_runs_from_orders(orders: DataFrame) -> DataFrame:
+    """The same runs with every optional figure, named after it and the run."""
+    names = ("task", "input_path", "staging", "output_json")
+    return runs_from_orders(orders).withColumns(
+        {name: F.concat(F.lit(f"{name} of "), F.col("run_id")) for name in names}
+        | {
+            "taxis_sec": F.col("rows_raw") / F.lit(1000.0),
+            "drivers_sec": F.col("records") / F.lit(1000.0),
+        }
+    )

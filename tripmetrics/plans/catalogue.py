@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmetrics import operators as op
@@ -123,8 +123,13 @@ def top_drivers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def driver_rates(spark: SparkSession, sf: str) -> DataFrame:
-    found = op.driver_rates(lineitem_trips(spark, sf))
-    return rates(found.withColumn("money", F.round("money", 4)))
+    """Money and time as whole cents and seconds: no exact half is left to round either way."""
+    return op.driver_rates(lineitem_trips(spark, sf)).select(
+        "hack_license",
+        F.round(F.col("money") * 100).cast("long").alias("cents"),
+        F.round(F.col("minutes") * 60).cast("long").alias("seconds"),
+        F.round("money_per_min", 9).alias("money_per_min"),
+    )
 
 
 @query
@@ -230,7 +235,7 @@ def parse_numbers(spark: SparkSession, sf: str) -> DataFrame:
         num("trip_distance").alias("distance"),
         num("total_amount").alias("total"),
     )
-    return parsed.filter(present("secs") & positive("distance") & F.col("total").isNotNull())
+    return parsed.filter(present("secs") & positive("distance") & present("total"))
 
 
 # ----------------------------------------------------------- names and types
@@ -415,12 +420,31 @@ def run_economics(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query
-def summary_text(spark: SparkSession, sf: str) -> DataFrame:
+def reports(spark: SparkSession, sf: str, style: str) -> DataFrame:
     """The report of every run as text lines, written and read back."""
-    runs = op.economics(ad.runs_from_orders(ad.table(spark, sf, "orders")))
+    runs = op.economics(ad.full_runs_from_orders(ad.table(spark, sf, "orders")))
     out = sources.scratch_path(spark, "summary")
-    return spark.read.text(sinks.write_summary_text(op.summary(runs), out))
+    return spark.read.text(sinks.write_summary_text(op.summary(runs, style), out))
+
+
+@query
+def summary_text(spark: SparkSession, sf: str) -> DataFrame:
+    return reports(spark, sf, "economic")
+
+
+@query
+def summary_combined(spark: SparkSession, sf: str) -> DataFrame:
+    return reports(spark, sf, "combined")
+
+
+@query
+def summary_short(spark: SparkSession, sf: str) -> DataFrame:
+    return reports(spark, sf, "short")
+
+
+@query
+def summary_staged(spark: SparkSession, sf: str) -> DataFrame:
+    return reports(spark, sf, "staged")
 
 
 # --------------------------------------------------------------- whole jobs
@@ -481,3 +505,128 @@ def job_best_hour_report(spark: SparkSession, sf: str) -> DataFrame:
     )
     report = spark.read.text(written["summary"])
     return report.filter(F.col("value").rlike("^\\('(Best Hour|Average Ratio|Total Records)'"))
+
+
+# ------------------------------------------------- odd inputs, bounds, null keys
+
+
+def first_line(lines: DataFrame, odd: Column) -> DataFrame:
+    """The lines in one file, an odd one first."""
+    return lines.repartition(1).sortWithinPartitions(F.when(odd, 0).otherwise(1))
+
+
+def trips_and_clean(trips: DataFrame) -> DataFrame:
+    return trips.groupBy("medallion").agg(
+        F.count(F.lit(1)).alias("trips"), F.count_if(clean_trip()).alias("clean_trips")
+    )
+
+
+@query
+def hourly_ratio_dirty_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Bad and endless distances, surcharges and times, from text."""
+    return hours(op.hourly_ratio(dirty_trips(spark, sf)))
+
+
+@query
+def csv_first_record_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Malformed records are dropped, the first as any other; the layout gives the width.
+
+    Short records are padded before, so that only wide ones are malformed.
+    """
+    cells = F.size(F.split("value", ","))
+    padding = F.repeat(F.lit(","), F.greatest(F.lit(0), len(TRIP17_NAMES) - cells))
+    lines = dirty_lines(spark, sf).select(F.concat("value", padding).alias("value"))
+    path = text_file(spark, first_line(lines, cells > len(TRIP17_NAMES)), "csv-wide")
+    records = sources.read_trips(spark, path, "csv", header=False, layout="trip17")
+    return trips_and_clean(op.conform(op.name_columns(records)))
+
+
+@query
+def csv_first_record_short(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record is kept; a first one of a single field narrows none of them."""
+    short = F.size(F.split("value", ",")) == 1
+    path = text_file(spark, first_line(dirty_lines(spark, sf), short), "csv-short")
+    records = sources.read_trips(spark, path, "csv_permissive", header=False, layout="trip17")
+    return trips_and_clean(op.conform(op.name_columns(records)))
+
+
+@query
+def lines_one_wide_line(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with stray fields, which would look like another layout, under a hint."""
+    path = text_file(spark, dirty_lines(spark, sf), "lines-wide")
+    trips = sources.read_trips(spark, path, "lines", header=False, layout="trip17")
+    return rates(op.top_drivers(op.normalize(trips, "trip17")))
+
+
+@query
+def conform_unknown_first_name(spark: SparkSession, sf: str) -> DataFrame:
+    """A named table keeps its names, whatever comes first."""
+    trips = lineitem_trips(spark, sf).select(
+        F.lit("T").alias("trip_id"), "trip_distance", F.col("hack_license").alias("Driver_ID"),
+        "medallion", "trip_time_in_secs", "total_amount",
+    )
+    return op.conform(trips).select(*REQUIRED, "trip_distance")
+
+
+@query
+def job_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """What a job over dirty text left out, padded and cut."""
+    written = jobs.run(
+        spark, "top_drivers", dirty_file(spark, sf), sources.scratch_path(spark, "job-rejects"),
+        layout="trip17", style="short", rejects=True,
+    )
+    names = (
+        "rows_raw", "rows_kept", "rows_rejected", "records_read", "short_records",
+        "wide_records", "extra_columns",
+    )
+    schema = ", ".join(f"{name} long" for name in names)
+    return spark.read.schema(schema).json(written["rejects"])
+
+
+def within_bound(exact: DataFrame, approx: DataFrame, key: str) -> DataFrame:
+    """Exact counts, and whether the sketch is within four standard deviations of them."""
+    both = exact.select(key, "num_drivers", F.lit(0).alias("sketch")).unionByName(
+        approx.select(key, F.lit(0).alias("num_drivers"), F.col("num_drivers").alias("sketch"))
+    )
+    summed = both.groupBy(key).agg(
+        F.sum("num_drivers").alias("num_drivers"), F.sum("sketch").alias("sketch")
+    )
+    off = F.abs(F.col("sketch") - F.col("num_drivers"))
+    return summed.select(
+        key, "num_drivers", (off <= 4 * SKETCH_RSD * F.col("num_drivers")).alias("within_bound")
+    )
+
+
+@query
+def taxi_drivers_within_bound(spark: SparkSession, sf: str) -> DataFrame:
+    """The approximate count of every taxi over clean trips beside the exact one."""
+    trips = dirty_trips(spark, sf)
+    exact = op.taxi_drivers(trips, scope="clean")
+    return within_bound(exact, op.taxi_drivers(trips, "approx", "clean"), "medallion")
+
+
+@query
+def both_shared_within_bound(spark: SparkSession, sf: str) -> DataFrame:
+    """The approximate form of the two tables, all taxis, beside the exact one."""
+    trips = dirty_trips(spark, sf)
+    exact, approx = (
+        op.both_rankings_shared(trips, n=1_000_000, method=method)["top_taxis"]
+        for method in ("exact", "approx")
+    )
+    return within_bound(exact, approx, "medallion").withColumnRenamed("medallion", "key")
+
+
+@query
+def top_drivers_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The trips without a license, and those of one more driver, under the null key."""
+    license = F.nullif(F.col("hack_license"), F.lit("H1"))
+    trips = dirty_trips(spark, sf).withColumn("hack_license", license)
+    return rates(op.top_drivers(trips, n=100, null_keys="keep"))
+
+
+@query
+def top_taxis_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """A group of taxis without a medallion, ranked under the null key."""
+    medallion = F.when(~F.col("medallion").startswith("M1"), F.col("medallion"))
+    trips = dirty_trips(spark, sf).withColumn("medallion", medallion)
+    return op.top_taxis(trips, null_keys="keep")

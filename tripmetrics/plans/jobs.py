@@ -11,7 +11,15 @@ from pyspark.sql import functions as F
 
 from tripmetrics import operators as op
 from tripmetrics import sinks, sources
-from tripmetrics.schema import COST_PER_VCPU_MIN, RUNS, SKETCH_RSD, TASKS
+from tripmetrics.schema import (
+    COST_PER_VCPU_MIN,
+    LAYOUTS,
+    RUNS,
+    SKETCH_RSD,
+    SUMMARY_STYLES,
+    TASKS,
+    TRIP17_NAMES,
+)
 
 BEST_HOUR_COLUMNS = ("pickup_datetime", "trip_distance", "surcharge")
 
@@ -57,6 +65,9 @@ def run(
     cost_per_vcpu_min: float = COST_PER_VCPU_MIN,
     style: str = "economic",
     run_id: str = "run",
+    null_keys: str = "drop",
+    input_bytes: int | None = None,
+    rejects: bool = False,
 ) -> dict[str, str]:
     """Answer one question, or ``both`` rankings; gives back where each result was written.
 
@@ -66,7 +77,16 @@ def run(
 
     The ``economic`` report holds the result and counts every row read as a
     record; the other styles leave the result to the JSON and count clean rows.
+
+    With ``rejects`` a JSON line ``rejects`` says how many rows the cleaning rule left
+    out and how many records were shorter or wider than the layout, which takes one
+    more pass over text. ``input_bytes``, where it is known, saves asking the file system.
     """
+    known = (*TASKS, "both")
+    if question not in known:
+        raise ValueError(f"unknown question {question!r}, expected one of {sorted(known)}")
+    if style not in SUMMARY_STYLES:
+        raise ValueError(f"unknown style {style!r}, expected one of {sorted(SUMMARY_STYLES)}")
     start = time.monotonic()
     out = out_dir.rstrip("/")
     staging = (staging or sinks.staging_path(out)) if staged else None
@@ -74,6 +94,7 @@ def run(
         trips = stage(spark, path, staging, fmt, header, layout, staging_files)
     else:
         trips = sources.read_trips(spark, path, fmt, header, infer, layout)
+    columns = len(trips.columns)
     if question == "best_hour":
         trips = op.name_columns(trips, layout).select(*BEST_HOUR_COLUMNS)
     else:
@@ -81,8 +102,8 @@ def run(
 
     rankings: dict[str, Callable[[], DataFrame]] = {
         "best_hour": lambda: op.best_hour(trips, pickup),
-        "top_drivers": lambda: op.top_drivers(trips, n),
-        "top_taxis": lambda: op.top_taxis(trips, n, method, scope, rsd),
+        "top_drivers": lambda: op.top_drivers(trips, n, null_keys),
+        "top_taxis": lambda: op.top_taxis(trips, n, method, scope, rsd, null_keys),
     }
     questions = ["top_taxis", "top_drivers"] if question == "both" else [question]
     # Text is costly to parse and is needed more than once, for the rankings and
@@ -99,7 +120,7 @@ def run(
             written[q] = sinks.write_ranking_json(ranking, f"{out}/{result_dir(q, n)}")
             took[q] = time.monotonic() - begun
             if style == "economic":
-                lines = op.result_lines(spark.read.schema(ranking.schema).json(written[q]), q)
+                lines = op.result_lines(spark.read.schema(ranking.schema).json(written[q]), q, n)
                 report.append(lines.withColumn("ord", F.col("ord") + (n + 10) * i))
         runtime = time.monotonic() - start
         rows_raw, rows_kept = _row_counts(trips, question)
@@ -108,10 +129,10 @@ def run(
         "run_id": run_id,
         "rows_raw": rows_raw,
         "records": rows_raw if style == "economic" else rows_kept,
-        "input_bytes": op.input_bytes(sources.input_files(spark, path)).first()["input_bytes"],
+        "input_bytes": sources.listed_bytes(spark, path) if input_bytes is None else input_bytes,
         "runtime_sec": runtime,
         "vcpus": vcpus,
-        "task": "; ".join(TASKS[q] for q in questions),
+        "task": "; ".join(TASKS[q].format(n=n) for q in questions),
         "input_path": path,
         "staging": staging,
         "output_json": "; ".join(written.values()),
@@ -124,6 +145,10 @@ def run(
     )
     for lines in report:
         figures = figures.unionByName(lines)
+    if rejects:
+        written["rejects"] = _write_rejects(
+            spark, path, fmt, header, layout, columns, (rows_raw, rows_kept), f"{out}/rejects"
+        )
     written["summary"] = sinks.write_summary_text(figures, f"{out}/results_summary")
     return written
 
@@ -135,3 +160,27 @@ def _row_counts(trips: DataFrame, question: str) -> tuple[int, int]:
         return rows, rows
     facts = op.run_facts(trips).first()
     return facts["rows_raw"], facts["rows_kept"]
+
+
+def _write_rejects(
+    spark: SparkSession,
+    path: str,
+    fmt: str,
+    header: bool | str,
+    layout: str | None,
+    columns: int,
+    counts: tuple[int, int],
+    out: str,
+) -> str:
+    raw, kept = counts
+    width = LAYOUTS[layout][1] if layout else len(TRIP17_NAMES)
+    if fmt == "lines":
+        widths = op.line_widths(sources.read_lines(spark, path, header))
+    elif fmt == "parquet":
+        widths = sources.from_rows(spark, [(width, raw)], "width int, lines long")
+    else:
+        widths = sources.record_widths(spark, path)
+    rows = sources.from_rows(
+        spark, [(raw, kept, raw - kept)], "rows_raw long, rows_kept long, rows_rejected long"
+    )
+    return sinks.write_ranking_json(op.reject_facts(rows, widths, width, columns), out)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    DataType,
     DoubleType,
     IntegerType,
     LongType,
@@ -12,71 +11,108 @@ from pyspark.sql.types import (
     StructType,
 )
 
-_TYPES: dict[str, DataType] = {
-    "STRING": StringType(),
-    "DOUBLE": DoubleType(),
-    "BIGINT": LongType(),
-    "INT": IntegerType(),
-}
-
-
-def struct_of(columns: str) -> StructType:
-    """A struct from ``name TYPE, name TYPE``, all nullable, without a session."""
-    pairs = (c.split() for c in columns.split(","))
-    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
-
-
 # --------------------------------------------------------------------------
 # Fixed values. Column orders, accepted names, date patterns, labels and the
 # cost rate below have to equal what existing trip files and reports use.
 # --------------------------------------------------------------------------
 
-TRIP17 = struct_of(
-    """
-    medallion STRING,
-    hack_license STRING,
-    pickup_datetime STRING,
-    dropoff_datetime STRING,
-    trip_time_in_secs DOUBLE,
-    trip_distance DOUBLE,
-    pickup_longitude DOUBLE,
-    pickup_latitude DOUBLE,
-    dropoff_longitude DOUBLE,
-    dropoff_latitude DOUBLE,
-    payment_type STRING,
-    fare_amount DOUBLE,
-    surcharge DOUBLE,
-    mta_tax DOUBLE,
-    tip_amount DOUBLE,
-    tolls_amount DOUBLE,
-    total_amount DOUBLE
-    """
+TRIP17 = StructType(
+    [
+        StructField("medallion", StringType()),
+        StructField("hack_license", StringType()),
+        StructField("pickup_datetime", StringType()),
+        StructField("dropoff_datetime", StringType()),
+        StructField("trip_time_in_secs", DoubleType()),
+        StructField("trip_distance", DoubleType()),
+        StructField("pickup_longitude", DoubleType()),
+        StructField("pickup_latitude", DoubleType()),
+        StructField("dropoff_longitude", DoubleType()),
+        StructField("dropoff_latitude", DoubleType()),
+        StructField("payment_type", StringType()),
+        StructField("fare_amount", DoubleType()),
+        StructField("surcharge", DoubleType()),
+        StructField("mta_tax", DoubleType()),
+        StructField("tip_amount", DoubleType()),
+        StructField("tolls_amount", DoubleType()),
+        StructField("total_amount", DoubleType()),
+    ]
 )
 
-REDUCED4 = struct_of(
-    "medallion STRING, hack_license STRING, trip_time_in_secs DOUBLE, total_amount DOUBLE"
+REDUCED4 = StructType(
+    [
+        StructField("medallion", StringType()),
+        StructField("hack_license", StringType()),
+        StructField("trip_time_in_secs", DoubleType()),
+        StructField("total_amount", DoubleType()),
+    ]
 )
 
 CLASSIC21 = (
-    "medallion hack_license vendor_id rate_code store_and_fwd_flag pickup_datetime "
-    "dropoff_datetime passenger_count trip_time_in_secs trip_distance pickup_longitude "
-    "pickup_latitude dropoff_longitude dropoff_latitude payment_type fare_amount surcharge "
-    "mta_tax tip_amount tolls_amount total_amount"
-).split()
+    "medallion",
+    "hack_license",
+    "vendor_id",
+    "rate_code",
+    "store_and_fwd_flag",
+    "pickup_datetime",
+    "dropoff_datetime",
+    "passenger_count",
+    "trip_time_in_secs",
+    "trip_distance",
+    "pickup_longitude",
+    "pickup_latitude",
+    "dropoff_longitude",
+    "dropoff_latitude",
+    "payment_type",
+    "fare_amount",
+    "surcharge",
+    "mta_tax",
+    "tip_amount",
+    "tolls_amount",
+    "total_amount",
+)
 
 # Twenty columns wide but nineteen names: the last column keeps its generic name.
 CLASSIC20 = (
-    "medallion hack_license vendor_id rate_code store_and_fwd_flag pickup_datetime "
-    "dropoff_datetime passenger_count trip_time_in_secs trip_distance pickup_longitude "
-    "pickup_latitude dropoff_longitude dropoff_latitude payment_type fare_amount surcharge "
-    "mta_tax total_amount"
-).split()
+    "medallion",
+    "hack_license",
+    "vendor_id",
+    "rate_code",
+    "store_and_fwd_flag",
+    "pickup_datetime",
+    "dropoff_datetime",
+    "passenger_count",
+    "trip_time_in_secs",
+    "trip_distance",
+    "pickup_longitude",
+    "pickup_latitude",
+    "dropoff_longitude",
+    "dropoff_latitude",
+    "payment_type",
+    "fare_amount",
+    "surcharge",
+    "mta_tax",
+    "total_amount",
+)
 
 CLASSIC17 = (
-    "medallion hack_license vendor_id rate_code store_and_fwd_flag pickup_datetime "
-    "dropoff_datetime passenger_count trip_time_in_secs trip_distance pickup_longitude "
-    "pickup_latitude dropoff_longitude dropoff_latitude payment_type fare_amount total_amount"
-).split()
+    "medallion",
+    "hack_license",
+    "vendor_id",
+    "rate_code",
+    "store_and_fwd_flag",
+    "pickup_datetime",
+    "dropoff_datetime",
+    "passenger_count",
+    "trip_time_in_secs",
+    "trip_distance",
+    "pickup_longitude",
+    "pickup_latitude",
+    "dropoff_longitude",
+    "dropoff_latitude",
+    "payment_type",
+    "fare_amount",
+    "total_amount",
+)
 
 # Canonical column -> accepted names, first match wins, case does not matter.
 ALIASES = {
@@ -157,15 +193,16 @@ SUMMARY_STYLES = {
     ),
 }
 
+# {n} is the number of places that were asked for.
 RESULT_HEADINGS = {
     "best_hour": "--- Best Hour Result ---",
-    "top_drivers": "--- Top 10 Drivers ---",
-    "top_taxis": "--- Top 10 Taxis ---",
+    "top_drivers": "--- Top {n} Drivers ---",
+    "top_taxis": "--- Top {n} Taxis ---",
 }
 TASKS = {
     "best_hour": "Best hour by surcharge per distance",
-    "top_drivers": "Top 10 drivers by $/min",
-    "top_taxis": "Top 10 medallions by # distinct drivers",
+    "top_drivers": "Top {n} drivers by $/min",
+    "top_taxis": "Top {n} medallions by # distinct drivers",
 }
 BEST_HOUR_LABELS = ("Best Hour", "Average Ratio")
 NO_RESULT_LABEL = "No valid records found"
@@ -185,21 +222,21 @@ LAYOUTS = {
     "classic17": (CLASSIC17, 17),
 }
 
-RUNS = struct_of(
-    """
-    run_id STRING,
-    rows_raw BIGINT,
-    records BIGINT,
-    input_bytes BIGINT,
-    runtime_sec DOUBLE,
-    vcpus INT,
-    task STRING,
-    input_path STRING,
-    staging STRING,
-    output_json STRING,
-    taxis_sec DOUBLE,
-    drivers_sec DOUBLE
-    """
+RUNS = StructType(
+    [
+        StructField("run_id", StringType()),
+        StructField("rows_raw", LongType()),
+        StructField("records", LongType()),
+        StructField("input_bytes", LongType()),
+        StructField("runtime_sec", DoubleType()),
+        StructField("vcpus", IntegerType()),
+        StructField("task", StringType()),
+        StructField("input_path", StringType()),
+        StructField("staging", StringType()),
+        StructField("output_json", StringType()),
+        StructField("taxis_sec", DoubleType()),
+        StructField("drivers_sec", DoubleType()),
+    ]
 )
 
 # Columns of a run that need not apply to it; their report lines are left out then.

@@ -39,18 +39,23 @@ def summary_line(label: str = "label", value: str = "value") -> Column:
     return F.format_string("('%s', %s)", F.col(label), F.col(value))
 
 
-def write_summary_text(summary: DataFrame, path: str) -> str:
+def write_summary_text(summary: DataFrame, path: str, by_run: bool = False) -> str:
     """Write report lines in the order of ``ord`` as text, replacing what is there.
 
     One report, a few dozen lines, becomes one file. A table of reports, told
-    apart by ``run_id``, is spread by run: one directory with one file for each.
+    apart by ``run_id``, becomes one text set sorted by run, each line after its run
+    and a tab; ``by_run`` gives each run a directory of its own instead.
     """
-    if "run_id" in summary.columns:
+    line = summary_line()
+    if "run_id" not in summary.columns:
+        spread = summary.coalesce(1).sortWithinPartitions("ord")
+        writer = spread.select(line.alias("value")).write
+    elif by_run:
         spread = summary.repartition("run_id").sortWithinPartitions("run_id", "ord")
-        writer = spread.select("run_id", summary_line().alias("value")).write.partitionBy("run_id")
+        writer = spread.select("run_id", line.alias("value")).write.partitionBy("run_id")
     else:
-        spread = summary.coalesce(1).sortWithinPartitions("ord")
-        writer = spread.select(summary_line().alias("value")).write
+        spread = summary.orderBy("run_id", "ord")
+        writer = spread.select(F.concat_ws("\t", "run_id", line).alias("value")).write
     writer.mode("overwrite").text(path)
     return path
 

@@ -6,12 +6,14 @@ from tripmetrics.sources.readers import (
     generic_schema,
     header_line,
     input_files,
+    listed_bytes,
     read_csv,
     read_csv_permissive,
     read_lines,
     read_parquet,
     read_staged,
     read_trips,
+    record_widths,
 )
 from tripmetrics.sources.scratch import scratch_path
 
@@ -21,11 +23,13 @@ __all__ = [
     "generic_schema",
     "header_line",
     "input_files",
+    "listed_bytes",
     "read_csv",
     "read_csv_permissive",
     "read_lines",
     "read_parquet",
     "read_staged",
     "read_trips",
+    "record_widths",
     "scratch_path",
 ]

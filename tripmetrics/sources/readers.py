@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from urllib.parse import unquote
+from heapq import merge
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tripmetrics.operators.shaping import drop_header, lines_to_columns
-from tripmetrics.schema import LAYOUTS, TRIP17, struct_of
+from tripmetrics.operators.shaping import drop_header, lines_to_columns, line_widths, settled_width
+from tripmetrics.schema import LAYOUTS, TRIP17
 
 Paths = str | list[str]
 
@@ -26,25 +26,40 @@ def header_line(spark: SparkSession, path: Paths) -> str | None:
     the listing and only its first block is looked at.
     """
     for file in _files_in_order(spark, path):
-        # One file name, whatever pattern characters it holds.
-        lines = spark.read.text(re.sub(r"([\[\]{}*?\\])", r"\\\1", file))
+        lines = spark.read.text(_literal(file))
         first = lines.filter(F.col("_metadata.file_block_start") == 0).select("value").first()
         if first is not None:
             return first["value"]
     return None
 
 
+def _literal(name: str) -> str:
+    """A path pattern for one file name, whatever pattern characters it holds."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", name)
+
+
 def _files_in_order(spark: SparkSession, path: Paths) -> Iterator[str]:
-    """Input files by path: the very first from the listing the driver holds in any
-    case, later ones, if that file has no lines, among those that are not empty."""
-    listed = spark.read.text(path).inputFiles()
-    if not listed:
-        return
-    file = unquote(min(listed))
-    yield file
-    sized = input_files(spark, path, recursive=False).filter(F.col("bytes") > 0)
-    while (file := sized.filter(F.col("path") > file).agg(F.min("path")).first()[0]) is not None:
-        yield file
+    """Input files that are not empty, by path.
+
+    The file system's sorted listing stays in the JVM; a name comes over when it
+    is asked for, mostly one.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def under(pattern: str) -> Iterator[str]:
+        place = jvm.org.apache.hadoop.fs.Path(pattern)
+        for status in place.getFileSystem(conf).globStatus(place) or []:
+            name = status.getPath().toString()
+            if status.isFile():
+                if status.getLen():
+                    yield name
+            else:
+                yield from (f for f in under(f"{_literal(name)}/*") if not _hidden(f, name))
+
+    def _hidden(file: str, folder: str) -> bool:
+        return any(part[:1] in ("_", ".") for part in file[len(folder) + 1 :].split("/"))
+
+    return merge(*(under(one) for one in ([path] if isinstance(path, str) else path)))
 
 
 def read_lines(spark: SparkSession, path: Paths, header: bool | str = True) -> DataFrame:
@@ -67,12 +82,27 @@ def input_files(spark: SparkSession, path: Paths, recursive: bool = True) -> Dat
     return reader.load(path).select("path", F.col("length").alias("bytes"))
 
 
+def listed_bytes(spark: SparkSession, path: Paths) -> int:
+    """Bytes of all input files, from the file system's own summary.
+
+    No task runs and no file name comes to Python, however large the input is.
+    """
+    sc = spark.sparkContext
+    total = 0
+    for one in [path] if isinstance(path, str) else path:
+        place = sc._jvm.org.apache.hadoop.fs.Path(one)
+        system = place.getFileSystem(sc._jsc.hadoopConfiguration())
+        for status in system.globStatus(place) or []:
+            total += system.getContentSummary(status.getPath()).getLength()
+    return total
+
+
 # ------------------------------------------------------------------------ CSV
 
 
 def generic_schema(width: int) -> StructType:
     """``_c0 .. _cN``, all text."""
-    return struct_of(", ".join(f"_c{i} STRING" for i in range(width)))
+    return StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
 
 
 def read_csv(
@@ -106,9 +136,13 @@ def read_csv_permissive(
 ) -> DataFrame:
     """CSV as text columns ``_c0 .. _cN``; short records padded with null.
 
-    Without ``width`` Spark takes it from the first record. Records are kept
-    whatever their width, so columns can be pruned.
+    Records are kept whatever their width, so columns can be pruned; with ``width``
+    longer ones lose what is past it (``record_widths`` and ``csv_quality`` count
+    them). Without ``width`` the records have to agree on one, see
+    ``settled_width``: the first record alone never decides it.
     """
+    if width is None and not header:
+        width = settled_width(record_widths(spark, path))
     reader = (
         spark.read.option("header", header)
         .option("mode", "PERMISSIVE")
@@ -118,6 +152,16 @@ def read_csv_permissive(
     return reader.schema(generic_schema(width)).csv(path) if width else reader.csv(path)
 
 
+def record_widths(spark: SparkSession, path: Paths) -> DataFrame:
+    """``width`` and ``lines``: how many CSV records have how many fields, quotes respected."""
+    outside_quotes = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    commas = spark.read.text(path).filter(F.col("value") != "")
+    width = F.when(F.col("value").contains('"'), F.size(F.split("value", outside_quotes))).otherwise(
+        F.size(F.split("value", ","))
+    )
+    return commas.groupBy(width.alias("width")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 def csv_quality(spark: SparkSession, path: Paths, schema: StructType, header: bool) -> DataFrame:
     """Good and malformed records of a CSV, and good ones without a first field, in one
     aggregate over whole records."""
@@ -170,17 +214,23 @@ def read_trips(
     ``parquet``, ``csv`` (quotes respected, malformed records dropped),
     ``csv_permissive`` (every record kept) or ``lines`` (plain split, padded).
     A ``layout`` hint tells the width of text input, which saves the pass that
-    measures it. Feed the result to ``normalize`` or ``conform``.
+    measures it; without one, nameless records that disagree in width are an
+    error. Feed the result to ``normalize`` or ``conform``.
     """
     width = LAYOUTS[layout][1] if layout else None
     if fmt == "parquet":
         return read_parquet(spark, path)
     if fmt == "csv":
-        return read_csv(spark, path, bool(header), infer)
+        if not header and not width:
+            width = settled_width(record_widths(spark, path))
+        known = generic_schema(width) if width and not header else None
+        return read_csv(spark, path, bool(header), infer, known)
     if fmt == "csv_permissive":
         return read_csv_permissive(spark, path, width, bool(header))
     if fmt == "lines":
-        return lines_to_columns(read_lines(spark, path, header), width, blank_as_null=True)
+        lines = read_lines(spark, path, header)
+        width = width or settled_width(line_widths(lines))
+        return lines_to_columns(lines, width, blank_as_null=True)
     raise ValueError(f"unknown format {fmt!r}, expected parquet, csv, csv_permissive or lines")
 
 
