@@ -56,7 +56,7 @@ def test_economics(spark):
 
 
 @pytest.mark.parametrize(
-    "value", [0.0, 1.0, 12345678.9, 0.0004, 0.00012, 9.9e-05, 2.3e-08, 1e-9, -3.25, 1e-10, 150.0]
+    "value", [0.0, 1.0, 12345678.9, 0.0004, 0.00012, 9.9e-05, 2.3e-08, 1e-9, -3.25, 1e-10, 150.0, 1e24, 1.25e16, 9007199254740993.0, 0.00012345678901234567]
 )
 def test_plain_number_prints_like_a_report(spark, value):
     df = spark.createDataFrame([(value,)], "v double")
@@ -94,13 +94,19 @@ def test_reports_of_many_runs_are_spread_and_stay_in_order(spark, tmp_path):
         "concat('r', id) run_id", "id rows_raw", "id + 1 records", "id * 1000 input_bytes",
         "double(id + 1) runtime_sec", "4 vcpus",
     )
-    out = sinks.write_summary_text(op.summary(op.economics(runs)), str(tmp_path / "s"))
+    reports = op.summary(op.economics(runs))
+    out = sinks.write_summary_text(reports, str(tmp_path / "s"), by_run=True)
     assert out == str(tmp_path / "s")
     labels = [label for label, column, _ in SUMMARY_STYLES["economic"] if column != "staging"]
     for i in range(40):
         lines = text_lines(tmp_path / "s" / f"run_id=r{i}")
         assert [line.split("'")[1] for line in lines] == labels
         assert lines[6] == f"('Total Records', {i + 1})"
+    together = sinks.write_summary_text(reports, str(tmp_path / "t"))
+    found = [line for part in sorted((tmp_path / "t").glob("part-*")) for line in part.read_text().splitlines()]
+    assert together == str(tmp_path / "t") and len(list((tmp_path / "t").glob("run_id=*"))) == 0
+    assert [line.split("\t")[0] for line in found] == sorted(f"r{i}" for i in range(40) for _ in labels)
+    assert [line.split("'")[1] for line in found] == labels * 40
 
 
 def test_unknown_size_and_lines_that_do_not_apply(spark):
@@ -235,3 +241,17 @@ def test_every_kind_of_job(spark, golden_file, golden_trips, tmp_path, kind):
         assert lines[1] == f"('CSV Input', '{path}')"
         assert lines[2] == f"('Staging Parquet', '{tmp_path}/out/staging_parquet')"
         assert "('Rows (filtered)', 10)" in lines
+
+
+def test_jobs_refuse_what_they_do_not_know_before_they_write(spark, tmp_path):
+    out = tmp_path / "out"
+    for wrong in ({"question": "best_day"}, {"question": "both", "style": "loud"}):
+        with pytest.raises(ValueError, match="unknown (question|style)"):
+            jobs.run(spark, path=str(tmp_path / "none"), out_dir=str(out), **wrong)
+    assert not out.exists()
+
+
+def test_headings_name_the_number_of_places(spark, golden_trips):
+    ranking = op.top_drivers(golden_trips, 3)
+    labels = [r["label"] for r in op.result_lines(ranking, "top_drivers", 3).collect()]
+    assert "--- Top 3 Drivers ---" in labels

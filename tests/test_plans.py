@@ -185,3 +185,27 @@ def test_lines_against_plain_split(spark, lines):
     found = op.lines_to_columns(df)
     assert found.columns == [f"_c{i}" for i in range(width)]
     assert sorted(rows(found), key=str) == sorted(want, key=str)
+
+
+def test_no_task_sorts_all_drivers_at_any_n(spark, lineitem_trips):
+    """The places are given by share first, and only what is left of each share meets."""
+    for n in (10, 5000):
+        plan = plan_of(op.both_rankings(lineitem_trips, n))
+        assert plan.count("FileScan") == 1
+        shared = [line for line in plan.splitlines() if "Window [row_number()" in line]
+        assert len(shared) == 2 and sum("share" in line for line in shared) == 1
+    few = op.both_rankings(lineitem_trips, 10).collect()
+    many = op.both_rankings(lineitem_trips, 5000).filter("place <= 10").collect()
+    assert sorted(map(tuple, few)) == sorted(map(tuple, many))
+
+
+def test_endless_and_missing_numbers_win_nothing(spark):
+    inf = float("inf")
+    df = spark.createDataFrame(
+        [("M1", "H1", 60.0, 5.0), ("M1", "H2", inf, inf), ("M1", "H3", 60.0, inf), ("M1", "H3", 60.0, -inf),
+         ("M1", "H4", 60.0, 1e308), ("M1", "H4", 60.0, 1e308)],
+        "medallion string, hack_license string, trip_time_in_secs double, total_amount double",
+    )
+    assert [tuple(r) for r in op.top_drivers(df).collect()] == [("H1", 5.0)]
+    both = op.both_rankings(df).filter("ranking = 'top_drivers'").collect()
+    assert [(r["place"], r["key"]) for r in both] == [(1, "H1")]

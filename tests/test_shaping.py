@@ -18,8 +18,8 @@ def by_layout(trips, layout):
 def test_layout_tables():
     assert len(TRIP17_NAMES) == 17 and ",".join(TRIP17_NAMES) == HEADER
     assert (len(CLASSIC21), len(CLASSIC20), len(CLASSIC17)) == (21, 19, 17)
-    assert CLASSIC20 == CLASSIC21[:18] + ["total_amount"]
-    assert CLASSIC17 == CLASSIC21[:16] + ["total_amount"]
+    assert CLASSIC20 == (*CLASSIC21[:18], "total_amount")
+    assert CLASSIC17 == (*CLASSIC21[:16], "total_amount")
 
 
 @pytest.mark.parametrize("layout", LAYOUTS)
@@ -101,8 +101,8 @@ def test_conform_resolves_aliases(spark):
 
 
 def test_name_columns(spark, lineitem_trips):
-    assert op.name_columns(by_layout(lineitem_trips, "classic21")).columns == CLASSIC21
-    assert op.name_columns(by_layout(lineitem_trips, "classic17"), "classic17").columns == CLASSIC17
+    assert op.name_columns(by_layout(lineitem_trips, "classic21")).columns == list(CLASSIC21)
+    assert op.name_columns(by_layout(lineitem_trips, "classic17"), "classic17").columns == list(CLASSIC17)
     lost = lineitem_trips.toDF(*[f"x{i}" for i in range(17)])
     assert op.name_columns(lost).columns == TRIP17_NAMES
     assert op.name_columns(lineitem_trips).columns == TRIP17_NAMES
@@ -140,3 +140,31 @@ def test_real_timestamps_and_decimals_are_accepted(spark):
     assert rows(op.top_drivers(df)) == [("H", 12.5)]
     assert [f.dataType for f in op.normalize(df).schema] == [f.dataType for f in REDUCED4]
     assert op.normalize(df).filter(F.col("total_amount") == 12.5).count() == 1
+
+
+def test_a_named_table_is_never_named_by_position(spark):
+    named = spark.createDataFrame(
+        [("V1", "M1", "H1", 60.0, 2.0)],
+        "vendor_id string, medallion string, license string, duration double, total double",
+    )
+    want = [("M1", "H1", 60.0, 2.0)]
+    assert rows(op.conform(named).select(*REDUCED4.fieldNames())) == want
+    assert rows(op.normalize(named)) == want
+
+
+@pytest.mark.parametrize("rule", [op.conform, op.normalize])
+def test_an_unknown_first_name_changes_nothing(spark, rule):
+    named = spark.createDataFrame(
+        [("T1", "M1", "H1", 60.0, 2.0)],
+        "trip_id string, medallion string, hack_license string, trip_time_in_secs double, total_amount double",
+    )
+    assert rows(rule(named).select("medallion", "hack_license")) == [("M1", "H1")]
+
+
+def test_widths_that_disagree_are_an_error(spark):
+    lines = spark.createDataFrame([("a,b,c",), ("d,e,f",), ("g",)], "value string")
+    assert op.settled_width(op.line_widths(lines)) == 3
+    wide = lines.union(spark.createDataFrame([("a,b,c,d",)], "value string"))
+    with pytest.raises(ValueError, match="disagree in width, 4 at most, most often 3"):
+        op.settled_width(op.line_widths(wide))
+    assert op.settled_width(op.line_widths(lines.limit(0))) is None

@@ -93,11 +93,40 @@ def test_quotes_and_inference(spark, tmp_path):
     assert rows(op.normalize(df)) == [("A,1", "B", 60.0, 2.5)]
 
 
-def test_permissive_pads_and_cuts(spark, tmp_path):
+def test_permissive_pads_and_a_given_width_cuts(spark, tmp_path):
     (tmp_path / "a.csv").write_text("a,b,c\nd\ne,f,g,h\n")
     want = [("a", "b", "c"), ("d", None, None), ("e", "f", "g")]
     assert rows(sources.read_csv_permissive(spark, str(tmp_path), 3)) == want
-    assert rows(sources.read_csv_permissive(spark, str(tmp_path))) == want
+
+
+def test_the_first_record_decides_no_width(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b\nc,"d,e",f\ng,h,i\n')
+    widths = {(r["width"], r["lines"]) for r in sources.record_widths(spark, str(tmp_path)).collect()}
+    assert widths == {(2, 1), (3, 2)}
+    found = rows(sources.read_csv_permissive(spark, str(tmp_path)))
+    assert found == [("a", "b", None), ("c", "d,e", "f"), ("g", "h", "i")]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "csv_permissive", "lines"])
+def test_stray_fields_are_an_error_without_a_layout(spark, tmp_path, fmt):
+    full = [line for line in GOLDEN.splitlines() if line.count(",") == 16]
+    (tmp_path / "a.csv").write_text("\n".join([full[0] + ",,,,", *full]) + "\n")
+    with pytest.raises(ValueError, match="21 at most, most often 17"):
+        sources.read_trips(spark, str(tmp_path), fmt, header=False)
+    trips = sources.read_trips(spark, str(tmp_path), fmt, header=False, layout="trip17")
+    assert len(trips.columns) == 17
+    assert trips.count() == len(full) + (fmt != "csv")
+
+
+def test_listing_runs_no_task_and_brings_no_names(spark, tmp_path):
+    (tmp_path / "b.txt").write_text("second\n")
+    (tmp_path / "a.txt").write_text("")
+    (tmp_path / "_hidden").write_text("hidden\n")
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    assert sources.listed_bytes(spark, str(tmp_path / "b.txt")) == 7
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert sources.header_line(spark, str(tmp_path)) == "second"
 
 
 def test_headerless_csv_falls_through_to_positions(spark, tmp_path):
