@@ -6,14 +6,16 @@ verified by the exact Jaccard similarity of their shingle sets, and a distribute
 components of the links, of which the first line stays.
 
 A band that many lines share is not spelt out as pairs. First each line is held against the band's
-first line only; after a union-find, lines of the band that still lie in different components are
-held against each other. So no link that the bands find is lost, and a group of near copies costs
-pairs in proportion to its size.
+first line only. After a union-find, the bands whose lines still lie in different components are gone
+through in the tasks that hold them: two lines are compared only if they lie in different components
+and bitmaps of their shingles do not rule a link out, and only links that join components leave the
+task. So no link that the bands find is lost, and a group costs rows in proportion to its size.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 from collections.abc import Iterator
 
@@ -30,6 +32,10 @@ from tripmetrics.llm.components import components
 SHINGLE = 8
 SIMILAR = 0.8
 BANDS, ROWS = 9, 3
+#: Lines of a band that one task compares; larger bands are cut into pairs of blocks.
+BLOCK = 4096
+#: 64-bit words of a shingle bitmap.
+BITMAP = 32
 #: Characters that are hashed at a time.
 CHUNK = 1 << 16
 #: Order of rows without an id: after all others.
@@ -112,18 +118,23 @@ def shingles(line: str) -> set[str]:
 
 def similar(a: str, b: str) -> bool:
     """Whether the Jaccard similarity of two lines' shingle sets reaches the threshold."""
-    one, two = shingles(a), shingles(b)
+    return similar_sets(shingles(a), shingles(b))
+
+
+def similar_sets(one: set[str], two: set[str]) -> bool:
     shared = len(one & two)
     return shared >= SIMILAR * (len(one) + len(two) - shared)
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def candidate_lines(docs: DataFrame, shared: DataFrame) -> DataFrame:
+    """``line_id`` and ``line`` of the lines that share a band with another line."""
+    wanted = shared.select("line_id").distinct()
+    lines = _lines(docs).select("line_id", "line")
+    return kept(lines.join(wanted, "line_id", "left_semi").dropDuplicates(["line_id"]), "lines")
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of line ids whose lines are similar."""
-    pairs = kept(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct()
-    texts = kept(
-        _lines(docs).select("line_id", "line").join(wanted, "line_id", "left_semi").dropDuplicates(["line_id"]), "lines"
-    )
     first = texts.select(F.col("line_id").alias("a"), F.col("line").alias("line_a"))
     second = texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b"))
 
@@ -136,6 +147,78 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").mapInArrow(run, "a binary, b binary")
 
 
+def bitmap(found: set[str]) -> np.ndarray:
+    """A bit for each shingle, several to a bit where their hashes meet."""
+    bits = np.zeros(64 * BITMAP, dtype=np.uint8)
+    bits[[hash_ % (64 * BITMAP) for hash_ in map(zlib.crc32, map(str.encode, found))]] = 1
+    return np.packbits(bits).view(np.uint64)
+
+
+def spanning_links(lines: list[str], roots: list[bytes]) -> list[tuple[int, int]]:
+    """Similar pairs (by place) that join the components ``roots`` of the lines, no more than join them.
+
+    Each bit that one line has and another lacks is at least one shingle that only the first has,
+    so the bits bound the shared shingles from above; a pair that the bound rules out isn't compared.
+    """
+    sets = [shingles(line) for line in lines]
+    sizes = np.array([len(found) for found in sets])
+    bits = np.stack([bitmap(found) for found in sets])
+    numbers = {root: k for k, root in enumerate(dict.fromkeys(roots))}
+    root = np.array([numbers[r] for r in roots])
+    links = []
+    for i in range(len(lines) - 1):
+        later = np.flatnonzero(root[i + 1 :] != root[i]) + i + 1
+        if not len(later):
+            continue
+        own = sizes[i] - np.bitwise_count(bits[i] & ~bits[later]).sum(axis=1, dtype=np.int64)
+        other = sizes[later] - np.bitwise_count(bits[later] & ~bits[i]).sum(axis=1, dtype=np.int64)
+        most = np.minimum(own, other)
+        for j in later[most >= SIMILAR * (sizes[i] + sizes[later] - most)].tolist():
+            if root[i] != root[j] and similar_sets(sets[i], sets[j]):
+                links.append((i, j))
+                root[root == root[j]] = root[i]
+    return links
+
+
+def crowded_links(crowded: DataFrame) -> DataFrame:
+    """Links a, b between components of one band, from (band, line_id, root, line)."""
+    sized = crowded.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    sized = sized.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("line_id"), F.col("blocks")).cast("int")
+    tasks = (
+        crowded.join(sized, "band")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other")).alias("task"),
+            "line_id",
+            "root",
+            "line",
+        )
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(found: list[tuple]) -> pa.RecordBatch:
+            links = spanning_links([row[3] for row in found], [row[2] for row in found]) if len(found) > 1 else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([found[pair[k]][1] for pair in links], pa.binary()) for k in (0, 1)], names=["a", "b"]
+            )
+
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if held and held[0][0] != row[0]:
+                    yield out(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield out(held)
+
+    return (
+        tasks.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a binary, b binary").distinct()
+    )
+
+
 def line_components(docs: DataFrame) -> DataFrame:
     """``node`` and ``root`` of each line (by id) that is similar to a different line."""
     in_band = Window.partitionBy("band")
@@ -143,31 +226,29 @@ def line_components(docs: DataFrame) -> DataFrame:
         banded(docs)
         .repartition("band")
         .distinct()
-        .select("band", "line_id", F.min("line_id").over(in_band).alias("first"), F.count("line_id").over(in_band).alias("n"))
-        .filter("n > 1")
-        .drop("n"),
+        .select(
+            "band",
+            "line_id",
+            F.min("line_id").over(in_band).alias("first"),
+            F.count("line_id").over(in_band).alias("n"),
+        )
+        .filter("n > 1"),
         "bands",
     )
     stars = shared.filter("first != line_id").select(F.col("first").alias("a"), F.col("line_id").alias("b"))
-    links = kept(verified(stars.distinct(), docs), "links")
-    found = kept(components(links), "components")
-    # What the first round left in different components of one band, apart from the pairs it tried.
-    placed = shared.join(found, shared["line_id"] == found["node"], "left").select(
-        "band", "line_id", "first", F.coalesce("root", "line_id").alias("root")
+    texts = candidate_lines(docs, shared)  # both rounds look at these lines only
+    found = kept(components(verified(stars.distinct(), texts)), "components")
+    # In a band of two lines the first round has said all; in a larger one, what is left apart.
+    placed = (
+        shared.filter("n > 2")
+        .join(found, shared["line_id"] == found["node"], "left")
+        .select("band", "line_id", F.coalesce("root", "line_id").alias("root"))
     )
-    open_bands = placed.groupBy("band").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("root").alias("n")
-    )
-    open_bands = open_bands.filter("low != high and n > 2").select("band")
-    rest = kept(placed.join(open_bands, "band"), "open_bands")
-    a, b = rest.alias("a"), rest.alias("b")
-    crossing = (
-        a.join(b, F.col("a.band") == F.col("b.band"))
-        .filter("a.line_id < b.line_id and a.root != b.root and a.line_id != a.first")
-        .select(F.col("a.line_id").alias("a"), F.col("b.line_id").alias("b"))
-        .distinct()
+    apart = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    crowded = kept(
+        placed.join(apart.filter("low != high").select("band"), "band").join(texts, "line_id"), "crowded"
     )
-    more = kept(verified(crossing, docs), "links")
+    more = crowded_links(crowded)
     return components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
