@@ -307,7 +307,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier | None:
     rows = sample.join(F.broadcast(by_code), "code").select(
         "tokens", *(F.col("density")[k].alias(name) for k, name in enumerate(names)), soft.alias("soft")
     )
-    rows = rows.select("*", "soft.*").filter("weight > 0")
+    # The sample is bounded, and every iteration is a job over it: few tasks do.
+    rows = rows.select("*", "soft.*").filter("weight > 0").coalesce(4)
     counter = CountVectorizerModel.from_vocabulary(lexicons.vocabulary, inputCol="tokens", outputCol="present")
     assembler = VectorAssembler(inputCols=["present", *names], outputCol="features")
     linear = LogisticRegression(
