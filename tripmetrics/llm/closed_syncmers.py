@@ -136,7 +136,7 @@ def in_runs(docs: DataFrame) -> DataFrame:
     )
     runs = int(spark.conf.get("spark.sql.shuffle.partitions"))
     steps = [k / runs for k in range(1, runs)] or [0.5]
-    cuts = docs.agg(F.percentile_approx("key", F.lit(steps), 100 * runs)).first()[0] or []
+    cuts = docs.agg(F.percentile_approx("key", F.lit(steps), 20 * runs)).first()[0] or []
     ends = np.unique(np.array(cuts, dtype=np.int64))
 
     @F.pandas_udf("long")
