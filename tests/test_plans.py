@@ -209,3 +209,17 @@ def test_endless_and_missing_numbers_win_nothing(spark):
     assert [tuple(r) for r in op.top_drivers(df).collect()] == [("H1", 5.0)]
     both = op.both_rankings(df).filter("ranking = 'top_drivers'").collect()
     assert [(r["place"], r["key"]) for r in both] == [(1, "H1")]
+
+
+@pytest.mark.parametrize("question", ["top_drivers", "top_taxis"])
+@pytest.mark.parametrize("method", ["exact", "approx"])
+@pytest.mark.parametrize("null_keys", ["drop", "keep"])
+def test_counted_rankings_equal_the_plain_ones(golden_trips, question, method, null_keys):
+    groups, rank = op.counted_ranking(golden_trips, question, method=method, scope="clean", null_keys=null_keys)
+    plain = (
+        op.top_drivers(golden_trips, null_keys=null_keys)
+        if question == "top_drivers"
+        else op.top_taxis(golden_trips, method=method, scope="clean", null_keys=null_keys)
+    )
+    assert rank(groups).collect() == plain.collect()
+    assert op.grouped_facts(groups).first() == op.run_facts(golden_trips).first()

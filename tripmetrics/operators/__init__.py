@@ -13,7 +13,9 @@ from tripmetrics.operators.rankings import (
     best_hour,
     both_rankings,
     both_rankings_shared,
+    counted_ranking,
     driver_rates,
+    grouped_facts,
     hourly_ratio,
     in_scope,
     sketch_error,
@@ -47,8 +49,10 @@ __all__ = [
     "best_hour",
     "both_rankings",
     "both_rankings_shared",
+    "counted_ranking",
     "conform",
     "driver_rates",
+    "grouped_facts",
     "drop_header",
     "economics",
     "extra_columns",

@@ -7,6 +7,8 @@ tie has one right answer. Trips with a null key take no part unless
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -181,6 +183,63 @@ def sketch_error(trips: DataFrame, scope: str = "all", rsd: float = SKETCH_RSD)
     )
 
 
+# ------------------------------------------------- rankings with their row counts
+
+
+def counted_ranking(
+    trips: DataFrame,
+    question: str,
+    n: int = 10,
+    method: str = "exact",
+    scope: str = "all",
+    rsd: float = SKETCH_RSD,
+    null_keys: str = "drop",
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The grouped table of one question, and the ranking as a function of it.
+
+    The groups also hold ``rows_raw`` and ``rows_kept``, so that a job which needs both the
+    ranking and the row counts reads its input once and holds no more than the groups:
+    drivers, taxis, or for exact counts their pairs. ``grouped_facts`` adds the counts up.
+    """
+    clean = clean_trip()
+    counts = (F.count(F.lit(1)).alias("rows_raw"), F.count_if(clean).alias("rows_kept"))
+    if question == "top_drivers":
+        groups = trips.groupBy("hack_license").agg(
+            *counts,
+            F.sum(F.when(clean, num("total_amount"))).alias("total_amount"),
+            F.sum(F.when(clean, num("trip_time_in_secs"))).alias("trip_time_in_secs"),
+        )
+        # A driver's sums are one clean trip or none, so the same rules rank them.
+        return groups, lambda held: top_drivers(held, n, null_keys)
+    if question != "top_taxis":
+        raise ValueError(f"no counted ranking for {question!r}")
+    in_scope(trips, scope)  # refuses an unknown scope
+    used = F.lit(True) if scope == "all" else clean
+    if method == "exact":
+        groups = trips.groupBy("medallion", "hack_license").agg(
+            *counts, F.max(F.coalesce(used, F.lit(False))).alias("used")
+        )
+        return groups, lambda held: top_taxis(held.filter("used"), n, null_keys=null_keys)
+    if method != "approx":
+        raise ValueError(f"unknown method {method!r}, expected 'exact' or 'approx'")
+    driver = F.when(used, F.col("hack_license"))
+    groups = trips.groupBy("medallion").agg(
+        *counts, F.approx_count_distinct(driver, rsd).alias("num_drivers")
+    )
+
+    def ranking(held: DataFrame) -> DataFrame:
+        found = _with_keys(held.filter("num_drivers > 0"), null_keys, "medallion")
+        return top(found.select("medallion", "num_drivers"), "num_drivers", "medallion", n)
+
+    return groups, ranking
+
+
+def grouped_facts(groups: DataFrame) -> DataFrame:
+    """Rows raw, kept and rejected, from groups that hold the first two."""
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows_raw", "rows_kept")]
+    return groups.agg(*sums).withColumn("rows_rejected", F.col("rows_raw") - F.col("rows_kept"))
+
+
 # -------------------------------------------------------------- both rankings
 
 

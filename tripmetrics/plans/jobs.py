@@ -71,9 +71,9 @@ def run(
 ) -> dict[str, str]:
     """Answer one question, or ``both`` rankings; gives back where each result was written.
 
-    Rankings are JSON lines, the report is ``results_summary`` as text. The needed
-    columns of text input are parsed once and cached; ``staged`` parses all of
-    them into Parquet, which later jobs can use too, and goes on from there.
+    Rankings are JSON lines, the report is ``results_summary`` as text. Text input is
+    parsed once: one ranking holds its groups, ``both`` and the best hour the parsed
+    columns. ``staged`` parses all columns into Parquet, which later jobs can use too.
 
     The ``economic`` report holds the result and counts every row read as a
     record; the other styles leave the result to the JSON and count clean rows.
@@ -106,14 +106,20 @@ def run(
         "top_taxis": lambda: op.top_taxis(trips, n, method, scope, rsd, null_keys),
     }
     questions = ["top_taxis", "top_drivers"] if question == "both" else [question]
-    # Text is costly to parse and is needed more than once, for the rankings and
-    # the row counts; Parquet is read again, a few columns at a time.
+    # Text is costly to parse. For one ranking its groups are held, which have the row
+    # counts too; for both rankings and the best hour the parsed trips are.
+    # Parquet is read again, a few columns at a time.
     parsed = not staging and fmt != "parquet"
+    groups = None
+    if parsed and question in ("top_drivers", "top_taxis"):
+        groups, rank = op.counted_ranking(trips, question, n, method, scope, rsd, null_keys)
+        rankings[question] = lambda: rank(groups)
+    held = trips if groups is None else groups
 
     written: dict[str, str] = {}
     took: dict[str, float] = {}
     report: list[DataFrame] = []
-    with sinks.held(trips) if parsed else nullcontext():
+    with sinks.held(held) if parsed else nullcontext():
         for i, q in enumerate(questions):
             begun = time.monotonic()
             ranking = rankings[q]()
@@ -123,7 +129,11 @@ def run(
                 lines = op.result_lines(spark.read.schema(ranking.schema).json(written[q]), q, n)
                 report.append(lines.withColumn("ord", F.col("ord") + (n + 10) * i))
         runtime = time.monotonic() - start
-        rows_raw, rows_kept = _row_counts(trips, question)
+        if groups is None:
+            rows_raw, rows_kept = _row_counts(trips, question)
+        else:
+            facts = op.grouped_facts(groups).first()
+            rows_raw, rows_kept = facts["rows_raw"], facts["rows_kept"]
 
     one_run = {
         "run_id": run_id,
