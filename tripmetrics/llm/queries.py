@@ -72,7 +72,9 @@ def op8_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_loss_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target are the documents that labels call good."""
     good = table(spark, sf_dir, "labels").filter("quality = 1")
-    return loss_difference.loss_difference(table(spark, sf_dir, "documents"), good)
+    found = loss_difference.loss_difference(table(spark, sf_dir, "documents"), good)
+    figures = ("target_loss", "background_loss", "score")
+    return found.select("doc_id", "n_words", *(F.round(c, 6).alias(c) for c in figures))
 
 
 def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,4 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bin_slack": op10_bin_slack,
 }
 
-ORACLES: dict[str, str] = {"op5_rule_cascade": rule_cascade.ORACLE}
+ORACLES: dict[str, str] = {
+    "op5_rule_cascade": rule_cascade.ORACLE,
+    "op9_loss_difference": loss_difference.ORACLE,
+}
