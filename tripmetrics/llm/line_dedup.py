@@ -15,7 +15,6 @@ task. So no link that the bands find is lost, and a group costs rows in proporti
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 from collections.abc import Iterator
 
@@ -55,18 +54,24 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 _FACTORS = _mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def bands(lines: list[str]) -> np.ndarray:
-    """A row of band keys for each line. Any two equal lines have equal rows."""
+def _hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A hash of each run of SHINGLE characters of the joined lines, and where the lines' own
+    shingles begin and end among them."""
     padded = [line.ljust(SHINGLE, "\0") for line in lines]
     codes = np.frombuffer("".join(padded).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
     n = len(codes) - SHINGLE + 1
     h = np.zeros(n + 1, dtype=np.uint64)  # one more, so that the last line has an end
     for i in range(SHINGLE):
         h[:n] = h[:n] * _MUL + codes[i : i + n]
-    h = _mixed(h)
     lengths = np.array([len(line) for line in padded])
     starts = np.r_[0, np.cumsum(lengths)[:-1]]
-    edges = np.stack([starts, starts + lengths - SHINGLE + 1], axis=1).ravel()
+    return _mixed(h), starts, starts + lengths - SHINGLE + 1
+
+
+def bands(lines: list[str]) -> np.ndarray:
+    """A row of band keys for each line. Any two equal lines have equal rows."""
+    h, starts, ends = _hashed(lines)
+    edges = np.stack([starts, ends], axis=1).ravel()
     keys = np.zeros((len(lines), BANDS), dtype=np.uint64)
     for k, factor in enumerate(_FACTORS):
         least = np.minimum.reduceat(h * factor, edges)[::2]
@@ -74,24 +79,26 @@ def bands(lines: list[str]) -> np.ndarray:
     return (keys ^ _mixed(np.arange(BANDS, dtype=np.uint64) + _MUL)).view(np.int64)
 
 
+def _chunks(lines: list[str]) -> Iterator[list[str]]:
+    """The lines in parts of about CHUNK characters."""
+    part, size = [], 0
+    for line in lines:
+        part.append(line)
+        size += len(line)
+        if size >= CHUNK:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def banded(docs: DataFrame) -> DataFrame:
     """``band`` and ``line_id`` of the lines with a word, each line once for a batch of texts."""
 
-    def chunks(lines: list[str]) -> Iterator[list[str]]:
-        part, size = [], 0
-        for line in lines:
-            part.append(line)
-            size += len(line)
-            if size >= CHUNK:
-                yield part
-                part, size = [], 0
-        if part:
-            yield part
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lines = {line for text in batch.column(0) for line in (text.as_py() or "").split("\n") if line.strip(_BLANKS)}
-            for part in chunks(list(lines)):
+            for part in _chunks(list(lines)):
                 ids = [hashlib.md5(line.encode(), usedforsecurity=False).digest() for line in part]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -147,11 +154,18 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").mapInArrow(run, "a binary, b binary")
 
 
-def bitmap(found: set[str]) -> np.ndarray:
-    """A bit for each shingle, several to a bit where their hashes meet."""
-    bits = np.zeros(64 * BITMAP, dtype=np.uint8)
-    bits[[hash_ % (64 * BITMAP) for hash_ in map(zlib.crc32, map(str.encode, found))]] = 1
-    return np.packbits(bits).view(np.uint64)
+def bitmaps(lines: list[str]) -> np.ndarray:
+    """A row of bits for each line, one for each shingle, several to a bit where their hashes meet."""
+    rows = []
+    for part in _chunks(lines):
+        h, starts, ends = _hashed(part)
+        counts = ends - starts
+        row = np.repeat(np.arange(len(part)), counts)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[row]
+        bits = np.zeros((len(part), 64 * BITMAP), dtype=np.uint8)
+        bits[row, (h[place] % np.uint64(64 * BITMAP)).astype(np.int64)] = 1
+        rows.append(np.packbits(bits, axis=1).view(np.uint64))
+    return np.concatenate(rows)
 
 
 def spanning_links(lines: list[str], roots: list[bytes]) -> list[tuple[int, int]]:
@@ -162,7 +176,7 @@ def spanning_links(lines: list[str], roots: list[bytes]) -> list[tuple[int, int]
     """
     sets = [shingles(line) for line in lines]
     sizes = np.array([len(found) for found in sets])
-    bits = np.stack([bitmap(found) for found in sets])
+    bits = bitmaps(lines)
     numbers = {root: k for k, root in enumerate(dict.fromkeys(roots))}
     root = np.array([numbers[r] for r in roots])
     links = []
@@ -222,17 +236,14 @@ def crowded_links(crowded: DataFrame) -> DataFrame:
 def line_components(docs: DataFrame) -> DataFrame:
     """``node`` and ``root`` of each line (by id) that is similar to a different line."""
     in_band = Window.partitionBy("band")
+    # A line comes once for each batch it is in, so a band is shared if its ids differ.
     shared = kept(
         banded(docs)
         .repartition("band")
+        .select("band", "line_id", *(f("line_id").over(in_band).alias(n) for n, f in (("first", F.min), ("last", F.max))))
+        .filter("first != last")
         .distinct()
-        .select(
-            "band",
-            "line_id",
-            F.min("line_id").over(in_band).alias("first"),
-            F.count("line_id").over(in_band).alias("n"),
-        )
-        .filter("n > 1"),
+        .select("band", "line_id", "first", F.count("line_id").over(in_band).alias("n")),
         "bands",
     )
     stars = shared.filter("first != line_id").select(F.col("first").alias("a"), F.col("line_id").alias("b"))
