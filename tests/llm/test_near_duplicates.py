@@ -200,6 +200,32 @@ def test_line_edges(edge, nothing):
     assert (4, "") in texts and (3, None) in texts and (5, " \n\t \r\n") in texts
 
 
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    """Each loses its own repeats only, and of copies at one line number one stays."""
+    docs = [
+        (None, "a text that nobody else has"),
+        (None, "a line that is known already\nand something of its own"),
+        (3, "a line that is known already"),
+        (None, "twice at the same place\nthe one and only first"),
+        (None, "twice at the same place\nand quite another second"),
+        (7, "one number with two texts"),
+        (7, "a line that is known already\nthe other text of seven"),
+        (None, "this whole row comes again"),
+        (None, "this whole row comes again"),
+        (None, " \n"),
+        (None, " \n"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    left = [(r.doc_id, r.text) for r in line_dedup.without_repeats(df).collect()]
+    lines = Counter(line for _, text in left for line in text.split("\n") if line.strip())
+    assert lines == Counter({line: 1 for _, text in docs for line in text.split("\n") if line.strip()})
+    assert (None, "a text that nobody else has") in left and (7, "one number with two texts") in left
+    assert (None, "and something of its own") in left and (7, "the other text of seven") in left
+    assert left.count((None, " \n")) == 2
+    first = [r.kept for r in line_dedup.line_decisions(df.filter("text like 'twice%'")).collect() if r.line_no == 0]
+    assert sorted(first) == [False, True]
+
+
 def test_equal_lines_share_bands():
     lines = ["short", "short", "a longer line of text", "", "é" * 9]
     keys = line_dedup.bands(lines)

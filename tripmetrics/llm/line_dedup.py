@@ -40,6 +40,8 @@ CHUNK = 1 << 16
 #: Order of rows without an id: after all others.
 NO_ID = (1 << 63) - 1
 
+#: A character of a word.
+WORD = r"[^\x20\x09-\x0D]"
 _BLANKS = " \t\n\v\f\r"
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -114,7 +116,7 @@ def banded(docs: DataFrame) -> DataFrame:
 def _lines(docs: DataFrame, *columns: str) -> DataFrame:
     return (
         docs.select(*columns, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+        .filter(F.col("line").rlike(WORD))
         .withColumn("line_id", F.unhex(F.md5("line")))
     )
 
@@ -263,27 +265,30 @@ def line_components(docs: DataFrame) -> DataFrame:
     return components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
-def line_decisions(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, kept, first_doc_id and first_line_no of every line with a word.
+def row_key() -> Column:
+    """Digest of doc_id and text: rows of one doc_id, or of none, with different texts differ."""
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.unhex(F.md5(F.concat_ws("|", number, F.coalesce("text", F.lit("")))))
 
-    ``docs`` has doc_id and text; other columns are not looked at. Lines are cut at \\n; equal and
-    similar lines form components, of which the line with the smallest (doc_id, line_no) is kept,
-    documents without an id last. Blank lines, null and empty texts have no rows. Repeated rows of
-    one doc_id count as one document, and so do rows without a doc_id.
-    """
+
+def _decisions(docs: DataFrame) -> DataFrame:
+    """``line_decisions`` with the ``row`` (by its key) that each line is in."""
     docs = docs.select("doc_id", "text")
     found = kept(line_components(docs), "components")
-    here = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "line_no")
-    lines = _lines(docs, "doc_id").select("doc_id", "line_no", "line_id", here.alias("here"))
+    here = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "row", "line_no")
+    lines = _lines(docs.withColumn("row", row_key()), "doc_id", "row").select(
+        "doc_id", "row", "line_no", "line_id", here.alias("here")
+    )
     rooted = kept(
         lines.join(found, lines["line_id"] == found["node"], "left").select(
-            "doc_id", "line_no", "here", F.coalesce("root", "line_id").alias("root")
+            "doc_id", "row", "line_no", "here", F.coalesce("root", "line_id").alias("root")
         ),
         "rooted",
     )
     first = kept(rooted.groupBy("root").agg(F.min("here").alias("first")), "first")
     return rooted.join(first, "root").select(
         "doc_id",
+        "row",
         "line_no",
         (F.col("here") == F.col("first")).alias("kept"),
         F.nullif(F.col("first.key"), F.lit(NO_ID)).alias("first_doc_id"),
@@ -291,28 +296,52 @@ def line_decisions(docs: DataFrame) -> DataFrame:
     )
 
 
+def line_decisions(docs: DataFrame) -> DataFrame:
+    """doc_id, line_no, kept, first_doc_id and first_line_no of every line with a word.
+
+    ``docs`` has doc_id and text; other columns are not looked at. Lines are cut at \\n; equal and
+    similar lines form components, of which the line with the smallest (doc_id, line_no) is kept,
+    documents without an id last. Blank lines, null and empty texts have no rows. Rows of one doc_id,
+    or without one, are documents of their own, in the order of their digests, where their texts
+    differ; equal rows count as one document.
+    """
+    return _decisions(docs).drop("row")
+
+
 def _left(text: str, dropped: str) -> Column:
     lines = F.split(text, "\n")
     places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(dropped))
     return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
 
 
+def _one_each(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with one row for each ``key`` whose text has words; only repeated rows are shuffled."""
+    again = kept(
+        docs.filter(F.col("text").rlike(WORD)).groupBy(key).count().filter("count > 1").select(key), "again"
+    )
+    repeated = docs.join(again, key, "left_semi").dropDuplicates([key])
+    return docs.join(again, key, "left_anti").select(*own_columns(docs)).union(repeated.select(*own_columns(docs)))
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with each text less the lines that repeat an earlier one; all columns stay.
 
     Blank lines stay. A document that had words and keeps none of them goes; a document that had
-    none stays as it is. n_chars, where it is a column, follows the text.
+    none stays as it is. Rows of one doc_id, or without one, are decided each by its own text; of
+    equal rows (doc_id and text) with words any one stays. n_chars, where it is a column, follows
+    the text.
     """
-    doc, gone = unused(docs, "_doc"), unused(docs, "_gone")
+    key, row, gone = (unused(docs, name) for name in ("_row_key", "_row", "_gone"))
     dropped = (
-        line_decisions(docs)
+        _decisions(docs)
         .filter("not kept")
-        .groupBy(F.col("doc_id").alias(doc))
+        .groupBy(F.col("row").alias(row))
         .agg(F.collect_set("line_no").alias(gone))
     )
     changed = F.col(gone).isNotNull()
-    out = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped[doc]), "left").withColumn(
+    named = _one_each(docs.withColumn(key, row_key()), key)
+    out = named.join(dropped, named[key] == dropped[row], "left").withColumn(
         "text", F.when(changed, _left("text", gone)).otherwise(F.col("text"))
     )
-    out = out.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    out = out.filter(~changed | F.col("text").rlike(WORD))
     return with_length(out, changed).select(*own_columns(docs))
