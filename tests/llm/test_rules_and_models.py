@@ -13,6 +13,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tripmetrics.llm import loss_difference, rule_cascade, secret_forest, weak_toxicity
 
 from .conftest import EDGE_ROWS, SF
@@ -172,6 +174,40 @@ def test_secret_edges(edge, nothing, labelled_documents):
             assert gone[r.doc_id].text == marked and gone[r.doc_id].n_chars == len(marked)
 
 
+ASSIGNED = [
+    ('aws_secret_access_key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCY{:04d}KEY"', "wJalrXUtnFEMI/K7MDENG/bPxRfiCY{:04d}KEY"),
+    ("GITHUB_TOKEN=ghp_16C7e42F292c6912E7710c838347{:04d}", "ghp_16C7e42F292c6912E7710c838347{:04d}"),
+    ("service_account_password: hT7yQ29vLm4XzR8w{:04d}", "hT7yQ29vLm4XzR8w{:04d}"),
+]
+
+
+def test_names_beside_values(spark, documents):
+    """A long name is text before the value, whether it is a candidate of its own or the head of one."""
+    texts = [line.format(k) for k in range(5) for line, _ in ASSIGNED]
+    rows = [(k, f"some words\n{text}\nmore words", "app/settings") for k, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.value: r for r in secret_forest.candidates(docs.withColumnRenamed("source", "path")).collect()}
+    for line, value in ASSIGNED:
+        head = line.format(3).split(value.format(3))[0]
+        assert found[value.format(3)].before.endswith(head) and found[value.format(3)].after.strip('"').startswith("\nmore")
+    labels = {r.value: r.label for r in secret_forest.labelled_findings(secret_forest.candidates(docs.withColumnRenamed("source", "path"))).collect() if r.before.startswith("some words")}
+    assert all(labels[value.format(3)] == 1 for _, value in ASSIGNED)
+    every = documents.select("doc_id", "text", "source").union(docs.selectExpr("doc_id + 1000000", "text", "source"))
+    left = {r.doc_id: r.text for r in secret_forest.redacted(every).collect()}
+    for k, (line, value) in enumerate(ASSIGNED):
+        want = line.format(0).replace(value.format(0), "<secret>")
+        assert left[1_000_000 + k] == f"some words\n{want}\nmore words"
+
+
+def test_text_beside_holds_other_candidates(spark):
+    text = "first " + "a" * 20 + " " + "b" * 20 + "." + "c" * 20 + " " + "d" * 70 + " last"
+    docs = spark.createDataFrame([(1, text, None)], "doc_id long, text string, path string")
+    for r in secret_forest.candidates(docs).collect():
+        at = text.index(r.value)
+        end = at + len(r.value)
+        assert (r.before, r.after) == (text[max(0, at - 48) : at], text[end : end + 48])
+
+
 def test_secret_scan_runs_no_python(documents):
     plan = secret_forest.scan(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
