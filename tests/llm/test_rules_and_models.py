@@ -208,6 +208,18 @@ def test_text_beside_holds_other_candidates(spark):
         assert (r.before, r.after) == (text[max(0, at - 48) : at], text[end : end + 48])
 
 
+RARE = 'token = "4f9a1c0de8b7263554aa01bc9e8f7d6c5b4a3f21"'
+
+
+def test_rare_secrets_are_found(spark):
+    """One secret in many thousand documents gives a model, and is found."""
+    plain = F.concat(F.lit("see the page some_long_name_of_a_file_"), F.col("id"), F.lit(" for more"))
+    docs = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") == 17_003, F.lit(RARE)).otherwise(plain).alias("text"), F.lit("a/b").alias("source")
+    )
+    assert [r.doc_id for r in secret_forest.scan(docs).filter("secret").collect()] == [17_003]
+
+
 def test_secret_scan_runs_no_python(documents):
     plan = secret_forest.scan(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
