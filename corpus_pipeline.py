@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmetrics.llm import bin_slack, line_dedup, secret_forest, simhash_grid, weak_toxicity
 from tripmetrics.llm.common import kept, table
-from tripmetrics.llm.queries import RANKS
+from tripmetrics.llm.queries import RANKS, VOCABULARY
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokenised pieces with their sequences and places."""
-    return bin_slack.pack_documents(docs, public_tokenizers.path(RANKS))
+    return bin_slack.pack_documents(
+        docs, public_tokenizers.path(RANKS), vocabulary=public_tokenizers.path(VOCABULARY)
+    )
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -46,6 +46,33 @@ def test_encoders_agree_with_the_libraries(tokenizer, text):
     assert tokenizer.encode(text, add_special_tokens=False).ids == want
 
 
+ADDED = "<|endoftext|>"
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(AWKWARD | st.sampled_from([ADDED, "<|endof", "text|>", " "]), max_size=8).map("".join))
+def test_added_tokens_have_the_librarys_ids(text):
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    want = Tokenizer.from_file(vocabulary).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(tokens.part_encoder(RANKS, vocabulary).encode(text), "<u4").tolist() == want
+
+
+def test_the_query_and_the_stage_have_the_librarys_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    from tripmetrics.llm.queries import QUERIES
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [f"a {ADDED} b", ADDED, f"{ADDED}{ADDED} x", "plain words"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for packed in (QUERIES["op10_bin_slack"](spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, str(tmp_path))):
+        found = {r.doc_id: (r.length, r.ids_crc32) for r in packed.collect()}
+        for k, text in enumerate(texts):
+            ids = np.array(library.encode(text, add_special_tokens=False).ids + [0], dtype="<u4")
+            assert found[k] == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 @settings(max_examples=150, deadline=None)
 @given(AWKWARD | st.text(st.sampled_from("ab é"), max_size=300))
 def test_joins_are_exact_with_tiny_leaves(text):

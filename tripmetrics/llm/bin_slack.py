@@ -41,11 +41,16 @@ def pieces_of(ids: bytes, capacity: int) -> Iterator[tuple[int, int, bytes]]:
         start, end = end, end + capacity
 
 
-def tokenised_pieces(docs: DataFrame, ranks: str, capacity: int = CAPACITY) -> DataFrame:
-    """One row for each piece of each document; a null text is empty and has the end id alone."""
+def tokenised_pieces(
+    docs: DataFrame, ranks: str, capacity: int = CAPACITY, vocabulary: str | None = None
+) -> DataFrame:
+    """One row for each piece of each document; a null text is empty and has the end id alone.
+
+    Strings of the added tokens of ``vocabulary`` (a ``tokenizers`` file) have the ids it gives them.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = part_encoder(ranks)
+        encoder = part_encoder(ranks, vocabulary)
         end = bytes(4)
         for batch in batches:
             out: list[tuple] = []
@@ -184,6 +189,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def pack_documents(docs: DataFrame, ranks: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, ranks: str, capacity: int = CAPACITY, vocabulary: str | None = None
+) -> DataFrame:
     """Tokenise documents (doc_id, text) and pack them; other columns are not looked at."""
-    return pack(tokenised_pieces(docs, ranks, capacity), capacity)
+    return pack(tokenised_pieces(docs, ranks, capacity, vocabulary), capacity)

@@ -25,6 +25,8 @@ from tripmetrics.llm.common import table
 
 #: Rank file of the byte-level vocabulary; the library takes the path as a parameter.
 RANKS = "byte_bpe_50k.tiktoken"
+#: The same vocabulary with its added tokens.
+VOCABULARY = "byte_bpe_50k.json"
 #: Key of the training order.
 ORDER_KEY = 20_260_713
 
@@ -78,7 +80,9 @@ def op9_loss_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bin_slack.pack_documents(table(spark, sf_dir, "documents"), _ranks())
+    return bin_slack.pack_documents(
+        table(spark, sf_dir, "documents"), _ranks(), vocabulary=public_tokenizers.path(VOCABULARY)
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

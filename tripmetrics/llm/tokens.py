@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 
 from functools import lru_cache
@@ -33,14 +34,29 @@ def library_encoding(path: str):
     )
 
 
+def read_added(path: str) -> dict[str, int]:
+    """Ids of the added tokens of a ``tokenizers`` file, by their strings."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    for token in added:
+        if any(token[rule] for rule in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token {token['content']!r} is not taken literally")
+    return {token["content"]: token["id"] for token in added}
+
+
 class PartEncoder:
     """Ids of texts as little-endian 32-bit integers.
 
+    The strings of added tokens are cut out of a text first, and what is between is encoded by itself.
+
     Text is cut at blanks that stand between two visible characters. Parts recur, so their ids are
     remembered in a table of at most ``entries`` short parts, which starts anew when it is full.
     """
 
-    def __init__(self, path: str, entries: int = 400_000, longest: int = 48):
+    def __init__(self, path: str, added: dict[str, int] | None = None, entries: int = 400_000, longest: int = 48):
+        self._added = {token: np.uint32(k).astype("<u4").tobytes() for token, k in (added or {}).items()}
+        by_length = sorted(map(re.escape, self._added), key=len, reverse=True)
+        self._cut = re.compile(f"({'|'.join(by_length)})").split if by_length else None
         self._encode = library_encoding(path).encode_ordinary
         self._entries = entries
         self._longest = longest
@@ -58,6 +74,14 @@ class PartEncoder:
         return ids
 
     def encode(self, text: str) -> bytes:
+        if self._cut is None:
+            return self._plain(text)
+        pieces = self._cut(text)  # text and added tokens in turn
+        if len(pieces) == 1:
+            return self._plain(text)
+        return b"".join([self._added[p] if k % 2 else self._plain(p) for k, p in enumerate(pieces)])
+
+    def _plain(self, text: str) -> bytes:
         if not text:
             return b""
         cut = _LONE_BLANK.split if _BLANK_BESIDE_SPACE.search(text) else None
@@ -66,7 +90,7 @@ class PartEncoder:
         return self._bytes(first) + b"".join([known(part) or learn(part) for part in parts])
 
 
-@lru_cache(maxsize=2)
-def part_encoder(path: str) -> PartEncoder:
-    """One encoder for each Python worker and vocabulary."""
-    return PartEncoder(path)
+@lru_cache(maxsize=4)
+def part_encoder(path: str, vocabulary: str | None = None) -> PartEncoder:
+    """One encoder for each Python worker and vocabulary; ``vocabulary`` names the file with added tokens."""
+    return PartEncoder(path, read_added(vocabulary) if vocabulary else None)
