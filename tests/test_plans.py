@@ -223,3 +223,11 @@ def test_counted_rankings_equal_the_plain_ones(golden_trips, question, method, n
     )
     assert rank(groups).collect() == plain.collect()
     assert op.grouped_facts(groups).first() == op.run_facts(golden_trips).first()
+
+
+def test_all_taxis_are_compared(spark):
+    from tripmetrics.plans.catalogue import both_shared_within_bound
+
+    found = both_shared_within_bound(spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and "TakeOrdered" not in plan
