@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmetrics.sources import read_parquet
@@ -23,6 +23,30 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, row: str, *order: str) -> DataFrame:
+    """``df`` with ``row``: 0, 1, 2 and so on in the order of the columns, nulls first.
+
+    ``df`` should be a stored table, as it is read twice (the ranges of the order are drawn from it).
+    Tasks sort ranges of that order, and the sorted table is written once, so the numbers stay the same
+    when an executor is lost. Rows that are equal in all columns of the order are numbered as they
+    lie; they may span tasks, however many they are.
+    """
+    place, part, begin = (unused(df, name) for name in ("_place", "_part", "_begin"))
+    ordered = (
+        df.withColumn(place, F.monotonically_increasing_id())
+        .repartitionByRange(*order, place)
+        .sortWithinPartitions(*order, place)
+        .withColumn(place, F.monotonically_increasing_id())  # the task above, the row in it below
+        .withColumn(part, F.shiftright(place, 33))
+    )
+    ordered = kept(ordered, f"by-{row}")
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row for each task
+    begins = ordered.groupBy(part).agg(F.count(F.lit(1)).alias(begin))
+    begins = begins.withColumn(begin, F.coalesce(F.sum(begin).over(earlier), F.lit(0)))
+    inside = F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
+    return ordered.join(begins, part).withColumn(row, F.col(begin) + inside).drop(part, place, begin)
+
+
 def words(text: Column) -> Column:
     """The words of a text: runs of anything but ASCII blanks. Null has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")

@@ -13,8 +13,11 @@ from tripmetrics.llm import (
     bin_slack,
     bpe_tree,
     closed_syncmers,
+    cutting_stock,
+    hadamard_codes,
     line_dedup,
     loss_difference,
+    merkle_manifest,
     rule_cascade,
     secret_forest,
     simhash_grid,
@@ -85,6 +88,19 @@ def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hadamard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hadamard_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op12_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path(VOCABULARY)
+    return cutting_stock.pack_documents(table(spark, sf_dir, "documents"), _ranks(), vocabulary)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_forest": op1_secret_forest,
     "op2_training_order": op2_training_order,
@@ -96,9 +112,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_tree": op8_bpe_tree,
     "op9_loss_difference": op9_loss_difference,
     "op10_bin_slack": op10_bin_slack,
+    "op11_hadamard_codes": op11_hadamard_codes,
+    "op12_cutting_stock": op12_cutting_stock,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
     "op5_rule_cascade": rule_cascade.ORACLE,
     "op9_loss_difference": loss_difference.ORACLE,
+    "op11_hadamard_codes": hadamard_codes.ORACLE,
+    "op13_merkle_manifest": merkle_manifest.ORACLE,
 }
