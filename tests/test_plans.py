@@ -54,7 +54,7 @@ def test_lines_are_split_once_and_times_parsed_once(spark):
 
 def test_both_rankings_read_the_input_once(spark):
     plan = plan_of(QUERIES["both_rankings"](spark, SF))
-    assert plan.count("FileScan") == 1 and "WindowGroupLimit" in plan
+    assert plan.count("FileScan parquet") == 2  # before the run; the second is dropped for the first's shuffle
 
 
 def test_staging_moves_no_data_unless_told_to(spark, lineitem_trips):
@@ -187,18 +187,86 @@ def test_lines_against_plain_split(spark, lines):
     assert sorted(rows(found), key=str) == sorted(want, key=str)
 
 
-def test_no_task_sorts_all_drivers_at_any_n(spark, lineitem_trips):
-    """The places are given by share first, and only what is left of each share meets."""
-    for n in (10, 5000):
-        plan = plan_of(op.both_rankings(lineitem_trips, n))
-        assert plan.count("FileScan") == 1
-        shared = [line for line in plan.splitlines() if "Window [row_number()" in line]
-        assert len(shared) == 2 and sum("share" in line for line in shared) == 1
+def final_plan(df) -> str:
+    """The adaptive plan after the run."""
+    df._jdf.collectToPython()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+
+
+@pytest.mark.parametrize("n", [10, 5000])
+def test_both_rankings_are_two_heaps_over_one_shuffle(spark, lineitem_trips, n):
+    """The second ranking reads the shuffle of the first, and no share of the drivers is sorted."""
+    plan = final_plan(op.both_rankings(lineitem_trips, n))
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+    assert plan.count("TakeOrderedAndProject") == (4 if n < 1000 else 2)  # few places: a heap of those too
+    assert not [line for line in plan.splitlines() if line.strip(" :+-*()0123456789").startswith("Sort ")]
+
+
+def test_places_do_not_depend_on_how_many_are_asked_for(lineitem_trips):
     few = op.both_rankings(lineitem_trips, 10).collect()
     many = op.both_rankings(lineitem_trips, 5000).filter("place <= 10").collect()
     assert sorted(map(tuple, few)) == sorted(map(tuple, many))
 
 
+def test_a_null_taxi_takes_no_place(spark):
+    df = spark.createDataFrame(
+        [(None, f"H{k}", 60.0, 5.0) for k in range(5)] + [("M1", "H1", 60.0, 7.0), ("M2", "H1", 60.0, 7.0), ("M2", "H2", 60.0, 1.0)],
+        "medallion string, hack_license string, trip_time_in_secs double, total_amount double",
+    )
+    both = op.both_rankings(df, n=2).filter("ranking = 'top_taxis'").orderBy("place").collect()
+    assert [(r["place"], r["key"], r["measure"]) for r in both] == [(1, "M2", 2.0), (2, "M1", 1.0)]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["M1", "M2", None]), st.integers(0, 30), st.sampled_from("abc")), max_size=60))
+def test_merged_sketches_equal_those_of_all_trips(spark, trips):
+    """However the trips fall into batches; so few drivers are counted without an error."""
+    df = spark.createDataFrame(
+        [(m, f"H{h}", 60.0, 1.0, b) for m, h, b in trips],
+        "medallion string, hack_license string, trip_time_in_secs double, total_amount double, b string",
+    )
+    kept = None
+    for batch in "abc":
+        part = op.taxi_sketches(df.filter(F.col("b") == batch))
+        kept = part if kept is None else kept.unionByName(part)
+    want = {m: len({h for x, h, _ in trips if x == m}) for m, _, _ in trips if m}
+    assert dict(rows(op.merged_taxi_drivers(kept))) == want
+    assert dict(rows(op.merged_taxi_drivers(op.taxi_sketches(df)))) == want
+
+
+def test_large_sketches_merge_within_their_bound(spark):
+    trips = spark.range(200_000).selectExpr(
+        "concat('M', id % 2) as medallion",
+        "concat('H', id div 3) as hack_license", "60D as trip_time_in_secs", "1D as total_amount",
+    )
+    exact = {r.medallion: r.n for r in trips.groupBy("medallion").agg(F.countDistinct("hack_license").alias("n")).collect()}
+    parts = [op.taxi_sketches(trips.filter(F.pmod(F.hash("hack_license"), F.lit(3)) == k)) for k in range(3)]
+    merged = op.merged_taxi_drivers(parts[0].unionByName(parts[1]).unionByName(parts[2])).collect()
+    assert all(abs(r.num_drivers / exact[r.medallion] - 1) < 4 * op.sketch_bound() for r in merged)
+
+
+def test_a_batch_written_again_replaces_itself(spark, lineitem_trips, tmp_path):
+    from tripmetrics import sinks, sources
+
+    path = str(tmp_path / "sketches")
+    halves = {"a": lineitem_trips.filter("payment_type = 'A'"), "b": lineitem_trips.filter("payment_type <> 'A'")}
+    for batch in ("a", "b", "a"):
+        sinks.write_sketches(op.taxi_sketches(halves[batch]), path, batch)
+    merged = op.merged_taxi_drivers(sources.read_sketches(spark, path))
+    assert sorted(rows(merged)) == sorted(rows(op.taxi_drivers(lineitem_trips)))
+
+
+def test_the_ranking_check_sees_a_wrong_ranking(spark):
+    schema = "medallion string, num_drivers long"
+    exact = spark.createDataFrame([("M1", 100), ("M2", 90), ("M3", 50)], schema)
+    check = lambda ranking: tuple(op.ranking_check(exact, spark.createDataFrame(ranking, schema), 0.1).first())
+    assert check([("M1", 101), ("M2", 85)]) == (3, 2, 0, False)
+    assert check([("M1", 101), ("M3", 50)]) == (3, 2, 0, True)
+    assert check([("M1", 150), ("M2", 90)]) == (3, 2, 1, False)
+    assert check([("M1", 100), ("M9", 95)]) == (3, 2, 1, False)
+
+
 def test_endless_and_missing_numbers_win_nothing(spark):
     inf = float("inf")
     df = spark.createDataFrame(
@@ -225,9 +293,11 @@ def test_counted_rankings_equal_the_plain_ones(golden_trips, question, method, n
     assert op.grouped_facts(groups).first() == op.run_facts(golden_trips).first()
 
 
-def test_all_taxis_are_compared(spark):
+def test_the_approximate_form_of_both_rankings_is_checked(spark, monkeypatch):
     from tripmetrics.plans.catalogue import both_shared_within_bound
 
-    found = both_shared_within_bound(spark, "/root/testdata/sf0.001")
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "Limit" not in plan and "TakeOrdered" not in plan
+    asked = []
+    shared = op.both_rankings_shared
+    monkeypatch.setattr(op, "both_rankings_shared", lambda *a, **k: asked.append(k) or shared(*a, **k))
+    plan = plan_of(both_shared_within_bound(spark, SF))
+    assert asked == [{"method": "approx"}] and plan.count("TakeOrderedAndProject") >= 2

@@ -18,12 +18,17 @@ from tripmetrics.operators.rankings import (
     grouped_facts,
     hourly_ratio,
     in_scope,
+    merged_taxi_drivers,
+    ranking_check,
+    sketch_bound,
     sketch_error,
     taxi_driver_pairs,
     taxi_drivers,
+    taxi_sketches,
     top,
     top_drivers,
     top_taxis,
+    top_taxis_merged,
 )
 from tripmetrics.operators.shaping import (
     conform,
@@ -64,6 +69,11 @@ __all__ = [
     "line_facts",
     "reject_facts",
     "line_widths",
+    "merged_taxi_drivers",
+    "ranking_check",
+    "sketch_bound",
+    "taxi_sketches",
+    "top_taxis_merged",
     "lines_to_columns",
     "name_columns",
     "normalize",

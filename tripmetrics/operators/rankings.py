@@ -24,7 +24,7 @@ from tripmetrics.functions import (
     present,
     ratio,
 )
-from tripmetrics.schema import SKETCH_RSD
+from tripmetrics.schema import SKETCH_RSD, SKETCH_SIZE
 
 
 def top(df: DataFrame, measure: str, key: str, n: int) -> DataFrame:
@@ -183,6 +183,71 @@ def sketch_error(trips: DataFrame, scope: str = "all", rsd: float = SKETCH_RSD)
     )
 
 
+# ----------------------------------------------------------- stored sketches
+
+
+def taxi_sketches(
+    trips: DataFrame, scope: str = "all", size: int = SKETCH_SIZE, null_keys: str = "drop"
+) -> DataFrame:
+    """One HyperLogLog sketch of its drivers for each taxi, in ``drivers``.
+
+    Sketches of several batches of trips are kept (``sinks.write_sketches``) and merged
+    later, so a new batch never needs the trips of an old one. ``size`` is the logarithm
+    of the registers; only sketches of one size should be merged.
+    """
+    return (
+        _with_keys(in_scope(trips, scope), null_keys, "medallion")
+        .filter(keys_present("hack_license"))
+        .groupBy("medallion")
+        .agg(F.hll_sketch_agg("hack_license", size).alias("drivers"))
+    )
+
+
+def merged_taxi_drivers(sketches: DataFrame) -> DataFrame:
+    """Distinct drivers of each taxi, estimated from all its sketches.
+
+    A taxi that was driven in every batch has one sketch for each, merged before the
+    shuffle where they lie together, so what moves is a sketch for each taxi and task.
+    """
+    return sketches.groupBy("medallion").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("drivers")).alias("num_drivers")
+    )
+
+
+def top_taxis_merged(sketches: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` taxis with the most drivers, from stored sketches alone."""
+    return top(merged_taxi_drivers(sketches), "num_drivers", "medallion", n)
+
+
+def sketch_bound(size: int = SKETCH_SIZE) -> float:
+    """Relative standard deviation of a merged sketch of 2 to the power ``size`` registers."""
+    return 1.04 / (1 << size) ** 0.5
+
+
+def ranking_check(exact: DataFrame, ranking: DataFrame, bound: float) -> DataFrame:
+    """How an approximate ranking of taxis stands against the exact counts of all taxis, in one row.
+
+    ``taxis`` in all, ``ranked`` places, ``off``: ranked taxis whose count is off by more than
+    ``bound`` (a share of the exact count), and ``missed``: whether a taxi outside the ranking
+    is above its last place by more than the bound. Counts and places meet by grouping,
+    so neither side is broadcast.
+    """
+    both = exact.select("medallion", F.col("num_drivers").alias("exact"), F.lit(None).cast("long").alias("approx")).unionByName(
+        ranking.select("medallion", F.lit(None).cast("long").alias("exact"), F.col("num_drivers").alias("approx"))
+    )
+    taxis = both.groupBy("medallion").agg(F.max("exact").alias("exact"), F.max("approx").alias("approx"))
+    ranked = F.col("approx").isNotNull()
+    off = F.abs(F.col("approx") - F.coalesce("exact", F.lit(0))) > bound * F.coalesce("exact", F.lit(0))
+    return taxis.agg(
+        F.count("exact").alias("taxis"),
+        F.count_if(ranked).alias("ranked"),
+        F.count_if(ranked & off).alias("off"),
+        F.coalesce(
+            F.max(F.when(~ranked, F.col("exact"))) * (1 - bound) > F.min("approx"), F.lit(False)
+        ).alias("missed"),
+    )
+
+
 # ------------------------------------------------- rankings with their row counts
 
 
@@ -247,10 +312,10 @@ def both_rankings(trips: DataFrame, n: int = 10) -> DataFrame:
     """Top drivers and top taxis (exact) over the clean trips in one pass.
 
     Trips are reduced to one row for each taxi and driver, the shuffle the exact
-    distinct count needs in any case. Both questions are then two grouping sets
-    over those rows, so the input is read once and nothing has to be cached. Places
-    are given in two steps, the first spread over many tasks, so that at any ``n``
-    no task sorts all drivers.
+    distinct count needs in any case. Both questions group those rows, so the input
+    is read and shuffled once and nothing has to be cached: the second question reads
+    the shuffle of the first. Each ranking is then a heap of ``n`` rows in every task,
+    and only those rows meet, so at any ``n`` no task sorts all drivers.
 
     Columns: ``ranking`` (``top_drivers`` or ``top_taxis``), ``place``, ``key``,
     ``measure``.
@@ -263,47 +328,35 @@ def both_rankings(trips: DataFrame, n: int = 10) -> DataFrame:
             F.sum(num("trip_time_in_secs")).alias("secs"),
         )
     )
-    by_taxi = F.grouping("hack_license") == 1
-    groups = pairs.groupingSets(
-        [[F.col("medallion")], [F.col("hack_license")]],
-        F.col("medallion"),
-        F.col("hack_license"),
-    ).agg(
-        by_taxi.alias("by_taxi"),
-        F.count(F.lit(1)).alias("num_drivers"),
-        F.sum("money").alias("money"),
-        F.sum("secs").alias("secs"),
+    # Both sums are there in every pair. Counting them, not the rows, leaves both questions with
+    # the same columns of the pairs, and so with one shuffle: pruned apart they would have two.
+    taxis = pairs.groupBy("medallion").agg(
+        F.count(F.col("money") + F.col("secs")).cast("double").alias("measure")
     )
-    return _places(
-        groups.select(
-            _by_kind("by_taxi", F.lit("top_taxis"), F.lit("top_drivers")).alias("ranking"),
-            _by_kind("by_taxi", F.col("medallion"), F.col("hack_license")).alias("key"),
-            _by_kind(
-                "by_taxi", F.col("num_drivers").cast("double"), ratio("money", minutes("secs"))
-            ).alias("measure"),
-        ).filter(keys_present("key") & present("measure")),
-        n,
+    drivers = (
+        pairs.groupBy("hack_license")
+        .agg(F.sum("money").alias("money"), F.sum("secs").alias("secs"))
+        .withColumn("measure", ratio("money", minutes("secs")))
+        .filter(present("measure"))
+    )
+    return _places(drivers, "top_drivers", "hack_license", n).unionByName(
+        _places(taxis, "top_taxis", "medallion", n)
     )
 
 
-def _by_kind(flag: str, yes: Column, no: Column) -> Column:
-    return F.when(F.col(flag), yes).otherwise(no)
-
-
-#: Tasks that share the first step of giving places.
-SHARES = 64
-
-
-def _places(rows: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` of each share, then the first ``n`` of those."""
-
-    def first(df: DataFrame, *groups: str) -> DataFrame:
-        best_first = W.partitionBy(*groups).orderBy(F.desc("measure"), F.asc("key"))
-        return df.withColumn("place", F.row_number().over(best_first)).filter(F.col("place") <= n)
+def _places(measures: DataFrame, ranking: str, key: str, n: int) -> DataFrame:
+    """The first ``n`` keys with their places.
 
-    spread = rows.withColumn("share", F.pmod(F.xxhash64("key"), F.lit(SHARES)))
-    return first(first(spread, "ranking", "share").drop("place"), "ranking").select(
-        "ranking", "place", "key", "measure"
+    A null key is left out after the heap, which has room for it: as a filter before, it would
+    be pushed down to one reader of the pairs and cost the other its shuffle.
+    """
+    best_first = W.orderBy(F.desc("measure"), F.asc_nulls_last("key"))
+    first = top(measures.select(F.col(key).alias("key"), "measure"), "measure", "key", n + 1)
+    return (
+        first.filter(keys_present("key"))
+        .withColumn("place", F.row_number().over(best_first))  # n + 1 rows, already in order
+        .filter(F.col("place") <= n)
+        .select(F.lit(ranking).alias("ranking"), "place", "key", "measure")
     )
 
 

@@ -583,7 +583,7 @@ def job_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schema).json(written["rejects"])
 
 
-def within_bound(exact: DataFrame, approx: DataFrame, key: str) -> DataFrame:
+def within_bound(exact: DataFrame, approx: DataFrame, key: str, rsd: float = SKETCH_RSD) -> DataFrame:
     """Exact counts, and whether the sketch is within four standard deviations of them."""
     both = exact.select(key, "num_drivers", F.lit(0).alias("sketch")).unionByName(
         approx.select(key, F.lit(0).alias("num_drivers"), F.col("num_drivers").alias("sketch"))
@@ -593,7 +593,7 @@ def within_bound(exact: DataFrame, approx: DataFrame, key: str) -> DataFrame:
     )
     off = F.abs(F.col("sketch") - F.col("num_drivers"))
     return summed.select(
-        key, "num_drivers", (off <= 4 * SKETCH_RSD * F.col("num_drivers")).alias("within_bound")
+        key, "num_drivers", (off <= 4 * rsd * F.col("num_drivers")).alias("within_bound")
     )
 
 
@@ -607,10 +607,57 @@ def taxi_drivers_within_bound(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def both_shared_within_bound(spark: SparkSession, sf: str) -> DataFrame:
-    """The approximate taxi table under the two rankings, all taxis, beside the exact one."""
+    """The two rankings with the approximate taxi table: how that stands against the exact counts,
+    beside the number of drivers ranked."""
     trips = dirty_trips(spark, sf)
-    exact, approx = (op.taxi_drivers(trips, method, "clean") for method in ("exact", "approx"))
-    return within_bound(exact, approx, "medallion").withColumnRenamed("medallion", "key")
+    tables = op.both_rankings_shared(trips, method="approx")
+    exact = op.taxi_drivers(trips, scope="clean")
+    check = op.ranking_check(exact, tables["top_taxis"], 4 * SKETCH_RSD)
+    drivers = tables["top_drivers"].agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("top_drivers").alias("ranking"), F.col("n").alias("ranked"),
+        F.lit(0).cast("long").alias("off"), F.lit(False).alias("missed"),
+    )
+    return check.select(F.lit("top_taxis").alias("ranking"), "ranked", "off", "missed").unionByName(drivers)
+
+
+@query
+def top_taxis_approx_within_bound(spark: SparkSession, sf: str) -> DataFrame:
+    """The approximate top 10 itself: its counts, and whether a taxi that belongs there is missing."""
+    trips = lineitem_trips(spark, sf)
+    ranking = op.top_taxis(trips, method="approx", scope="clean")
+    return op.ranking_check(op.taxi_drivers(trips, scope="clean"), ranking, 4 * SKETCH_RSD)
+
+
+def sketched_batches(spark: SparkSession, sf: str) -> str:
+    """Dirty lines in four batches by return flag and line status, each kept as sketches.
+
+    The last one is added twice, as by a job that was run again.
+    """
+    where = sources.scratch_path(spark, "sketches")
+    items = lineitem(spark, sf)
+    batches = {"A": "l_returnflag = 'A'", "R": "l_returnflag = 'R'", "NF": "l_returnflag = 'N' AND l_linestatus = 'F'"}
+    batches["rest"] = "NOT coalesce({}, false)".format(" OR ".join(f"({rule})" for rule in batches.values()))
+    for batch, rule in [*batches.items(), ("rest", batches["rest"])]:
+        path = text_file(spark, with_header(ad.dirty_trip_lines(items.filter(rule))), f"batch-{batch}")
+        jobs.add_batch(spark, path, where, batch, layout="trip17", scope="clean")
+    return where
+
+
+@query
+def sketches_merged_within_bound(spark: SparkSession, sf: str) -> DataFrame:
+    """Every taxi's count from the stored sketches of four batches beside the exact one over all trips."""
+    merged = op.merged_taxi_drivers(sources.read_sketches(spark, sketched_batches(spark, sf)))
+    exact = op.taxi_drivers(dirty_trips(spark, sf), scope="clean")
+    return within_bound(exact, merged, "medallion", op.sketch_bound())
+
+
+@query
+def job_top_taxis_of_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranking from stored sketches, as JSON read back, against the exact counts."""
+    out = jobs.top_taxis_of_batches(spark, sketched_batches(spark, sf), sources.scratch_path(spark, "job-batches"))
+    ranking = spark.read.schema("medallion string, num_drivers long").json(out)
+    exact = op.taxi_drivers(dirty_trips(spark, sf), scope="clean")
+    return op.ranking_check(exact, ranking, 4 * op.sketch_bound())
 
 
 @query

@@ -44,6 +44,32 @@ def stage(
     return sources.read_staged(spark, sinks.stage_parquet(op.conform(named), staging, files))
 
 
+def add_batch(
+    spark: SparkSession,
+    path: str,
+    sketches: str,
+    batch: str,
+    fmt: str = "lines",
+    header: bool | str = True,
+    layout: str | None = None,
+    scope: str = "all",
+    null_keys: str = "drop",
+) -> str:
+    """Read one batch of trips once and keep a sketch of its drivers for each taxi.
+
+    ``top_taxis_of_batches`` ranks what has been kept so far without reading any trips again.
+    """
+    trips = op.normalize(sources.read_trips(spark, path, fmt, header=header, layout=layout), layout)
+    found = op.taxi_sketches(trips, scope, null_keys=null_keys)
+    return sinks.write_sketches(found, sketches, batch)
+
+
+def top_taxis_of_batches(spark: SparkSession, sketches: str, out_dir: str, n: int = 10) -> str:
+    """The approximate ranking over all batches, as JSON; gives back where it was written."""
+    ranking = op.top_taxis_merged(sources.read_sketches(spark, sketches), n)
+    return sinks.write_ranking_json(ranking, f"{out_dir.rstrip('/')}/{result_dir('top_taxis', n)}")
+
+
 def run(
     spark: SparkSession,
     question: str,

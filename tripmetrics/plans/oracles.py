@@ -290,6 +290,14 @@ def _counted(where: str) -> str:
     """
 
 
+def _ranking_check(source: str, where: str = "true") -> str:
+    """What an approximate top 10 within its bound looks like."""
+    return f"""
+        SELECT count(*) AS taxis, least(10, count(*)) AS ranked, CAST(0 AS BIGINT) AS off, false AS missed
+        FROM ({_taxis(source, where)})
+    """
+
+
 REDUCED = f"SELECT * FROM ({TRIPS})"
 
 ORACLES = {
@@ -386,8 +394,15 @@ ORACLES = {
     """,
     "taxi_drivers_within_bound": "SELECT medallion, num_drivers, true AS within_bound "
     f"FROM ({_taxis(DIRTY, 'clean')})",
-    "both_shared_within_bound": "SELECT medallion AS key, num_drivers, true AS within_bound "
+    "both_shared_within_bound": f"""
+        SELECT 'top_taxis' AS ranking, least(10, count(*)) AS ranked, CAST(0 AS BIGINT) AS off, false AS missed
+        FROM ({_taxis(DIRTY, 'clean')})
+        UNION ALL SELECT 'top_drivers', least(10, count(*)), 0, false FROM ({_rates(DIRTY, 'clean')})
+    """,
+    "top_taxis_approx_within_bound": _ranking_check(TRIPS),
+    "sketches_merged_within_bound": "SELECT medallion, num_drivers, true AS within_bound "
     f"FROM ({_taxis(DIRTY, 'clean')})",
+    "job_top_taxis_of_batches": _ranking_check(DIRTY, "clean"),
     "top_drivers_null_keys": f"""
         SELECT hack_license, round(raw, 6) AS money_per_min FROM (
             SELECT nullif(hack_license, 'H1') AS hack_license,

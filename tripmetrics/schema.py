@@ -214,6 +214,9 @@ NO_RESULT_LABEL = "No valid records found"
 TRIP17_NAMES = TRIP17.fieldNames()
 REQUIRED = REDUCED4.fieldNames()
 
+# Registers (as a power of two) of the sketches that are stored.
+SKETCH_SIZE = 12
+
 # Layout name -> (names by position, columns the input must have at least).
 LAYOUTS = {
     "trip17": (TRIP17_NAMES, 17),

@@ -28,6 +28,22 @@ def stage_parquet(df: DataFrame, path: str, files: int | None = None) -> str:
     return path
 
 
+def write_sketches(sketches: DataFrame, path: str, batch: str) -> str:
+    """Keep the sketches of one batch of trips beside those of others; gives back the path.
+
+    The batch is a partition of the set. Writing it again replaces that batch alone, so a job that
+    failed half-way is simply run once more.
+    """
+    (
+        sketches.withColumn("batch", F.lit(batch))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch")
+        .parquet(path)
+    )
+    return path
+
+
 def write_ranking_json(ranking: DataFrame, path: str) -> str:
     """Write a ranking as one file of JSON lines, replacing what is there."""
     ranking.coalesce(1).write.mode("overwrite").json(path)

@@ -11,6 +11,7 @@ from tripmetrics.sources.readers import (
     read_csv_permissive,
     read_lines,
     read_parquet,
+    read_sketches,
     read_staged,
     read_trips,
     record_widths,
@@ -28,6 +29,7 @@ __all__ = [
     "read_csv_permissive",
     "read_lines",
     "read_parquet",
+    "read_sketches",
     "read_staged",
     "read_trips",
     "record_widths",

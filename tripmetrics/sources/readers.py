@@ -198,6 +198,11 @@ def read_staged(spark: SparkSession, path: Paths) -> DataFrame:
     return read_parquet(spark, path, TRIP17)
 
 
+def read_sketches(spark: SparkSession, path: Paths) -> DataFrame:
+    """The sketches of all batches written by ``sinks.write_sketches``."""
+    return read_parquet(spark, path).select("medallion", "drivers", F.col("batch").cast("string"))
+
+
 # ------------------------------------------------------------------ by format
 
 
