@@ -30,9 +30,32 @@ def json_lines(path):
 
 def test_input_bytes(spark, tmp_path):
     (tmp_path / "a").write_bytes(b"x" * 1000)
-    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "e").mkdir(parents=True)
     (tmp_path / "d" / "b").write_bytes(b"y" * 24)
-    assert rows(op.input_bytes(sources.input_files(spark, str(tmp_path)))) == [(2, 1024, 1024 / 1024**3)]
+    (tmp_path / "d" / "e" / "c").write_bytes(b"z" * 6)
+    (tmp_path / "_hidden").write_bytes(b"h" * 99)
+    folders = sources.input_folders(spark, str(tmp_path))
+    assert sorted((r.folder.rsplit("/", 1)[1], r.files, r.bytes) for r in folders.collect()) == [("a", 1, 1000), ("d", 2, 30)]
+    assert rows(op.input_bytes(folders)) == [(3, 1030, 1030 / 1024**3)]
+    (tmp_path / "none").mkdir()
+    assert rows(op.input_bytes(sources.input_folders(spark, str(tmp_path / "none")))) == [(0, None, None)]
+
+
+@pytest.mark.parametrize("split", ["1m", "128m"])
+def test_listing_costs_no_task_at_any_split_size(spark, tmp_path, split):
+    for day in range(12):
+        (tmp_path / f"day={day}").mkdir()
+        (tmp_path / f"day={day}" / "part").write_bytes(b"x" * 1_500_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.sparkContext.setJobGroup(f"listing-{split}", "")
+    try:
+        folders = sources.input_folders(spark, str(tmp_path))
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup(f"listing-{split}") == []
+        assert folders.count() == 12 and rows(op.input_bytes(folders))[0][:2] == (12, 18_000_000)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_economics(spark):
@@ -255,3 +278,58 @@ def test_headings_name_the_number_of_places(spark, golden_trips):
     ranking = op.top_drivers(golden_trips, 3)
     labels = [r["label"] for r in op.result_lines(ranking, "top_drivers", 3).collect()]
     assert "--- Top 3 Drivers ---" in labels
+
+
+REJECT_LINES = ["M1,H1", "M2", "a", *(["M3,H3" + ",0" * 19] * 2)]
+
+
+@pytest.mark.parametrize("question", ["best_hour", "top_drivers", "top_taxis", "both"])
+@pytest.mark.parametrize("fmt", ["lines", "csv", "csv_permissive"])
+@pytest.mark.parametrize("staged", [False, True])
+def test_rejects_are_counted_in_the_pass_that_parses(spark, tmp_path, monkeypatch, question, fmt, staged):
+    """Headers are no records, and no second read measures the text."""
+    from conftest import GOLDEN, HEADER
+
+    def no_second_read(*args, **kwargs):
+        raise AssertionError("the text is read again")
+
+    monkeypatch.setattr(sources, "record_widths", no_second_read)
+    monkeypatch.setattr(op, "line_widths", no_second_read)
+    whole = [line for line in GOLDEN.splitlines() if line.count(",") == 16]
+    for name, lines in (("a.csv", [*whole, *REJECT_LINES]), ("b.csv", whole[:3])):
+        (tmp_path / name).write_text("\n".join([HEADER, *lines]) + "\n")
+    written = jobs.run(
+        spark, question, str(tmp_path) + "/*.csv", str(tmp_path / "out"), fmt=fmt, header=True,
+        layout="trip17", scope="clean", staged=staged, rejects=True,
+    )
+    (found,) = json_lines(tmp_path / "out" / "rejects")
+    records = len(whole) + 3 + len(REJECT_LINES)
+    assert found["records_read"] == records
+    assert (found["short_records"], found["wide_records"], found["extra_columns"]) == (3, 2, 0)
+    dropped = len(REJECT_LINES) if fmt == "csv" else 0
+    assert found["rows_raw"] == records - dropped
+    assert found["rows_raw"] - found["rows_kept"] == found["rows_rejected"]
+    plain = jobs.run(
+        spark, question, str(tmp_path) + "/*.csv", str(tmp_path / "plain"), fmt=fmt, header=True,
+        layout="trip17", scope="clean", staged=staged,
+    )
+    for name in set(plain) - {"summary"}:  # counting rejects changes no result
+        assert sorted(map(str, spark.read.json(plain[name]).collect())) == sorted(map(str, spark.read.json(written[name]).collect()))
+
+
+def test_counted_records_come_from_one_text_scan(spark, golden_file):
+    trips = op.normalize(sources.read_trips(spark, golden_file, "csv", header=True, records=True), "trip17")
+    groups, _ = op.counted_ranking(trips, "top_drivers")
+    plan = op.grouped_facts(groups)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    facts = op.grouped_facts(groups).first().asDict()
+    assert facts == op.run_facts(trips).first().asDict()
+    assert facts["records_read"] == 14 and facts["short_records"] == 2
+
+
+def test_rejects_of_parquet(spark, golden_trips):
+    found = op.reject_facts(op.run_facts(golden_trips), 19).first().asDict()
+    assert found == {
+        "rows_raw": 14, "rows_kept": 10, "rows_rejected": 4, "records_read": 14, "short_records": 0,
+        "wide_records": 0, "extra_columns": 2,
+    }

@@ -73,7 +73,7 @@ def test_generic_width_without_a_layout_is_an_error(spark):
 
 def test_conform_names_adds_and_types(spark):
     df = spark.sql("select 'M' _c0, 'H' _c1, '2013-01-01 05:00:00' _c2, 'x' _c3, '382.5' _c4")
-    found = op.conform(df)
+    found = op.conform(df, positional=True)
     assert [(f.name, f.dataType) for f in found.schema] == [(f.name, f.dataType) for f in TRIP17]
     assert rows(found) == [("M", "H", "2013-01-01 05:00:00", "x", 382.5) + (None,) * 12]
 
@@ -82,7 +82,7 @@ def test_conform_drops_extra_columns_even_with_repeated_names(spark):
     cells = ", ".join(f"'{i}' as c" for i in range(19))
     df = spark.sql(f"select {cells}")
     assert op.extra_columns(df) == 2
-    found = op.conform(df)
+    found = op.conform(df, positional=True)
     assert found.columns == TRIP17_NAMES
     assert found.first()["total_amount"] == 16.0
 
@@ -168,3 +168,34 @@ def test_widths_that_disagree_are_an_error(spark):
     with pytest.raises(ValueError, match="disagree in width, 4 at most, most often 3"):
         op.settled_width(op.line_widths(wide))
     assert op.settled_width(op.line_widths(lines.limit(0))) is None
+
+
+@pytest.mark.parametrize("width", [1, 6, 16, 18, 19, 25])
+def test_unknown_names_at_no_layouts_width_are_an_error(spark, width):
+    df = spark.sql("select " + ", ".join(f"'{i}' as field{i}" for i in range(width)))
+    for rule in (op.conform, op.name_columns, op.restore_names):
+        with pytest.raises(ValueError, match=f"none of the {width} columns.*field0.*has a known name"):
+            rule(df)
+    named = op.restore_names(df, positional=True)
+    assert named.columns == TRIP17_NAMES[:width]
+
+
+@pytest.mark.parametrize(("width", "layout"), [(17, "trip17"), (20, "classic20"), (21, "classic21")])
+def test_unknown_names_at_a_layouts_width_are_that_layout(spark, width, layout):
+    df = spark.sql("select " + ", ".join(f"'{i}' as field{i}" for i in range(width)))
+    assert op.restore_names(df).columns == op.rename_layout(df, layout).columns != df.columns
+
+
+@pytest.mark.parametrize(
+    ("value", "fields"),
+    [("", 1), ("a", 1), ("a,b", 2), (",", 2), ('"a,b",c', 2), ('"a""b,c",d', 2), ('a,"b,c', 2), ('"",""', 2), ('"', 1)],
+)
+def test_csv_fields(spark, value, fields):
+    df = spark.createDataFrame([(value,)], "value string")
+    assert df.select(op.csv_fields("value")).first()[0] == fields
+
+
+def test_csv_fields_of_very_wide_records(spark):
+    wide = [",".join(['"x,y"'] * n) for n in (20_000, 100_000)] + ['"' + "a," * 200_000]
+    df = spark.createDataFrame([(w,) for w in wide], "value string")
+    assert [r[0] for r in df.select(op.csv_fields("value")).collect()] == [20_000, 100_000, 1]

@@ -5,7 +5,8 @@ import gzip
 
 import pytest
 
-from conftest import GOLDEN, HEADER, rows
+from conftest import GOLDEN, HEADER, plan_of, rows
+from pyspark.sql import functions as F
 from tripmetrics import operators as op
 from tripmetrics import sinks, sources
 from tripmetrics.sources.scratch import scratch_path
@@ -163,3 +164,55 @@ def test_scratch_path_follows_the_session(spark, tmp_path):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     if old:
         assert scratch_path(spark, "x").startswith(f"{old}/tripmetrics/x-")
+
+
+def sizes_of(path):
+    return sorted(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("split", ["200k", "1m", "32m"])
+def test_staged_files_have_one_size_at_any_split_size(spark, lineitem_trips, tmp_path, split):
+    trips = op.conform(lineitem_trips).withColumn("medallion", F.concat("medallion", F.lit("-"), F.pmod("trip_time_in_secs", F.lit(7)).cast("string")))
+    text = str(tmp_path / "in")
+    trips.select(F.to_csv(F.struct(*trips.columns)).alias("value")).write.text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.shuffle.partitions")
+    advised = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        raw = op.lines_to_columns(spark.read.text(text), 17)
+        sinks.stage_parquet(op.conform(raw), str(tmp_path / "out"), file_bytes=100_000)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.shuffle.partitions", before[1])
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == advised
+    sizes = sizes_of(tmp_path / "out")
+    assert len(sizes) > 2 and sizes[-1] <= 2 * sizes[0]
+    assert sources.read_staged(spark, str(tmp_path / "out")).count() == lineitem_trips.count()
+
+
+def test_sized_staging_is_a_rebalance(spark, lineitem_trips, tmp_path):
+    plan = lineitem_trips.hint("rebalance", "medallion", "hack_license")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "RoundRobin" not in plan
+    with pytest.raises(ValueError, match="not both"):
+        sinks.stage_parquet(lineitem_trips, str(tmp_path / "x"), files=2, file_bytes=1000)
+
+
+def test_staging_days_again_replaces_those_days_only(spark, golden_trips, tmp_path):
+    path = str(tmp_path / "days")
+    undated = golden_trips.withColumn("pickup_datetime", F.lit("soon"))
+    for batch, trips in (
+        ("first", golden_trips.filter("pickup_datetime like '2013-01-01%'").union(undated.limit(2))),
+        ("second", golden_trips.filter("pickup_datetime not like '2013-01-01%'")),
+        ("first", golden_trips.filter("pickup_datetime like '2013-01-01%'").limit(4).union(undated.limit(1))),
+    ):
+        sinks.stage_days(trips, path, batch)
+    staged = sources.read_staged(spark, path)
+    assert staged.columns == golden_trips.columns
+    by_text = {r[0]: r[1] for r in staged.groupBy(F.substring("pickup_datetime", 1, 10)).count().collect()}
+    rest = golden_trips.filter("pickup_datetime not like '2013-01-01%'").groupBy(F.substring("pickup_datetime", 1, 10)).count()
+    want = {r[0]: r[1] for r in rest.collect()} | {"2013-01-01": 4, "soon": 1}
+    assert by_text == want
+    one_day = sources.read_staged(spark, path, days=("2013-01-02", "2013-01-02"))
+    assert [r["pickup_datetime"][:10] for r in one_day.collect()] == ["2013-01-02"]
+    assert "PartitionFilters: [isnotnull(pickup_day" in plan_of(one_day)

@@ -31,7 +31,9 @@ from tripmetrics.operators.rankings import (
     top_taxis_merged,
 )
 from tripmetrics.operators.shaping import (
+    carried,
     conform,
+    csv_fields,
     drop_header,
     extra_columns,
     is_generic,
@@ -41,12 +43,14 @@ from tripmetrics.operators.shaping import (
     name_columns,
     normalize,
     preview,
+    record,
     rename_layout,
     resolve_aliases,
     restore_names,
     settled_width,
     split_lines,
     two_field_lines,
+    value_columns,
     widest_line,
 )
 
@@ -54,8 +58,10 @@ __all__ = [
     "best_hour",
     "both_rankings",
     "both_rankings_shared",
+    "carried",
     "counted_ranking",
     "conform",
+    "csv_fields",
     "driver_rates",
     "grouped_facts",
     "drop_header",
@@ -78,6 +84,7 @@ __all__ = [
     "name_columns",
     "normalize",
     "preview",
+    "record",
     "rename_layout",
     "resolve_aliases",
     "restore_names",
@@ -93,5 +100,6 @@ __all__ = [
     "top_drivers",
     "top_taxis",
     "two_field_lines",
+    "value_columns",
     "widest_line",
 ]

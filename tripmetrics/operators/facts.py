@@ -7,12 +7,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripmetrics.functions import clean_trip, plain_number, ratio_or_zero, rounded
-from tripmetrics.operators.shaping import fields
+from tripmetrics.operators.shaping import carried, fields
 from tripmetrics.schema import (
     BEST_HOUR_LABELS,
     BYTES_PER_GB,
     COST_PER_VCPU_MIN,
     NO_RESULT_LABEL,
+    RECORD,
     RESULT_HEADINGS,
     RUN_OPTIONS,
     SUMMARY_STYLES,
@@ -20,16 +21,44 @@ from tripmetrics.schema import (
 )
 
 
-def run_facts(trips: DataFrame, rule: Column | None = None) -> DataFrame:
+def record_counts(trips: DataFrame, rule: Column, width: int = len(TRIP17_NAMES)) -> list[Column]:
+    """The counts of a pass over trips: rows read and rows that pass the rule.
+
+    Where the rows say what record they came from, also the records read, those with fewer
+    fields than ``width`` and those with more; rows that are only there to be counted are no rows read.
+    """
+    kept = F.count_if(rule).alias("rows_kept")
+    if not carried(trips):
+        return [F.count(F.lit(1)).alias("rows_raw"), kept]
+    fields = F.col(f"{RECORD}.fields")
+    return [
+        F.count_if(~F.col(f"{RECORD}.dropped")).alias("rows_raw"),
+        kept,
+        F.count(F.lit(1)).alias("records_read"),
+        F.count_if(fields < width).alias("short_records"),
+        F.count_if(fields > width).alias("wide_records"),
+    ]
+
+
+#: Counts of ``record_counts`` that can be added up over groups.
+COUNTS = ("rows_raw", "rows_kept", "records_read", "short_records", "wide_records")
+
+
+def run_facts(
+    trips: DataFrame, rule: Column | None = None, width: int = len(TRIP17_NAMES)
+) -> DataFrame:
     """Rows raw, kept and rejected by the cleaning rule, in one aggregate.
 
     An aggregate and not an observed metric: metrics are counted again when a
     lost executor makes a shuffle stage run twice.
     """
-    kept = F.count_if(clean_trip() if rule is None else rule)
-    return trips.agg(F.count(F.lit(1)).alias("rows_raw"), kept.alias("rows_kept")).withColumn(
-        "rows_rejected", F.col("rows_raw") - F.col("rows_kept")
-    )
+    counted = trips.agg(*record_counts(trips, clean_trip() if rule is None else rule, width))
+    return with_rejected(counted)
+
+
+def with_rejected(counted: DataFrame) -> DataFrame:
+    rejected = (F.col("rows_raw") - F.col("rows_kept")).alias("rows_rejected")
+    return counted.select("rows_raw", "rows_kept", rejected, *counted.columns[2:])
 
 
 def line_facts(lines: DataFrame, width: int = len(TRIP17_NAMES)) -> DataFrame:
@@ -44,30 +73,31 @@ def line_facts(lines: DataFrame, width: int = len(TRIP17_NAMES)) -> DataFrame:
     )
 
 
-def reject_facts(
-    rows: DataFrame, widths: DataFrame, width: int | None, columns: int | None = None
-) -> DataFrame:
-    """One row on what a job read but did not use.
+def reject_facts(facts: DataFrame, columns: int | None = None) -> DataFrame:
+    """One row on what a job read but did not use, from its ``run_facts``.
 
-    ``rows`` has run facts, ``widths`` the records by width (``line_widths`` or
-    ``record_widths``). Records shorter than ``width`` are padded, wider ones lose
-    fields; ``columns`` is how many a table has, of which those past the layout are extra.
+    Records shorter than the layout are padded, wider ones lose fields or are dropped; ``columns`` is how
+    many a table has, of which those past the layout are extra. Tables that say nothing of their
+    records, such as Parquet, have as many as rows, all of one width.
     """
-    sized = widths.agg(
-        F.coalesce(F.sum("lines"), F.lit(0)).alias("records_read"),
-        F.coalesce(F.sum(F.when(F.col("width") < width, F.col("lines"))), F.lit(0)).alias("short_records"),
-        F.coalesce(F.sum(F.when(F.col("width") > width, F.col("lines"))), F.lit(0)).alias("wide_records"),
+    counts = {c: F.col(c) for c in COUNTS if c in facts.columns}
+    counts.setdefault("records_read", F.col("rows_raw"))
+    for name in ("short_records", "wide_records"):
+        counts.setdefault(name, F.lit(0))
+    return facts.select(
+        "rows_raw",
+        "rows_kept",
+        "rows_rejected",
+        *[counts[c].cast("long").alias(c) for c in COUNTS[2:]],
         F.lit(max(0, (columns or 0) - len(TRIP17_NAMES))).cast("long").alias("extra_columns"),
     )
-    (facts,) = rows.select("rows_raw", "rows_kept", "rows_rejected").collect()
-    return sized.select(*(F.lit(v).cast("long").alias(k) for k, v in facts.asDict().items()), "*")
 
 
 def input_bytes(files: DataFrame) -> DataFrame:
     """Number of input files, their bytes and the size in GB (1024 cubed), from
-    ``sources.input_files``."""
+    ``sources.input_folders``."""
     return files.agg(
-        F.count("path").alias("files"), F.sum("bytes").alias("input_bytes")
+        F.coalesce(F.sum("files"), F.lit(0)).alias("files"), F.sum("bytes").alias("input_bytes")
     ).withColumn("input_gb", F.col("input_bytes") / F.lit(BYTES_PER_GB))
 
 

@@ -24,7 +24,8 @@ from tripmetrics.functions import (
     present,
     ratio,
 )
-from tripmetrics.schema import SKETCH_RSD, SKETCH_SIZE
+from tripmetrics.operators.facts import COUNTS, record_counts, with_rejected
+from tripmetrics.schema import SKETCH_RSD, SKETCH_SIZE, TRIP17_NAMES
 
 
 def top(df: DataFrame, measure: str, key: str, n: int) -> DataFrame:
@@ -259,15 +260,17 @@ def counted_ranking(
     scope: str = "all",
     rsd: float = SKETCH_RSD,
     null_keys: str = "drop",
+    width: int = len(TRIP17_NAMES),
 ) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """The grouped table of one question, and the ranking as a function of it.
 
     The groups also hold ``rows_raw`` and ``rows_kept``, so that a job which needs both the
     ranking and the row counts reads its input once and holds no more than the groups:
     drivers, taxis, or for exact counts their pairs. ``grouped_facts`` adds the counts up.
+    Records that were shorter or wider than ``width`` are counted too, where the rows tell.
     """
     clean = clean_trip()
-    counts = (F.count(F.lit(1)).alias("rows_raw"), F.count_if(clean).alias("rows_kept"))
+    counts = record_counts(trips, clean, width)
     if question == "top_drivers":
         groups = trips.groupBy("hack_license").agg(
             *counts,
@@ -300,9 +303,9 @@ def counted_ranking(
 
 
 def grouped_facts(groups: DataFrame) -> DataFrame:
-    """Rows raw, kept and rejected, from groups that hold the first two."""
-    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows_raw", "rows_kept")]
-    return groups.agg(*sums).withColumn("rows_rejected", F.col("rows_raw") - F.col("rows_kept"))
+    """The facts of a run, from groups that hold its counts."""
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS if c in groups.columns]
+    return with_rejected(groups.agg(*sums))
 
 
 # -------------------------------------------------------------- both rankings

@@ -13,6 +13,7 @@ from tripmetrics.schema import (
     ALIASES,
     CLASSIC21,
     LAYOUTS,
+    RECORD,
     REDUCED4,
     REQUIRED,
     TRIP17,
@@ -84,11 +85,39 @@ def settled_width(widths: DataFrame) -> int | None:
     return width
 
 
+def csv_fields(value: str | Column) -> Column:
+    """The number of fields of a CSV record, commas between quotes not counted.
+
+    Quoted stretches are taken out whole, an unclosed one to the end, and the commas that are left
+    are counted: one pass over the record, however many fields it has.
+    """
+    outside = F.regexp_replace(value, '"[^"]*("|\\z)', "")
+    return (F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1).cast("int")
+
+
+def record(fields: Column, dropped: Column | None = None) -> Column:
+    """The column that says what record a row came from."""
+    dropped = F.lit(False) if dropped is None else dropped
+    return F.struct(fields.cast("int").alias("fields"), dropped.alias("dropped")).alias(RECORD)
+
+
+def value_columns(df: DataFrame) -> list[str]:
+    """The columns of a table without what is said of its records."""
+    return [c for c in df.columns if c != RECORD]
+
+
+def carried(df: DataFrame) -> list[str]:
+    """The column about records, where there is one."""
+    return [c for c in df.columns if c == RECORD]
+
+
 def lines_to_columns(
-    lines: DataFrame, width: int | None = None, blank_as_null: bool = False
+    lines: DataFrame, width: int | None = None, blank_as_null: bool = False, records: bool = False
 ) -> DataFrame:
     """Text lines as the rectangular string table ``_c0 .. _cN``, short lines padded with null.
 
+    With ``records`` the number of fields of each line goes along.
+
     Without ``width`` the widest line sets it, which costs one pass over the
     text; give it whenever the layout is known. With ``blank_as_null`` empty
     fields become null, as they do in the CSV reader.
@@ -98,7 +127,8 @@ def lines_to_columns(
     cells = [F.get("parts", F.lit(i)) for i in range(width)]
     if blank_as_null:
         cells = [F.nullif(c, F.lit("")) for c in cells]
-    return split_lines(lines).select(*[c.alias(f"_c{i}") for i, c in enumerate(cells)])
+    about = [record(F.size("parts"))] if records else []
+    return split_lines(lines).select(*[c.alias(f"_c{i}") for i, c in enumerate(cells)], *about)
 
 
 # -------------------------------------------------------------------- layouts
@@ -106,7 +136,8 @@ def lines_to_columns(
 
 def is_generic(df: DataFrame) -> bool:
     """All columns are called ``_c0, _c1, ...``: the file had no usable names."""
-    return bool(df.columns) and all(_GENERIC.match(c) for c in df.columns)
+    names = value_columns(df)
+    return bool(names) and all(_GENERIC.match(c) for c in names)
 
 
 def layout_for_width(width: int) -> str | None:
@@ -124,59 +155,70 @@ def rename_layout(df: DataFrame, layout: str) -> DataFrame:
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}, expected one of {sorted(LAYOUTS)}")
     names, least = LAYOUTS[layout]
-    have = df.columns
+    have = value_columns(df)
     if len(have) < least:
         raise ValueError(f"layout {layout} needs {least} columns, the input has {len(have)}")
-    return df.toDF(*names, *have[len(names) :])
+    return df.toDF(*names, *have[len(names) :], *carried(df))
 
 
-def restore_names(df: DataFrame) -> DataFrame:
-    """Name columns as trip17 by position when no name is a known one.
+def restore_names(df: DataFrame, positional: bool = False) -> DataFrame:
+    """Name columns by position when no name is a known one.
 
     Names of any layout and accepted aliases are known: a table with even one of
-    them has names of its own and is left alone, wherever its columns stand. Works
-    at any width: fewer columns get the first names, extra columns are dropped
-    (``extra_columns`` tells how many).
+    them has names of its own and is left alone, wherever its columns stand. Without
+    any, a table as wide as a layout (17, 20 or 21 columns) is taken for that layout. At another
+    width the names are an error, unless ``positional`` says that the columns are
+    those of trip17 in order: fewer columns then get the first names, extra columns are
+    dropped (``extra_columns`` tells how many).
     """
-    if any(name.lower() in _KNOWN for name in df.columns):
+    names = value_columns(df)
+    if any(name.lower() in _KNOWN for name in names):
         return df
-    kept = len(df.columns) - extra_columns(df)
+    layout = layout_for_width(len(names)) if len(names) <= len(CLASSIC21) else None
+    if layout and not positional:
+        return rename_layout(df, layout)
+    if not positional:
+        raise ValueError(
+            f"none of the {len(names)} columns {names[:30]} has a known name, and no layout has that many; "
+            "name the columns, give a layout, or say positional=True for trip17 in order"
+        )
+    kept = len(names) - extra_columns(df)
     # toDF first: the old names may repeat, so they cannot be selected by name.
-    by_position = df.toDF(*[f"_p{i}" for i in range(len(df.columns))])
+    by_position = df.toDF(*[f"_p{i}" for i in range(len(names))], *carried(df))
     return by_position.select(
-        *[F.col(f"_p{i}").alias(name) for i, name in enumerate(TRIP17_NAMES[:kept])]
+        *[F.col(f"_p{i}").alias(name) for i, name in enumerate(TRIP17_NAMES[:kept])], *carried(df)
     )
 
 
-def name_columns(df: DataFrame, layout: str | None = None) -> DataFrame:
+def name_columns(df: DataFrame, layout: str | None = None, positional: bool = False) -> DataFrame:
     """Known names for any trip table, without touching its values.
 
     Generic columns are named by ``layout``, or by their number when none is
-    given; a table without any known name is named as trip17 by position.
+    given; a table without any known name by ``restore_names``.
     """
     if is_generic(df):
-        layout = layout or layout_for_width(len(df.columns))
+        layout = layout or layout_for_width(len(value_columns(df)))
         if layout:
             return rename_layout(df, layout)
-    return restore_names(df)
+    return restore_names(df, positional)
 
 
 def extra_columns(df: DataFrame) -> int:
     """Columns past the trip17 width."""
-    return max(0, len(df.columns) - len(TRIP17_NAMES))
+    return max(0, len(value_columns(df)) - len(TRIP17_NAMES))
 
 
-def conform(df: DataFrame, schema: StructType = TRIP17) -> DataFrame:
+def conform(df: DataFrame, schema: StructType = TRIP17, positional: bool = False) -> DataFrame:
     """Exactly the columns and types of ``schema``: restored names, aliases resolved,
     typed nulls for what is missing; values that do not fit their type become null."""
-    named = restore_names(df)
+    named = restore_names(df, positional)
     found = _by_alias(named, schema.fieldNames())
 
     def source(target: StructField) -> Column:
         name = found[target.name]
         return F.lit(None) if name is None else F.col(f"`{name}`")
 
-    return named.select(*[_convert(source(f), f).alias(f.name) for f in schema])
+    return named.select(*[_convert(source(f), f).alias(f.name) for f in schema], *carried(df))
 
 
 def _by_alias(df: DataFrame, names: Iterable[str]) -> dict[str, str | None]:
@@ -216,12 +258,12 @@ def normalize(df: DataFrame, layout: str | None = None) -> DataFrame:
     given; then the required columns are found by alias and typed.
     """
     if is_generic(df):
-        layout = layout or layout_for_width(len(df.columns))
+        layout = layout or layout_for_width(len(value_columns(df)))
         if layout:
             df = rename_layout(df, layout)
     found = resolve_aliases(df)
     return df.select(
-        *[_convert(F.col(f"`{found[f.name]}`"), f).alias(f.name) for f in REDUCED4]
+        *[_convert(F.col(f"`{found[f.name]}`"), f).alias(f.name) for f in REDUCED4], *carried(df)
     )
 
 

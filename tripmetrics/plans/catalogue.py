@@ -283,7 +283,7 @@ def alias_columns(spark: SparkSession, sf: str) -> DataFrame:
 def conform_missing(spark: SparkSession, sf: str) -> DataFrame:
     """The first six columns without names: named by position, the rest typed nulls."""
     trips = ad.generic_columns(lineitem_trips(spark, sf), TRIP17_NAMES[:6], 6)
-    return op.conform(trips)
+    return op.conform(trips, positional=True)
 
 
 @query
@@ -291,7 +291,7 @@ def conform_extra(spark: SparkSession, sf: str) -> DataFrame:
     """Nineteen columns with lost names: the last two are dropped."""
     trips = ad.generic_columns(lineitem_trips(spark, sf), TRIP17_NAMES, 19)
     lost = trips.toDF(*[f"field{i}" for i in range(19)])
-    return op.conform(lost).select(*REQUIRED, "trip_distance", "surcharge")
+    return op.conform(lost, positional=True).select(*REQUIRED, "trip_distance", "surcharge")
 
 
 @query
@@ -365,7 +365,10 @@ def stage_parquet(spark: SparkSession, sf: str) -> DataFrame:
     csv = text_file(spark, dirty_lines(spark, sf), "stage-csv")
     records = sources.read_csv_permissive(spark, csv, len(TRIP17_NAMES))
     out = sinks.staging_path(sources.scratch_path(spark, "stage"))
-    staged = sources.read_staged(spark, sinks.stage_parquet(op.conform(records), out))
+    return staged_counts(sources.read_staged(spark, sinks.stage_parquet(op.conform(records), out)))
+
+
+def staged_counts(staged: DataFrame) -> DataFrame:
     clean = clean_trip()
     return staged.groupBy("medallion").agg(
         F.count(F.lit(1)).alias("trips"),
@@ -375,6 +378,35 @@ def stage_parquet(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def stage_parquet_sized(spark: SparkSession, sf: str) -> DataFrame:
+    """Dirty lines staged as files of one size."""
+    staging = sources.scratch_path(spark, "stage-sized")
+    csv = text_file(spark, dirty_lines(spark, sf), "stage-csv")
+    return staged_counts(jobs.stage(spark, csv, staging, layout="trip17", file_bytes=256 * 1024))
+
+
+@query
+def stage_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Two halves of the days, staged one after the other, and the second once more."""
+    staging = sources.scratch_path(spark, "stage-days")
+    found, late = events(spark, sf), F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    for batch, half in (("early", ~late), ("late", late), ("late", late)):
+        lines = ad.trip_lines(ad.event_trips_as_text(found.filter(half)))
+        csv = text_file(spark, lines, f"days-{batch}")
+        staged = jobs.stage(spark, csv, staging, layout="trip17", by_day=True, batch=batch)
+    return hours(op.hourly_ratio(staged, "multi"))
+
+
+@query
+def read_staged_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Three days of a set that is kept by day; the other days' folders are not opened."""
+    staging = sources.scratch_path(spark, "stage-days")
+    sinks.stage_days(op.conform(ad.event_trips_as_text(events(spark, sf))), staging)
+    staged = sources.read_staged(spark, staging, days=("2024-01-10", "2024-01-12"))
+    return hours(op.hourly_ratio(staged, "multi"))
+
+
 @query
 def ranking_json(spark: SparkSession, sf: str) -> DataFrame:
     ranking = op.top_drivers(lineitem_trips(spark, sf))
@@ -392,17 +424,33 @@ def run_facts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def input_bytes(spark: SparkSession, sf: str) -> DataFrame:
-    return op.input_bytes(sources.input_files(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
+    """Files and bytes of a set that was just written: a folder and a file for each return flag."""
+    path = sources.scratch_path(spark, "folders")
+    lines = lineitem(spark, sf).select("l_returnflag", F.format_string("%020d", "l_orderkey").alias("value"))
+    lines.repartition("l_returnflag").write.partitionBy("l_returnflag").text(path)
+    size = op.input_bytes(sources.input_folders(spark, path))
+    return size.select("files", "input_bytes", F.round("input_gb", 9).alias("input_gb"))
 
 
 @query
 def input_bytes_text(spark: SparkSession, sf: str) -> DataFrame:
     """Size of text just written: its characters and one line end for each line."""
     path = text_file(spark, dirty_lines(spark, sf), "bytes")
-    size = op.input_bytes(sources.input_files(spark, path))
+    size = op.input_bytes(sources.input_folders(spark, path))
     return size.select("input_bytes", F.round("input_gb", 9).alias("input_gb"))
 
 
+@query
+def input_bytes_by_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """The listing itself: bytes of each month of a partitioned text set."""
+    path = sources.scratch_path(spark, "months")
+    month = F.date_format("l_shipdate", "yyyyMM").alias("month")
+    lines = lineitem(spark, sf).select(month, F.col("l_orderkey").cast("string").alias("value"))
+    lines.repartition("month").write.partitionBy("month").text(path)
+    folders = sources.input_folders(spark, path)
+    return folders.select(F.substring_index("folder", "=", -1).alias("month"), "files", "bytes")
+
+
 @query
 def run_economics(spark: SparkSession, sf: str) -> DataFrame:
     found = op.economics(ad.runs_from_orders(ad.table(spark, sf, "orders")))
@@ -510,9 +558,13 @@ def job_best_hour_report(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------- odd inputs, bounds, null keys
 
 
-def first_line(lines: DataFrame, odd: Column) -> DataFrame:
-    """The lines in one file, an odd one first."""
-    return lines.repartition(1).sortWithinPartitions(F.when(odd, 0).otherwise(1))
+def odd_first(spark: SparkSession, lines: DataFrame, odd: Column, name: str) -> list[str]:
+    """Lines as text files, the odd ones in files of their own that come first."""
+    path = sources.scratch_path(spark, name)
+    parts = {"a": lines.filter(odd), "b": lines.filter(~odd)}
+    for part, some in parts.items():
+        some.write.text(f"{path}/{part}")
+    return [f"{path}/{part}" for part in parts]
 
 
 def trips_and_clean(trips: DataFrame) -> DataFrame:
@@ -536,7 +588,7 @@ def csv_first_record_wide(spark: SparkSession, sf: str) -> DataFrame:
     cells = F.size(F.split("value", ","))
     padding = F.repeat(F.lit(","), F.greatest(F.lit(0), len(TRIP17_NAMES) - cells))
     lines = dirty_lines(spark, sf).select(F.concat("value", padding).alias("value"))
-    path = text_file(spark, first_line(lines, cells > len(TRIP17_NAMES)), "csv-wide")
+    path = odd_first(spark, lines, cells > len(TRIP17_NAMES), "csv-wide")
     records = sources.read_trips(spark, path, "csv", header=False, layout="trip17")
     return trips_and_clean(op.conform(op.name_columns(records)))
 
@@ -545,7 +597,7 @@ def csv_first_record_wide(spark: SparkSession, sf: str) -> DataFrame:
 def csv_first_record_short(spark: SparkSession, sf: str) -> DataFrame:
     """Every record is kept; a first one of a single field narrows none of them."""
     short = F.size(F.split("value", ",")) == 1
-    path = text_file(spark, first_line(dirty_lines(spark, sf), short), "csv-short")
+    path = odd_first(spark, dirty_lines(spark, sf), short, "csv-short")
     records = sources.read_trips(spark, path, "csv_permissive", header=False, layout="trip17")
     return trips_and_clean(op.conform(op.name_columns(records)))
 
@@ -568,6 +620,15 @@ def conform_unknown_first_name(spark: SparkSession, sf: str) -> DataFrame:
     return op.conform(trips).select(*REQUIRED, "trip_distance")
 
 
+def rejects_of(spark: SparkSession, written: dict[str, str]) -> DataFrame:
+    names = (
+        "rows_raw", "rows_kept", "rows_rejected", "records_read", "short_records",
+        "wide_records", "extra_columns",
+    )
+    schema = ", ".join(f"{name} long" for name in names)
+    return spark.read.schema(schema).json(written["rejects"])
+
+
 @query
 def job_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """What a job over dirty text left out, padded and cut."""
@@ -575,12 +636,46 @@ def job_rejects(spark: SparkSession, sf: str) -> DataFrame:
         spark, "top_drivers", dirty_file(spark, sf), sources.scratch_path(spark, "job-rejects"),
         layout="trip17", style="short", rejects=True,
     )
-    names = (
-        "rows_raw", "rows_kept", "rows_rejected", "records_read", "short_records",
-        "wide_records", "extra_columns",
+    return rejects_of(spark, written)
+
+
+def csv_with_headers(spark: SparkSession, lines: DataFrame, name: str) -> str:
+    """Lines as files that each begin with the header."""
+    path = sources.scratch_path(spark, name)
+    plain = {"header": True, "sep": "\u0001", "quote": "\u0000", "escapeQuotes": False}
+    lines.select(F.col("value").alias(ad.header_text())).write.options(**plain).csv(path)
+    return path
+
+
+@query
+def job_rejects_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from CSV files with headers, whose malformed records are dropped but counted."""
+    path = csv_with_headers(spark, dirty_lines(spark, sf), "csv-headers")
+    written = jobs.run(
+        spark, "both", path, sources.scratch_path(spark, "job-rejects-csv"), fmt="csv", header=True,
+        scope="clean", style="combined", rejects=True,
     )
-    schema = ", ".join(f"{name} long" for name in names)
-    return spark.read.schema(schema).json(written["rejects"])
+    return rejects_of(spark, written)
+
+
+@query
+def job_rejects_staged(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through a staging set, which carries what each record was."""
+    path = csv_with_headers(spark, dirty_lines(spark, sf), "csv-headers")
+    written = jobs.run(
+        spark, "top_taxis", path, sources.scratch_path(spark, "job-rejects-staged"), fmt="csv_permissive",
+        header=True, staged=True, style="staged", rejects=True,
+    )
+    return rejects_of(spark, written)
+
+
+@query
+def csv_many_quoted_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of 800 to 20,000 quoted fields, each with a comma inside: how many have how many fields."""
+    fields = (F.col("s_nationkey") + 1) * 800
+    line = F.concat(F.repeat(F.lit('"a,b",'), (fields - 1).cast("int")), F.lit('"a,b"'))
+    suppliers = ad.table(spark, sf, "supplier").select(line.alias("value"))
+    return sources.record_widths(spark, text_file(spark, suppliers, "csv-many"))
 
 
 def within_bound(exact: DataFrame, approx: DataFrame, key: str, rsd: float = SKETCH_RSD) -> DataFrame:

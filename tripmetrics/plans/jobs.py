@@ -14,6 +14,7 @@ from tripmetrics import sinks, sources
 from tripmetrics.schema import (
     COST_PER_VCPU_MIN,
     LAYOUTS,
+    RECORD,
     RUNS,
     SKETCH_RSD,
     SUMMARY_STYLES,
@@ -37,11 +38,24 @@ def stage(
     header: bool | str = False,
     layout: str | None = None,
     files: int | None = None,
+    file_bytes: int | None = None,
+    records: bool = False,
+    by_day: bool = False,
+    batch: str = "all",
 ) -> DataFrame:
-    """Type any text input once and keep it as Parquet; gives back the staged trips."""
-    raw = sources.read_trips(spark, path, fmt, header=header, layout=layout)
+    """Type any text input once and keep it as Parquet; gives back the staged trips.
+
+    With ``records`` the staged rows say what record they came from. With ``by_day`` the set is kept by
+    pickup day, and staging a batch of days again replaces those days only.
+    """
+    raw = sources.read_trips(spark, path, fmt, header=header, layout=layout, records=records)
     named = op.rename_layout(raw, layout) if layout and op.is_generic(raw) else raw
-    return sources.read_staged(spark, sinks.stage_parquet(op.conform(named), staging, files))
+    typed = op.conform(named)
+    if by_day:
+        sinks.stage_days(typed, staging, batch, file_bytes)
+    else:
+        sinks.stage_parquet(typed, staging, files, file_bytes)
+    return sources.read_staged(spark, staging, records)
 
 
 def add_batch(
@@ -82,6 +96,7 @@ def run(
     staged: bool = False,
     staging: str | None = None,
     staging_files: int | None = None,
+    staging_file_bytes: int | None = None,
     n: int = 10,
     pickup: str = "strict",
     method: str = "exact",
@@ -105,8 +120,8 @@ def run(
     record; the other styles leave the result to the JSON and count clean rows.
 
     With ``rejects`` a JSON line ``rejects`` says how many rows the cleaning rule left
-    out and how many records were shorter or wider than the layout, which takes one
-    more pass over text. ``input_bytes``, where it is known, saves asking the file system.
+    out and how many records were shorter or wider than the layout, counted in the pass
+    that parses them. ``input_bytes``, where it is known, saves asking the file system.
     """
     known = (*TASKS, "both")
     if question not in known:
@@ -117,12 +132,15 @@ def run(
     out = out_dir.rstrip("/")
     staging = (staging or sinks.staging_path(out)) if staged else None
     if staging:
-        trips = stage(spark, path, staging, fmt, header, layout, staging_files)
+        trips = stage(
+            spark, path, staging, fmt, header, layout, staging_files, staging_file_bytes, rejects
+        )
     else:
-        trips = sources.read_trips(spark, path, fmt, header, infer, layout)
-    columns = len(trips.columns)
+        trips = sources.read_trips(spark, path, fmt, header, infer, layout, rejects)
+    columns = len(op.value_columns(trips))
+    width = LAYOUTS[layout][1] if layout else len(TRIP17_NAMES)
     if question == "best_hour":
-        trips = op.name_columns(trips, layout).select(*BEST_HOUR_COLUMNS)
+        trips = op.name_columns(trips, layout).select(*BEST_HOUR_COLUMNS, *op.carried(trips))
     else:
         trips = op.normalize(trips, layout)
 
@@ -138,7 +156,7 @@ def run(
     parsed = not staging and fmt != "parquet"
     groups = None
     if parsed and question in ("top_drivers", "top_taxis"):
-        groups, rank = op.counted_ranking(trips, question, n, method, scope, rsd, null_keys)
+        groups, rank = op.counted_ranking(trips, question, n, method, scope, rsd, null_keys, width)
         rankings[question] = lambda: rank(groups)
     held = trips if groups is None else groups
 
@@ -156,10 +174,13 @@ def run(
                 report.append(lines.withColumn("ord", F.col("ord") + (n + 10) * i))
         runtime = time.monotonic() - start
         if groups is None:
-            rows_raw, rows_kept = _row_counts(trips, question)
+            # The best hour has no cleaning rule: every row that was read counts.
+            every = ~F.col(f"{RECORD}.dropped") if op.carried(trips) else F.lit(True)
+            counted = op.run_facts(trips, every if question == "best_hour" else None, width)
         else:
-            facts = op.grouped_facts(groups).first()
-            rows_raw, rows_kept = facts["rows_raw"], facts["rows_kept"]
+            counted = op.grouped_facts(groups)
+        (facts,) = counted.collect()
+        rows_raw, rows_kept = facts["rows_raw"], facts["rows_kept"]
 
     one_run = {
         "run_id": run_id,
@@ -182,41 +203,7 @@ def run(
     for lines in report:
         figures = figures.unionByName(lines)
     if rejects:
-        written["rejects"] = _write_rejects(
-            spark, path, fmt, header, layout, columns, (rows_raw, rows_kept), f"{out}/rejects"
-        )
+        counted = sources.from_rows(spark, [tuple(facts)], counted.schema)
+        written["rejects"] = sinks.write_ranking_json(op.reject_facts(counted, columns), f"{out}/rejects")
     written["summary"] = sinks.write_summary_text(figures, f"{out}/results_summary")
     return written
-
-
-def _row_counts(trips: DataFrame, question: str) -> tuple[int, int]:
-    """Rows read and rows that pass the cleaning rule, from one aggregate."""
-    if question == "best_hour":
-        rows = trips.count()
-        return rows, rows
-    facts = op.run_facts(trips).first()
-    return facts["rows_raw"], facts["rows_kept"]
-
-
-def _write_rejects(
-    spark: SparkSession,
-    path: str,
-    fmt: str,
-    header: bool | str,
-    layout: str | None,
-    columns: int,
-    counts: tuple[int, int],
-    out: str,
-) -> str:
-    raw, kept = counts
-    width = LAYOUTS[layout][1] if layout else len(TRIP17_NAMES)
-    if fmt == "lines":
-        widths = op.line_widths(sources.read_lines(spark, path, header))
-    elif fmt == "parquet":
-        widths = sources.from_rows(spark, [(width, raw)], "width int, lines long")
-    else:
-        widths = sources.record_widths(spark, path)
-    rows = sources.from_rows(
-        spark, [(raw, kept, raw - kept)], "rows_raw long, rows_kept long, rows_rejected long"
-    )
-    return sinks.write_ranking_json(op.reject_facts(rows, widths, width, columns), out)

@@ -300,6 +300,19 @@ def _ranking_check(source: str, where: str = "true") -> str:
 
 REDUCED = f"SELECT * FROM ({TRIPS})"
 
+REJECTS = f"""
+        SELECT count(*) AS rows_raw, count(*) FILTER (WHERE {CLEAN}) AS rows_kept,
+               count(*) FILTER (WHERE NOT ({CLEAN})) AS rows_rejected, count(*) AS records_read,
+               count(*) FILTER (WHERE NOT ({WHOLE})) AS short_records,
+               count(*) FILTER (WHERE {WIDE}) AS wide_records, CAST(0 AS BIGINT) AS extra_columns
+        FROM lineitem
+    """
+STAGED = (
+    f"SELECT medallion, count(*) AS trips, count(*) FILTER (WHERE clean) AS "
+    f"clean_trips, count(hack_license) AS licenses, "
+    f"round(sum(total_amount) FILTER (WHERE clean), 2) AS money FROM ({DIRTY}) GROUP BY 1"
+)
+
 ORACLES = {
     "best_hour": _best_hour(),
     "hourly_ratio": _hourly("true"),
@@ -354,9 +367,7 @@ ORACLES = {
     "'H' || l_partkey AS hack_license, l_quantity * 60 AS trip_time_in_secs, "
     "l_extendedprice AS total_amount FROM lineitem",
     "read_by_format": _read_by_format(),
-    "stage_parquet": f"SELECT medallion, count(*) AS trips, count(*) FILTER (WHERE clean) AS "
-    f"clean_trips, count(hack_license) AS licenses, "
-    f"round(sum(total_amount) FILTER (WHERE clean), 2) AS money FROM ({DIRTY}) GROUP BY 1",
+    "stage_parquet": STAGED,
     "ranking_json": _top_drivers(TRIPS),
     "run_facts": f"SELECT count(*) AS rows_raw, count(*) FILTER (WHERE {CLEAN}) AS rows_kept, "
     f"count(*) FILTER (WHERE NOT ({CLEAN})) AS rows_rejected FROM lineitem",
@@ -385,13 +396,24 @@ ORACLES = {
     "conform_unknown_first_name": "SELECT 'M' || l_suppkey AS medallion, 'H' || l_partkey AS "
     "hack_license, l_quantity * 60 AS trip_time_in_secs, l_extendedprice AS total_amount, "
     "l_quantity AS trip_distance FROM lineitem",
-    "job_rejects": f"""
-        SELECT count(*) AS rows_raw, count(*) FILTER (WHERE {CLEAN}) AS rows_kept,
-               count(*) FILTER (WHERE NOT ({CLEAN})) AS rows_rejected, count(*) AS records_read,
+    "job_rejects_csv": f"""
+        SELECT count(*) FILTER (WHERE {WHOLE} AND NOT {WIDE}) AS rows_raw,
+               count(*) FILTER (WHERE {CLEAN} AND NOT {WIDE}) AS rows_kept,
+               count(*) FILTER (WHERE {WHOLE} AND NOT {WIDE} AND NOT {CLEAN}) AS rows_rejected, count(*) AS records_read,
                count(*) FILTER (WHERE NOT ({WHOLE})) AS short_records,
                count(*) FILTER (WHERE {WIDE}) AS wide_records, CAST(0 AS BIGINT) AS extra_columns
         FROM lineitem
     """,
+    "job_rejects_staged": REJECTS,
+    "csv_many_quoted_fields": "SELECT (s_nationkey + 1) * 800 AS width, count(*) AS lines FROM supplier GROUP BY 1",
+    "input_bytes": "SELECT count(DISTINCT l_returnflag) AS files, count(*) * 21 AS input_bytes, "
+    "round(count(*) * 21 / CAST(1073741824 AS DOUBLE), 9) AS input_gb FROM lineitem",
+    "input_bytes_by_folder": "SELECT strftime(l_shipdate, '%Y%m') AS month, 1 AS files, "
+    "CAST(sum(strlen(CAST(l_orderkey AS VARCHAR)) + 1) AS BIGINT) AS bytes FROM lineitem GROUP BY 1",
+    "stage_parquet_sized": STAGED,
+    "stage_by_day": _hourly("true"),
+    "read_staged_days": _hourly("ts >= '2024-01-10' AND ts < '2024-01-13'"),
+    "job_rejects": REJECTS,
     "taxi_drivers_within_bound": "SELECT medallion, num_drivers, true AS within_bound "
     f"FROM ({_taxis(DIRTY, 'clean')})",
     "both_shared_within_bound": f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
@@ -214,6 +215,11 @@ NO_RESULT_LABEL = "No valid records found"
 TRIP17_NAMES = TRIP17.fieldNames()
 REQUIRED = REDUCED4.fieldNames()
 
+# What a reader says of the record that a row came from: how many fields it had, and whether the
+# row is only there to be counted. The column comes last and goes along until it has been counted.
+RECORD = "_record"
+RECORD_TYPE = StructType([StructField("fields", IntegerType()), StructField("dropped", BooleanType())])
+
 # Registers (as a power of two) of the sketches that are stored.
 SKETCH_SIZE = 12
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from tripmetrics.functions import event_time
 
 
 def staging_path(out_dir: str) -> str:
@@ -15,16 +18,75 @@ def staging_path(out_dir: str) -> str:
     return f"{out_dir.rstrip('/')}/staging_parquet"
 
 
-def stage_parquet(df: DataFrame, path: str, files: int | None = None) -> str:
+def stage_parquet(
+    df: DataFrame,
+    path: str,
+    files: int | None = None,
+    file_bytes: int | None = None,
+    by: tuple[str, ...] = ("medallion", "hack_license"),
+) -> str:
     """Write a compact snappy Parquet set, replacing what is there; gives back its path.
 
-    ``files`` forces that many files through a shuffle of the whole table, which
-    suits small sets only. Without it each task writes what it read, and no data
-    moves.
+    Without more said each task writes what it read, and no data moves, so there are as many
+    files as tasks that read. ``file_bytes`` asks for files of one size, so many bytes
+    of shuffled rows each: rows go by ``by``, and the adaptive plan splits what is larger and
+    joins what is smaller, whatever the size of the input splits. ``files`` forces that many files, which
+    suits small sets only.
     """
+    if files is not None and file_bytes is not None:
+        raise ValueError("give files or file_bytes, not both")
     if files is not None:
         df = df.repartition(files)
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    if file_bytes is None:
+        df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+        return path
+    with _advised(df.sparkSession, file_bytes):
+        sized = df.hint("rebalance", *by)
+        sized.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    return path
+
+
+@contextmanager
+def _advised(spark: SparkSession, size: int) -> Iterator[None]:
+    """The adaptive plan aims at ``size`` bytes for each task meanwhile."""
+    wanted = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(max(1, size // 2)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size),
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def stage_days(df: DataFrame, path: str, batch: str = "all", file_bytes: int | None = None) -> str:
+    """Keep trips (trip17) by pickup day; staging again replaces the days that ``df`` has and no others.
+
+    A batch is whole days. Trips without a readable pickup have no day: they are kept by the name of
+    their ``batch``, and replaced with it. A day's trips are spread over as many files as their
+    size needs, and small days are one file.
+    """
+    written = isinstance(df.schema["pickup_datetime"].dataType, StringType)
+    day = F.to_date(event_time("pickup_datetime", "multi") if written else F.col("pickup_datetime"))
+    dated = df.withColumns(
+        {"pickup_day": day, "batch": F.when(day.isNull(), F.lit(batch)).otherwise(F.lit("dated"))}
+    )
+    with _advised(df.sparkSession, file_bytes) if file_bytes else nullcontext():
+        (
+            dated.hint("rebalance", "pickup_day", "batch")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "snappy")
+            .partitionBy("pickup_day", "batch")
+            .parquet(path)
+        )
     return path
 
 

@@ -5,10 +5,11 @@ from tripmetrics.sources.readers import (
     from_rows,
     generic_schema,
     header_line,
-    input_files,
+    input_folders,
     listed_bytes,
     read_csv,
     read_csv_permissive,
+    read_csv_records,
     read_lines,
     read_parquet,
     read_sketches,
@@ -23,10 +24,11 @@ __all__ = [
     "from_rows",
     "generic_schema",
     "header_line",
-    "input_files",
+    "input_folders",
     "listed_bytes",
     "read_csv",
     "read_csv_permissive",
+    "read_csv_records",
     "read_lines",
     "read_parquet",
     "read_sketches",

@@ -4,14 +4,22 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from heapq import merge
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tripmetrics.operators.shaping import drop_header, lines_to_columns, line_widths, settled_width
-from tripmetrics.schema import LAYOUTS, TRIP17
+from tripmetrics.operators.shaping import (
+    csv_fields,
+    drop_header,
+    line_widths,
+    lines_to_columns,
+    record,
+    settled_width,
+)
+from tripmetrics.schema import LAYOUTS, RECORD, RECORD_TYPE, TRIP17
 
 Paths = str | list[str]
 
@@ -74,12 +82,31 @@ def read_lines(spark: SparkSession, path: Paths, header: bool | str = True) -> D
     return drop_header(spark.read.text(path), header)
 
 
-def input_files(spark: SparkSession, path: Paths, recursive: bool = True) -> DataFrame:
-    """Path and size of every input file. No file is opened: only the listing is used."""
-    reader = spark.read.format("binaryFile")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-    return reader.load(path).select("path", F.col("length").alias("bytes"))
+def input_folders(spark: SparkSession, path: Paths) -> DataFrame:
+    """``folder``, ``files`` and ``bytes`` of each folder of the input, and of each file beside them.
+
+    The file system sums up each folder, several at a time, so no task runs, whatever the files
+    hold, and no file name comes over: a row for each folder that lies directly under a path (a
+    day of a partitioned table, say). Hidden folders and files (``_`` or ``.``) do not count.
+    """
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+
+    def summed(place: str) -> tuple[str, int, int]:
+        where = sc._jvm.org.apache.hadoop.fs.Path(place)
+        found = where.getFileSystem(conf).getContentSummary(where)
+        return place, found.getFileCount(), found.getLength()
+
+    places: list[str] = []
+    for one in [path] if isinstance(path, str) else path:
+        where = sc._jvm.org.apache.hadoop.fs.Path(one)
+        system = where.getFileSystem(conf)
+        for status in system.globStatus(where) or []:
+            inside = system.listStatus(status.getPath()) if status.isDirectory() else [status]
+            places += (x.getPath().toString() for x in inside if x.getPath().getName()[:1] not in ("_", "."))
+    with ThreadPoolExecutor(16) as pool:
+        rows = list(pool.map(summed, places))
+    return spark.createDataFrame(rows, "folder string, files long, bytes long")
 
 
 def listed_bytes(spark: SparkSession, path: Paths) -> int:
@@ -154,12 +181,36 @@ def read_csv_permissive(
 
 def record_widths(spark: SparkSession, path: Paths) -> DataFrame:
     """``width`` and ``lines``: how many CSV records have how many fields, quotes respected."""
-    outside_quotes = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    commas = spark.read.text(path).filter(F.col("value") != "")
-    width = F.when(F.col("value").contains('"'), F.size(F.split("value", outside_quotes))).otherwise(
-        F.size(F.split("value", ","))
+    records = spark.read.text(path).filter(F.col("value") != "")
+    return records.groupBy(csv_fields("value").alias("width")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def read_csv_records(
+    spark: SparkSession,
+    path: Paths,
+    schema: StructType,
+    header: bool,
+    dropped: bool,
+) -> DataFrame:
+    """CSV with every record, and beside each row how many fields its record had.
+
+    Only malformed records are looked at again, in the pass that parses them. With ``dropped``
+    their rows are empty and only there to be counted.
+    """
+    marker = "_malformed"
+    records = (
+        spark.read.option("header", header)
+        .option("mode", "PERMISSIVE")
+        .option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", marker)
+        .schema(StructType(list(schema)).add(marker, "string"))
+        .csv(path)
     )
-    return commas.groupBy(width.alias("width")).agg(F.count(F.lit(1)).alias("lines"))
+    bad = F.col(marker).isNotNull()
+    names = [F.col(f"`{name}`") for name in schema.fieldNames()]
+    values = [F.when(~bad, c).alias(n) for c, n in zip(names, schema.fieldNames())] if dropped else names
+    fields = F.when(bad, csv_fields(marker)).otherwise(len(names))
+    return records.select(*values, record(fields, bad if dropped else None))
 
 
 def csv_quality(spark: SparkSession, path: Paths, schema: StructType, header: bool) -> DataFrame:
@@ -193,9 +244,24 @@ def read_parquet(spark: SparkSession, path: Paths, schema: StructType | None = N
     )
 
 
-def read_staged(spark: SparkSession, path: Paths) -> DataFrame:
-    """A staging set written by ``sinks.stage_parquet``."""
-    return read_parquet(spark, path, TRIP17)
+def read_staged(
+    spark: SparkSession, path: Paths, records: bool = False, days: tuple[str, str] | None = None
+) -> DataFrame:
+    """A staging set written by ``sinks.stage_parquet`` or ``sinks.stage_days``.
+
+    With ``records`` its rows say what records they came from, if they were staged so; without,
+    rows that are only there to be counted stay away. ``days`` is the first and the last pickup
+    day to read of a set that is kept by day; others are not opened.
+    """
+    staged = read_parquet(spark, path, StructType(list(TRIP17)).add(RECORD, RECORD_TYPE))
+    if days:
+        staged = staged.filter(F.col("pickup_day").between(*(F.lit(d).cast("date") for d in days)))
+    if not records:
+        counted_only = F.coalesce(F.col(f"{RECORD}.dropped"), F.lit(False))
+        return staged.filter(~counted_only).select(*TRIP17.fieldNames())
+    fields = F.coalesce(F.col(f"{RECORD}.fields"), F.lit(len(TRIP17)))
+    dropped = F.coalesce(F.col(f"{RECORD}.dropped"), F.lit(False))
+    return staged.select(*TRIP17.fieldNames(), record(fields, dropped))
 
 
 def read_sketches(spark: SparkSession, path: Paths) -> DataFrame:
@@ -213,6 +279,7 @@ def read_trips(
     header: bool | str = True,
     infer: bool = False,
     layout: str | None = None,
+    records: bool = False,
 ) -> DataFrame:
     """Trips in whatever columns they have, by format name.
 
@@ -220,22 +287,26 @@ def read_trips(
     ``csv_permissive`` (every record kept) or ``lines`` (plain split, padded).
     A ``layout`` hint tells the width of text input, which saves the pass that
     measures it; without one, nameless records that disagree in width are an
-    error. Feed the result to ``normalize`` or ``conform``.
+    error. With ``records`` the rows of text input say what record they came from, and
+    dropped records have an empty row to be counted by. Feed the result to ``normalize`` or ``conform``.
     """
     width = LAYOUTS[layout][1] if layout else None
     if fmt == "parquet":
         return read_parquet(spark, path)
-    if fmt == "csv":
+    if fmt in ("csv", "csv_permissive"):
         if not header and not width:
             width = settled_width(record_widths(spark, path))
         known = generic_schema(width) if width and not header else None
-        return read_csv(spark, path, bool(header), infer, known)
-    if fmt == "csv_permissive":
+        if records:
+            named = known or read_csv(spark, path, bool(header), infer, mode="PERMISSIVE").schema
+            return read_csv_records(spark, path, named, bool(header), dropped=fmt == "csv")
+        if fmt == "csv":
+            return read_csv(spark, path, bool(header), infer, known)
         return read_csv_permissive(spark, path, width, bool(header))
     if fmt == "lines":
         lines = read_lines(spark, path, header)
         width = width or settled_width(line_widths(lines))
-        return lines_to_columns(lines, width, blank_as_null=True)
+        return lines_to_columns(lines, width, blank_as_null=True, records=records)
     raise ValueError(f"unknown format {fmt!r}, expected parquet, csv, csv_permissive or lines")
 
 
