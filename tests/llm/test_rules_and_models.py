@@ -125,8 +125,11 @@ def test_toxicity_held_out_accuracy(labelled_documents):
 def test_toxicity_edges(edge, nothing, labelled_documents, spark):
     docs, labels = labelled_documents
     model = weak_toxicity.train(docs.select("doc_id", "text"), labels)
-    left = edge.withColumn("score2", weak_toxicity.scores(model)).select("doc_id", "text", "score2").collect()
-    assert [r.doc_id for r in left if r.score2 >= 0.5] == [8]
+    left = weak_toxicity.without(edge, model)
+    assert left.columns == edge.columns
+    assert Counter(map(tuple, edge.collect())) - Counter(map(tuple, left.collect())) == Counter(
+        tuple(r) for r in edge.filter("doc_id = 8").collect()
+    )
     few = weak_toxicity.toxicity(edge, labels.limit(0)).collect()
     assert len(few) == len(EDGE_ROWS) and all(r.score == 0 for r in few)
     assert weak_toxicity.toxicity(nothing, labels).collect() == []
@@ -274,3 +277,27 @@ def test_loss_edges(edge, nothing):
     assert loss_difference.loss_difference(nothing, nothing).collect() == []
     no_target = loss_difference.loss_difference(edge, nothing).collect()
     assert all(np.isfinite(r.target_loss) for r in no_target)
+
+
+@pytest.mark.parametrize("text", ["k=" * 100_000 + "A" * 20, "-=" * 100_000, "=" * 50_000, "a+" * 50_000 + "=" * 20, "k=" * 8 + "B" * 15, "n=v+w=" + "C" * 30])
+def test_names_of_any_length_are_cut_off(spark, text):
+    """No text ends the executor, and the name is what the pattern with a repeated group would find."""
+    df = spark.createDataFrame([(text,)], "value string")
+    found = df.select(F.regexp_extract("value", secret_forest.NAME, 0)).first()[0]
+    key = r"[A-Za-z0-9_+/=\-]"
+    cuts = [m.end() for m in re.finditer(r"=(?=[^=])", text) if len(text) - m.end() >= 16]
+    heads = [c for c in cuts if re.fullmatch(r"[A-Za-z0-9_/\-][A-Za-z0-9_/\-=]*", text[:c])]
+    assert re.fullmatch(f"{key}+", text) and found == (text[: heads[-1]] if heads else "")
+
+
+def test_redaction_splits_each_text_once(spark, documents):
+    """50,000 candidates beside a secret: linear, and only the secret goes."""
+    many = " ".join(f"name_of_a_file_number_{k:06d}" for k in range(50_000))
+    rows = [(-1, f"{many}\n{RARE}\n{many}", "a/b"), (-2, "k=" * 100_000 + "A" * 20, "a/b"), (-3, "-=" * 3000, None)]
+    long = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    every = documents.select("doc_id", "text", "source").unionByName(long)
+    left = {r.doc_id: r.text for r in secret_forest.redacted(every).filter("doc_id < 0").collect()}
+    assert left[-1] == f"{many}\n" + RARE.replace(RARE.split('"')[1], "<secret>") + f"\n{many}"
+    assert left[-3] == rows[2][1]
+    changed = secret_forest.redacted(every).selectExpr("count(*)").collect()
+    assert changed[0][0] == every.count()

@@ -24,7 +24,7 @@ from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import drawn, fraction_for, kept, own_columns, unused
+from tripmetrics.llm.common import drawn, fraction_for, kept
 
 #: Labelled documents that lexicons and classifier learn from (about); a bound, not a share.
 LABELLED = 20_000
@@ -319,16 +319,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier | None:
     return Classifier(lexicons, words, weights[len(lexicons.vocabulary) :], float(linear.intercept))
 
 
-def scores(model: Classifier | None) -> Column:
-    """The score of column ``text``; without a model 0. A null text is scored as an empty one."""
-    if model is None:
-        return F.lit(0.0)
-
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        return text.map(model.score)
-
-    return score("text")
+def _scored(texts: pa.Array, model: Classifier | None) -> list[float]:
+    """Scores of a batch, one text in Python at a time; without a model 0."""
+    return [model.score(text.as_py()) if model else 0.0 for text in texts]
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -336,17 +329,43 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Labels (doc_id, toxic) are learnt from where crc32(doc_id) mod 5 is not 0 only; several labels
     of a document count as the highest; null labels and ids say nothing. A null doc_id is scored and
-    counts as not held out; repeated rows stay repeated; other columns are not looked at.
+    counts as not held out, a null text is scored as an empty one, texts are scored whole at any length,
+    equal texts alike; repeated rows stay repeated; other columns are not looked at.
     """
     docs = docs.select("doc_id", "text")
     model = train(docs, labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array(_scored(batch.column(1), model), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["doc_id", "score"])
+
     held_out = ~F.coalesce(learnable(F.col("doc_id")), F.lit(True))
-    return docs.select("doc_id", held_out.alias("held_out"), scores(model).alias("score")).withColumn(
-        "predicted", (F.col("score") >= 0.5).cast("int")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"doc_id {kind}, score double").select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` less the documents that the classifier calls toxic; all columns stay."""
-    model, score = train(docs.select("doc_id", "text"), labels), unused(docs, "_score")
-    return docs.withColumn(score, scores(model)).filter(F.col(score) < 0.5).select(*own_columns(docs))
+    """``docs`` less the documents that the classifier calls toxic; all columns stay.
+
+    Rows go through as they are, in Arrow batches that a mask filters. Null and empty texts, null ids
+    and repeated rows count as in ``toxicity``; without a model every row stays.
+    """
+    return without(docs, train(docs.select("doc_id", "text"), labels))
+
+
+def without(docs: DataFrame, model: Classifier | None) -> DataFrame:
+    """``docs`` less those that a trained classifier calls toxic."""
+    if model is None:
+        return docs
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([score < 0.5 for score in _scored(batch.column(at), model)], pa.bool_()))
+
+    # By position: column names may hold any character, dots too.
+    plain = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
