@@ -30,7 +30,8 @@ KEY_CHARACTERS = r"A-Za-z0-9_+/=\-"
 SHORTEST = 16
 CANDIDATE = rf"(?<![{KEY_CHARACTERS}])[{KEY_CHARACTERS}]{{{SHORTEST},}}+"
 #: What a candidate begins with that is a name and no value, if a whole candidate is left after it.
-NAME = rf"^(?:[A-Za-z0-9_/\-]+=+)+(?=[^=][{KEY_CHARACTERS}]{{{SHORTEST - 1},}}$)"
+#: One run of characters, without a repeated group, which would be matched by recursion.
+NAME = rf"^[A-Za-z0-9_/\-][A-Za-z0-9_/\-=]*=(?=[^=][{KEY_CHARACTERS}]{{{SHORTEST - 1},}}$)"
 #: Characters of text kept on either side of a candidate.
 BESIDE = 48
 #: Different findings (about) of each label that the forest learns from, drawn from all documents;
@@ -290,7 +291,8 @@ def scan(docs: DataFrame, path: str | None = "source", findings: DataFrame | Non
     ``docs`` has doc_id, text and a path column (or none); other columns are not looked at.
     ``findings`` are labelled findings; without them some are drawn by label from all documents. Null and
     empty texts have no candidates, a null path has no depth and no name, a null doc_id stays null
-    and repeated rows are found repeatedly.
+    and repeated rows are found repeatedly. Texts of any length are scanned whole, by patterns that Java
+    matches without recursion; candidates that tie have one score.
     """
     docs = _narrow(docs, path)
     tables = dictionary(docs)
@@ -303,7 +305,8 @@ def redacted(docs: DataFrame, path: str | None = "source", mark: str = "<secret>
     """``docs`` with each secret in a text replaced by ``mark``; all columns and rows stay.
 
     Rows of one doc_id with different texts are told apart by the text; equal rows are treated
-    alike. n_chars, where it is a column, follows the text.
+    alike, null ids too. Null and empty texts stay as they are; a text of any length, and with any number
+    of candidates, is split once. n_chars, where it is a column, follows the text.
     """
     key, found, secrets = (unused(docs, name) for name in ("_key", "_found", "_secrets"))
     text = F.coalesce("text", F.lit(""))
@@ -316,14 +319,17 @@ def redacted(docs: DataFrame, path: str | None = "source", mark: str = "<secret>
         .agg(F.collect_set("ordinal").alias(secrets))
     )
     values = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
+    # Each text is split once: the pieces are an argument of the transform, not part of what it does.
     between = F.split(text, CANDIDATE)
+    pairs = F.arrays_zip(between.alias("gap"), F.concat(F.array(F.lit("")), values).alias("value"))
     shown = F.transform(
-        values,
-        lambda v, i: F.concat(
-            F.when(F.array_contains(secrets, i), F.concat(_named(v), F.lit(mark))).otherwise(v), F.get(between, i + 1)
+        pairs,
+        lambda pair, i: F.concat(
+            F.when(F.array_contains(secrets, i - 1), F.concat(_named(pair["value"]), F.lit(mark))).otherwise(pair["value"]),
+            pair["gap"],
         ),
     )
-    clean = F.concat(F.get(between, F.lit(0)), F.array_join(shown, ""))
+    clean = F.array_join(shown, "")
     changed = F.col(secrets).isNotNull()
     out = named.join(ordinals, F.col(key) == F.col(found), "left")
     out = out.withColumn("text", F.when(changed, clean).otherwise(F.col("text")))
