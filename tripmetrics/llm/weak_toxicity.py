@@ -16,11 +16,8 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -261,6 +258,23 @@ def _learnt_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return kept(drawn_docs.mapInArrow(run, "toxic int, text string, tokens array<string>"), "labelled")
 
 
+def _voted(sample: DataFrame, lexicons: Lexicons) -> DataFrame:
+    """The sample with the votes and densities of each text instead of the text, stored: every round of the
+    training reads it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                toxic, texts, words = batch.slice(at, 500).columns
+                found = [set(w) for w in words.to_pylist()]
+                codes = [lexicons.code(t.as_py(), w) for t, w in zip(texts, found)]
+                columns = [toxic, words, pa.array(codes, pa.int32()), pa.array([lexicons.densities(w) for w in found], pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["toxic", "tokens", "code", "density"])
+
+    columns = "toxic int, tokens array<string>, code int, density array<double>"
+    return kept(sample.select("toxic", "text", "tokens").mapInArrow(run, columns), "voted")
+
+
 def vote_counts(docs: DataFrame, lexicons: Lexicons) -> DataFrame:
     """``code`` and ``n``: how many of the texts cast each combination of votes, by task."""
 
@@ -280,21 +294,17 @@ def vote_counts(docs: DataFrame, lexicons: Lexicons) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame) -> Classifier | None:
     """The classifier; None where no learnable label is toxic or none is clean."""
+    # Not above: Python workers import this module for the texts, and need none of it.
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
+
     sample = _learnt_sample(docs, labels)
     mined = mined_words(sample)
     if not mined:
         return None
     lexicons = Lexicons(mined)
 
-    @F.pandas_udf("int")
-    def code(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: lexicons.code(t, tokens(t)))
-
-    @F.pandas_udf("array<double>")
-    def densities(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: lexicons.densities(tokens(t)))
-
-    sample = sample.withColumn("code", code("text")).withColumn("density", densities("text"))
+    sample = _voted(sample, lexicons)
     posterior = fitted_label_model(vote_counts(docs, lexicons), sample)
     by_code = sample.sparkSession.createDataFrame(list(posterior.items()), "code int, p double")
     soft = F.explode(
