@@ -228,44 +228,64 @@ def test_secret_scan_runs_no_python(documents):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
-def loss_by_hand(text, known, corpus):
-    ids = {w: k + 1 for k, w in enumerate(known)}
-    size = loss_difference.VOCABULARY
-
-    def pairs(t):
-        words = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in WORD.findall(t or "")]
-        found = [ids.get(w, 0) for w in words]
-        return list(zip([size, *found], found))
-
-    both = Counter(p for t in corpus for p in pairs(t))
-    before, single = Counter(), Counter()
-    for (a, b), n in both.items():
-        before[a] += n
-        single[b] += n
-    total = sum(single.values())
-    out = []
-    for a, b in pairs(text):
-        one = (single[b] + 1) / (total + size)
-        weight = loss_difference.LAMBDA if before[a] else 0
-        out.append(-np.log2(weight * both[a, b] / (before[a] or 1) + (1 - weight) * one))
-    return sum(out) / max(len(out), 1)
-
-
-def test_losses_by_hand(documents, texts, spark):
-    good = spark.createDataFrame([(d,) for d in sorted(texts)[::3]], "doc_id long")
-    known = loss_difference.vocabulary(documents)
-    counts = Counter(
-        re.sub("[A-Z]", lambda m: m[0].lower(), w) for t in texts.values() for w in WORD.findall(t)
-    )
-    assert known == sorted(counts, key=lambda w: (-counts[w], w.encode()))[: loss_difference.VOCABULARY - 1]
-    found = {r.doc_id: r for r in loss_difference.loss_difference(documents, good).collect()}
+def words_by_hand(text):
+    return [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in WORD.findall(text or "")]
+
+
+def losses_by_hand(texts, target):
+    """(target loss, background loss) of each text; ``target`` holds the places of the target's texts."""
+    pairs = [list(zip(["", *w], w)) for w in map(words_by_hand, texts)]
+    both = [Counter(p for k in chosen for p in pairs[k]) for chosen in (target, range(len(texts)))]
+    befores, singles = [Counter(), Counter()], [Counter(), Counter()]
+    for side, counts in enumerate(both):
+        for (a, b), n in counts.items():
+            befores[side][a] += n
+            singles[side][b] += n
+    totals = [sum(s.values()) for s in singles]
+
+    def loss(side, a, b):
+        one = singles[side][b] + loss_difference.PRIOR * singles[1][b] / totals[1]
+        one /= totals[side] + loss_difference.PRIOR
+        if not befores[side][a]:
+            return -np.log2(one)
+        weight = loss_difference.LAMBDA
+        return -np.log2(weight * both[side][a, b] / befores[side][a] + (1 - weight) * one)
+
+    return [tuple(sum(loss(side, *p) for p in ps) / max(len(ps), 1) for side in (0, 1)) for ps in pairs]
+
+
+@pytest.mark.parametrize("block_bytes", [loss_difference.BLOCK_BYTES, 20_000, 1])
+def test_losses_by_hand(documents, texts, spark, block_bytes):
+    """Every word counts, however rare, and the size of blocks changes nothing."""
+    ids = sorted(texts)
+    good = spark.createDataFrame([(d,) for d in ids[::3]], "doc_id long")
+    found = {r.doc_id: r for r in loss_difference.loss_difference(documents, good, block_bytes).collect()}
     assert found.keys() == texts.keys()
-    target = [texts[d] for d in sorted(texts)[::3]]
-    for d in sorted(texts)[:12]:
-        a, b = loss_by_hand(texts[d], known, target), loss_by_hand(texts[d], known, texts.values())
-        assert found[d].target_loss == pytest.approx(a, abs=1e-4)
-        assert found[d].background_loss == pytest.approx(b, abs=1e-4)
-        assert found[d].score == pytest.approx(a - b, abs=2e-4)
+    for d, (a, b) in zip(ids, losses_by_hand([texts[d] for d in ids], range(0, len(ids), 3))):
+        assert found[d].target_loss == pytest.approx(a, abs=1e-9)
+        assert found[d].background_loss == pytest.approx(b, abs=1e-9)
+        assert found[d].score == pytest.approx(a - b, abs=1e-9)
+        assert found[d].n_words == len(words_by_hand(texts[d]))
+
+
+def test_rare_words_tell_documents_apart(spark, documents, texts):
+    """Two copies of a text in words of their own: the background has seen their pairs, the target has not."""
+    own = " ".join(f"xq{k * k}zj" for k in range(200))
+    copies = spark.createDataFrame([(-1, own), (-2, own)], "doc_id long, text string")
+    every = documents.select("doc_id", "text").unionByName(copies)
+    found = {r.doc_id: r.score for r in loss_difference.loss_difference(every, documents.select("doc_id")).collect()}
+    assert min(found[-1], found[-2]) > 5 + max(s for d, s in found.items() if d >= 0)
+
+
+def test_texts_are_shuffled_once(spark):
+    """Counting and scoring read one exchange of the texts."""
+    docs, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    found = loss_difference.loss_difference(docs, labels.filter("quality = 1"))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert "ReusedExchange" in final
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_loss_edges(edge, nothing):

@@ -1,151 +1,184 @@
 """Language-model scoring by cross-entropy difference.
 
-Two bigram models of words, one of the target documents and one of all documents as background,
-share one vocabulary: the commonest words of all documents, and one id for every other word. Both
-are counted over whole texts and smoothed alike, so they differ in nothing but their corpus. A
-document's score is the mean over its words of the target model's loss less the background model's:
-the lower, the more it reads like the target.
+Two bigram models of words, one of the target documents and one of all documents as background, share
+one vocabulary: every word of all documents, however rare. Both are counted over whole texts and
+smoothed alike, so they differ in nothing but their corpus. A document's score is the mean over its words
+of the target model's loss less the background model's: the lower, the more it reads like the target.
+
+What is counted grows with the corpus and is never in one place. Documents are dealt into blocks of a
+bounded size. A block sends each of its pairs and words once, with its own counts; counts are summed by key
+in a shuffle, so a key has at most one row for each block, however frequent it is; and what other blocks add
+comes back to the blocks that hold the key. Keys are 64-bit hashes of words and pairs of words: two of them
+are taken for one with a chance of 1 in 2^64.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import kept, words
-
-#: Ids of the shared vocabulary, 0 for unknown words. Tables of losses have this many columns and
-#: one row more (for the start of a text), so what is broadcast never exceeds 2 * 8 * 2049 * 2048
-#: bytes, whatever the input.
-VOCABULARY = 2048
 #: Weight of the bigram against the unigram.
 LAMBDA = 0.8
-#: Keys that a task gathers before it counts them.
-GATHERED = 2_000_000
-
-
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
-    """The commonest words of all texts, ASCII letters in lower case, equal counts by word."""
-    lower = F.translate("text", ascii_uppercase, ascii_lowercase)
-    counted = docs.select(F.explode(words(lower)).alias("word")).groupBy("word").count()
-    rows = counted.orderBy(F.desc("count"), "word").limit(size - 1).collect()  # bounded by ``size``
-    return [row.word for row in rows]
-
-
-class Reader:
-    """Turns a text into keys: (id of the word before, id of the word) as one number."""
+#: Words that the shared prior, the unigrams of all documents, counts for in either model.
+PRIOR = 1000
+#: Bytes of text of a block on average; a text is never cut, so a longer one makes its block longer.
+BLOCK_BYTES = 16 << 20
+
+#: Odd factors and offsets that keep the keys of pairs, words and contexts apart.
+PAIR, WORD, CONTEXT = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+START, TOTAL = (np.uint64(k) for k in (0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63))
+#: ``n`` of a row that marks a document of the target instead of counting a key.
+MARK = -1
+
+FACTS = "block long, key long, n long, t long"
+SCHEMA = "doc_id long, n_words long, target_loss double, background_loss double, score double"
 
-    def __init__(self, known: list[str], size: int):
-        self.ids = {word.encode(): k + 1 for k, word in enumerate(known)}
-        self.size = size
 
-    def keys(self, text: str | None) -> np.ndarray:
-        get = self.ids.get
-        ids = np.array([get(w, 0) for w in (text or "").encode().lower().split()], dtype=np.int64)
-        before = np.r_[self.size, ids[:-1]] if len(ids) else ids
-        return before * self.size + ids
+def dealt(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``block``, ``row``, doc_id and the bytes of every text; rows are dealt by number, so no content is a hot block."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = -(-size // block_bytes) or 1
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("binary").alias("text")
+    )
+    return numbered.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"), "row", "doc_id", "text")
 
 
-def bigram_counts(docs: DataFrame, target: DataFrame, known: list[str], size: int = VOCABULARY) -> DataFrame:
-    """``key``, ``background`` and ``target``: how often each pair of ids occurs in either corpus."""
-    reader = Reader(known, size)
+def marks(rows: DataFrame, target: DataFrame) -> DataFrame:
+    """A row of FACTS for each document of the target: its row number and doc_id. No text is shuffled for it."""
     # The ids grow with the corpus, so they are joined by a shuffle at every size, never broadcast.
-    ids = target.select(F.col("doc_id").alias("_target")).filter("_target is not null").distinct().hint("merge")
-    flagged = docs.join(ids, docs["doc_id"] == ids["_target"], "left").select(
-        "text", F.col("_target").isNotNull().alias("in_target")
+    ids = target.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct().hint("merge")
+    found = rows.select("block", "row", "doc_id").join(ids, F.col("doc_id") == F.col("_id"))
+    return found.select(
+        F.col("block").alias("block"), F.col("row").alias("key"), F.lit(MARK).cast("long").alias("n"), F.col("_id").alias("t")
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counted() -> pa.RecordBatch:
-            keys, times = np.unique(np.concatenate([*everywhere, *within]), return_counts=True)
-            own, own_times = np.unique(np.concatenate([np.empty(0, np.int64), *within]), return_counts=True)
-            in_target = np.zeros(len(keys), dtype=np.int64)
-            in_target[np.searchsorted(keys, own)] = own_times
-            everywhere.clear()
-            within.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(times.astype(np.int64)), pa.array(in_target)],
-                names=["key", "background", "target"],
-            )
-
-        everywhere, within, n = [], [], 0
-        for batch in batches:
-            for text, flag in zip(batch.column(0), batch.column(1).to_pylist()):
-                keys = reader.keys(text.as_py())
-                (within if flag else everywhere).append(keys)
-                n += len(keys)
-                if n >= GATHERED:
-                    yield counted()
-                    n = 0
-        if n:
-            yield counted()
 
-    return (
-        flagged.mapInArrow(run, "key long, background long, target long")
-        .groupBy("key")
-        .agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+class Block:
+    """The words of a block as places in its own list of words, and its counts of pairs, words and contexts."""
+
+    def __init__(self, texts: pa.Table, marked: pa.Table):
+        order = np.argsort(texts["row"].to_numpy(), kind="stable")
+        texts = texts.take(order)
+        row, self.doc_id = texts["row"].to_numpy(), texts["doc_id"].combine_chunks()
+        target = dict(zip(marked["key"].to_pylist(), marked["t"].to_pylist()))
+        flags = np.array([r in target for r in row.tolist()], dtype=bool)
+        for r, doc in zip(row.tolist(), self.doc_id.to_pylist()):
+            if target.get(r, doc) != doc:
+                raise ValueError("the documents come in another order each time they are read")
+        index: dict[bytes, int] = {}
+        parts = []
+        for text in texts["text"]:
+            split = (text.as_py() or b"").lower().split()
+            parts.append(np.array([index.setdefault(w, len(index)) for w in split], dtype=np.int64))
+        self.lengths = np.array([len(p) for p in parts], dtype=np.int64)
+        word = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
+        m = len(index)
+        before = np.empty_like(word)
+        before[1:] = word[:-1]
+        begins = (np.cumsum(self.lengths) - self.lengths)[self.lengths > 0]
+        before[begins] = m  # the start of a text
+        flag = np.repeat(flags, self.lengths)
+        pairs, self.place = np.unique(before * max(m, 1) + word, return_inverse=True)
+        self.before, self.word = pairs // max(m, 1), pairs % max(m, 1)
+        hashes = np.array([*map(xxhash.xxh64_intdigest, index), START], dtype=np.uint64)
+        self.sizes = len(pairs), m, m + 1, 1
+        self.keys = np.concatenate(
+            [hashes[self.before] * PAIR + hashes[self.word], hashes[:m] * WORD + START, hashes * CONTEXT + TOTAL, [TOTAL]]
+        ).view(np.int64)
+
+        def tally(chosen: slice | np.ndarray) -> np.ndarray:
+            found = [
+                np.bincount(values[chosen], minlength=size)
+                for values, size in zip((self.place, word, before), self.sizes)
+            ]
+            return np.concatenate([*found, [found[0].sum()]]).astype(np.int64)
+
+        self.n, self.t = tally(slice(None)), tally(flag)
+
+    def add(self, facts: pa.Table) -> None:
+        """Put the counts of all blocks where this block has its own only."""
+        keys = facts["key"].to_numpy()
+        order = np.argsort(self.keys, kind="stable")
+        at = order[np.searchsorted(self.keys, keys, sorter=order)]
+        self.n[at], self.t[at] = facts["n"].to_numpy(), facts["t"].to_numpy()
+
+    def losses(self) -> tuple[np.ndarray, np.ndarray]:
+        """-log2 P(word | word before) of every pair of the block, under the target and the background."""
+        cuts = np.cumsum(self.sizes)[:-1]
+        _, word, _, total = np.split(self.n, cuts)
+        prior = word[self.word] / total[0] if total[0] else word[self.word]
+
+        def loss(counts: np.ndarray) -> np.ndarray:
+            pair, word, context, total = np.split(counts, cuts)
+            single = (word[self.word] + PRIOR * prior) / (total[0] + PRIOR)
+            seen = context[self.before]
+            mixed = LAMBDA * pair / np.maximum(seen, 1) + (1 - LAMBDA) * single
+            return -np.log2(np.where(seen > 0, mixed, single))
+
+        return loss(self.t), loss(self.n)
+
+
+def _split(facts: pa.Table) -> tuple[pa.Table, pa.Table]:
+    marked = pc.equal(facts["n"], MARK)
+    return facts.filter(marked), facts.filter(pc.invert(marked))
+
+
+def _count(texts: pa.Table, marked: pa.Table) -> pa.Table:
+    if not texts.num_rows:
+        return pa.table([pa.array([], pa.int64())] * 4, names=["block", "key", "n", "t"])
+    block = Block(texts, marked)
+    some = block.n > 0
+    own = np.full(int(some.sum()), texts["block"][0].as_py())
+    return pa.table({"block": own, "key": block.keys[some], "n": block.n[some], "t": block.t[some]})
+
+
+def _score(texts: pa.Table, facts: pa.Table) -> pa.Table:
+    names = ["doc_id", "n_words", "target_loss", "background_loss", "score"]
+    if not texts.num_rows:
+        return pa.table([pa.array([], k) for k in [pa.int64()] * 2 + [pa.float64()] * 3], names=names)
+    marked, totals = _split(facts)
+    block = Block(texts, marked)
+    block.add(totals)
+    doc = np.repeat(np.arange(len(block.lengths)), block.lengths)
+    n = np.maximum(block.lengths, 1)
+    a, b = (
+        np.bincount(doc, weights=loss[block.place], minlength=len(n)) / n for loss in block.losses()
     )
+    return pa.table([block.doc_id, block.lengths, a, b, a - b], names=names)
 
 
-def losses(keys: np.ndarray, times: np.ndarray, size: int = VOCABULARY) -> np.ndarray:
-    """-log2 P(word | word before) of every pair, smoothed with unigrams that never are zero."""
-    pairs = np.zeros((size + 1) * size)
-    pairs[keys] = times
-    pairs = pairs.reshape(size + 1, size)
-    single = (pairs.sum(axis=0) + 1) / (pairs.sum() + size)
-    before = pairs.sum(axis=1, keepdims=True)
-    seen = before[:, 0] > 0
-    pairs[seen] /= before[seen]
-    weight = np.where(seen, LAMBDA, 0.0)[:, None]
-    pairs *= weight
-    pairs += (1 - weight) * single
-    return -np.log2(pairs, out=pairs)
-
-
-SCHEMA = "doc_id long, n_words long, target_loss double, background_loss double, score double"
-
-
-def score(docs: DataFrame, known: list[str], tables: tuple[np.ndarray, np.ndarray], size: int = VOCABULARY) -> DataFrame:
-    """Mean losses of every text under both models, and their difference."""
-    shared = docs.sparkSession.sparkContext.broadcast((Reader(known, size), *(t.ravel() for t in tables)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, target, background = shared.value
-        for batch in batches:
-            out = []
-            for text in batch.column(1):
-                keys = reader.keys(text.as_py())
-                n = max(len(keys), 1)
-                a, b = target[keys].sum() / n, background[keys].sum() / n
-                out.append((len(keys), a, b, a - b))
-            kinds = [pa.int64()] + [pa.float64()] * 3
-            names = ["n_words", "target_loss", "background_loss", "score"]
-            columns = [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *names])
-
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+def totals(counts: DataFrame) -> DataFrame:
+    """The counts over all blocks, for each key of each block that other blocks add to."""
+    key = Window.partitionBy("key")  # a row for each block that has the key
+    return (
+        counts.select("block", "key", "n", F.sum("n").over(key).alias("every"), "t", F.sum("t").over(key).alias("target"))
+        .filter("every <> n")  # no other block has the key where the counts are the same
+        .select("block", "key", F.col("every").alias("n"), F.col("target").alias("t"))
+    )
 
 
-def loss_difference(docs: DataFrame, target: DataFrame, size: int = VOCABULARY) -> DataFrame:
+def loss_difference(docs: DataFrame, target: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Score every row of (doc_id, text); the documents that ``target`` (doc_id) names are the target.
 
     A null or empty text has no words and scores 0 under both models. A null doc_id is scored and
-    never in the target; repeated rows count each time; an empty target has the uniform model. Other
-    columns are not looked at.
+    never in the target; repeated rows count each time; an empty target has the prior alone. A text is
+    scored whole, however long: it is a block's memory. Other columns are not looked at, and no rows give
+    no rows. Results do not depend on how rows are dealt into blocks; ``docs`` should read files, as its rows
+    are numbered in the order they are read, and another order at a second reading is an error.
     """
-    docs = docs.select("doc_id", "text")
-    known = vocabulary(docs, size)
-    counts = kept(bigram_counts(docs, target, known, size), "bigrams")
-    found = counts.toArrow()  # three numbers for each of at most size * (size + 1) pairs
-    keys = found["key"].to_numpy()
-    tables = tuple(losses(keys, found[side].to_numpy(), size) for side in ("target", "background"))
-    return score(docs, known, tables, size)
+    rows = dealt(docs.select("doc_id", "text"), block_bytes)
+    marked = marks(rows, target)
+    counts = rows.groupBy("block").cogroup(marked.groupBy("block")).applyInArrow(_count, FACTS)
+    facts = totals(counts).unionByName(marked)
+    return rows.groupBy("block").cogroup(facts.groupBy("block")).applyInArrow(_score, SCHEMA)
 
 
 ORACLE = rf"""
@@ -155,16 +188,9 @@ WITH d AS (
       '{ascii_lowercase}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents
 ), w AS (
-  SELECT row_id, doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d
-), known AS (
-  SELECT word, row_number() OVER (ORDER BY n DESC, word) AS id
-  FROM (SELECT word, count(*) AS n FROM w GROUP BY word)
-  QUALIFY id < {VOCABULARY}
-), ids AS (
-  SELECT row_id, doc_id, i, coalesce(id, 0) AS b FROM w LEFT JOIN known USING (word)
+  SELECT row_id, doc_id, unnest(words) AS b, generate_subscripts(words, 1) AS i FROM d
 ), pairs AS (
-  SELECT row_id, doc_id, b,
-    coalesce(lag(b) OVER (PARTITION BY row_id ORDER BY i), {VOCABULARY}) AS a FROM ids
+  SELECT row_id, doc_id, b, coalesce(lag(b) OVER (PARTITION BY row_id ORDER BY i), '') AS a FROM w
 ), good AS (
   SELECT DISTINCT doc_id, true AS is_good FROM labels WHERE quality = 1 AND doc_id IS NOT NULL
 ), counts AS (
@@ -176,12 +202,16 @@ WITH d AS (
   SELECT b, sum(n) AS n, sum(t) AS t FROM counts GROUP BY b
 ), totals AS (
   SELECT sum(n) AS n, sum(t) AS t FROM counts
+), shares AS (
+  SELECT b, (s.t + {PRIOR} * s.n / o.n) / (o.t + {PRIOR}) AS target,
+    (s.n + {PRIOR} * s.n / o.n) / (o.n + {PRIOR}) AS background
+  FROM singles s CROSS JOIN totals o
 ), losses AS (
   SELECT c.a, c.b,
-    -log2(CASE WHEN f.t > 0 THEN {LAMBDA}::DOUBLE * c.t / f.t + (1 - {LAMBDA}::DOUBLE) * (s.t + 1) / (o.t + {VOCABULARY})
-      ELSE (s.t + 1) / (o.t + {VOCABULARY}) END) AS target,
-    -log2({LAMBDA}::DOUBLE * c.n / f.n + (1 - {LAMBDA}::DOUBLE) * (s.n + 1) / (o.n + {VOCABULARY})) AS background
-  FROM counts c JOIN befores f ON c.a = f.a JOIN singles s ON c.b = s.b CROSS JOIN totals o
+    -log2(CASE WHEN f.t > 0 THEN {LAMBDA}::DOUBLE * c.t / f.t + (1 - {LAMBDA}::DOUBLE) * s.target
+      ELSE s.target END) AS target,
+    -log2({LAMBDA}::DOUBLE * c.n / f.n + (1 - {LAMBDA}::DOUBLE) * s.background) AS background
+  FROM counts c JOIN befores f ON c.a = f.a JOIN shares s ON c.b = s.b
 ), means AS (
   SELECT row_id, avg(target) AS target, avg(background) AS background
   FROM pairs p JOIN losses l ON p.a = l.a AND p.b = l.b GROUP BY row_id
