@@ -6,10 +6,11 @@ smoothed alike, so they differ in nothing but their corpus. A document's score i
 of the target model's loss less the background model's: the lower, the more it reads like the target.
 
 What is counted grows with the corpus and is never in one place. Documents are dealt into blocks of a
-bounded size. A block sends each of its pairs and words once, with its own counts; counts are summed by key
-in a shuffle, so a key has at most one row for each block, however frequent it is; and what other blocks add
-comes back to the blocks that hold the key. Keys are 64-bit hashes of words and pairs of words: two of them
-are taken for one with a chance of 1 in 2^64.
+bounded size. A block sends each of its pairs and words once, with its own counts, packed by ranges of keys;
+counts are summed range by range, so a key has at most one count for each block, however frequent it is;
+and the sums come back to each block in the order in which it sent its keys. Keys are 64-bit hashes of words
+and pairs of words: two of them are taken for one with a chance of 1 in 2^64. Blocks and ranges both grow
+with the input, so beyond some terabytes of text larger blocks keep what they exchange from falling into crumbs.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Weight of the bigram against the unigram.
@@ -34,17 +36,31 @@ BLOCK_BYTES = 16 << 20
 #: Odd factors and offsets that keep the keys of pairs, words and contexts apart.
 PAIR, WORD, CONTEXT = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 START, TOTAL = (np.uint64(k) for k in (0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63))
-#: ``n`` of a row that marks a document of the target instead of counting a key.
-MARK = -1
-
-FACTS = "block long, key long, n long, t long"
+#: What a block is told: the counts of a range of keys (``range``, ``data``), or a document of the target
+#: (``row``, ``doc_id``, no data).
+FACTS = "block long, range long, row long, doc_id long, data binary"
 SCHEMA = "doc_id long, n_words long, target_loss double, background_loss double, score double"
 
 
-def dealt(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``block``, ``row``, doc_id and the bytes of every text; rows are dealt by number, so no content is a hot block."""
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit integers, byte by byte of all their numbers, so that what is small packs well."""
+    raw = b"".join(c.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def unpacked(data: bytes, columns: int) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    turned = raw.reshape(columns, 8, -1).transpose(0, 2, 1)
+    return np.ascontiguousarray(turned).view("<u8").reshape(columns, -1)
+
+
+def block_number(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-size // block_bytes) or 1
+    return -(-size // block_bytes) or 1
+
+
+def dealt(docs: DataFrame, blocks: int) -> DataFrame:
+    """``block``, ``row``, doc_id and the bytes of every text; rows are dealt by number, so no content is a hot block."""
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("binary").alias("text")
     )
@@ -57,7 +73,11 @@ def marks(rows: DataFrame, target: DataFrame) -> DataFrame:
     ids = target.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct().hint("merge")
     found = rows.select("block", "row", "doc_id").join(ids, F.col("doc_id") == F.col("_id"))
     return found.select(
-        F.col("block").alias("block"), F.col("row").alias("key"), F.lit(MARK).cast("long").alias("n"), F.col("_id").alias("t")
+        F.col("block").alias("block"),
+        F.lit(None).cast("long").alias("range"),
+        F.col("row").alias("row"),
+        F.col("_id").alias("doc_id"),
+        F.lit(None).cast("binary").alias("data"),
     )
 
 
@@ -68,7 +88,7 @@ class Block:
         order = np.argsort(texts["row"].to_numpy(), kind="stable")
         texts = texts.take(order)
         row, self.doc_id = texts["row"].to_numpy(), texts["doc_id"].combine_chunks()
-        target = dict(zip(marked["key"].to_pylist(), marked["t"].to_pylist()))
+        target = dict(zip(marked["row"].to_pylist(), marked["doc_id"].to_pylist()))
         flags = np.array([r in target for r in row.tolist()], dtype=bool)
         for r, doc in zip(row.tolist(), self.doc_id.to_pylist()):
             if target.get(r, doc) != doc:
@@ -92,7 +112,8 @@ class Block:
         self.sizes = len(pairs), m, m + 1, 1
         self.keys = np.concatenate(
             [hashes[self.before] * PAIR + hashes[self.word], hashes[:m] * WORD + START, hashes * CONTEXT + TOTAL, [TOTAL]]
-        ).view(np.int64)
+        )
+        self.order = np.argsort(self.keys, kind="stable")
 
         def tally(chosen: slice | np.ndarray) -> np.ndarray:
             found = [
@@ -103,12 +124,21 @@ class Block:
 
         self.n, self.t = tally(slice(None)), tally(flag)
 
-    def add(self, facts: pa.Table) -> None:
-        """Put the counts of all blocks where this block has its own only."""
-        keys = facts["key"].to_numpy()
-        order = np.argsort(self.keys, kind="stable")
-        at = order[np.searchsorted(self.keys, keys, sorter=order)]
-        self.n[at], self.t[at] = facts["n"].to_numpy(), facts["t"].to_numpy()
+    def sent(self, ranges: int) -> list[tuple[int, bytes]]:
+        """The keys, as distances in ascending order, and their counts, for each range that holds any."""
+        keys, n, t = (c[self.order] for c in (self.keys, self.n, self.t))
+        begins = np.searchsorted(keys, np.array([(k << 64) // ranges for k in range(ranges)], dtype=np.uint64))
+        ends = np.append(begins[1:], len(keys))
+        return [
+            (k, packed(np.diff(keys[i:j], prepend=np.uint64(0)), n[i:j], t[i:j]))
+            for k, (i, j) in enumerate(zip(begins.tolist(), ends.tolist()))
+            if i < j
+        ]
+
+    def take(self, facts: pa.Table) -> None:
+        """Put the counts of all blocks in place of this block's own."""
+        data = [unpacked(d, 2) for d in facts.sort_by("range")["data"].to_pylist()]
+        self.n[self.order], self.t[self.order] = np.concatenate(data, axis=1).astype(np.int64)
 
     def losses(self) -> tuple[np.ndarray, np.ndarray]:
         """-log2 P(word | word before) of every pair of the block, under the target and the background."""
@@ -126,45 +156,54 @@ class Block:
         return loss(self.t), loss(self.n)
 
 
-def _split(facts: pa.Table) -> tuple[pa.Table, pa.Table]:
-    marked = pc.equal(facts["n"], MARK)
-    return facts.filter(marked), facts.filter(pc.invert(marked))
+def _nothing(schema: str) -> pa.Table:
+    kinds = {"long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    fields = [field.split() for field in schema.split(", ")]
+    return pa.table({name: pa.array([], kinds[kind]) for name, kind in fields})
 
 
-def _count(texts: pa.Table, marked: pa.Table) -> pa.Table:
-    if not texts.num_rows:
-        return pa.table([pa.array([], pa.int64())] * 4, names=["block", "key", "n", "t"])
-    block = Block(texts, marked)
-    some = block.n > 0
-    own = np.full(int(some.sum()), texts["block"][0].as_py())
-    return pa.table({"block": own, "key": block.keys[some], "n": block.n[some], "t": block.t[some]})
+def _facts(block: list[int], ranges: list[int], data: list[bytes]) -> pa.Table:
+    none = pa.nulls(len(data), pa.int64())
+    columns = [pa.array(block, pa.int64()), pa.array(ranges, pa.int64()), none, none, pa.array(data, pa.binary())]
+    return pa.table(columns, names=[field.split()[0] for field in FACTS.split(", ")])
+
+
+def _count(ranges: int):
+    def run(texts: pa.Table, marked: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return _nothing(FACTS)
+        sent = Block(texts, marked).sent(ranges)
+        return _facts([texts["block"][0].as_py()] * len(sent), *map(list, zip(*sent)))
+
+    return run
+
+
+def _sum(sent: pa.Table) -> pa.Table:
+    """The counts of a range of keys over all blocks, for each block in the order of its keys."""
+    data = [unpacked(d, 3) for d in sent["data"].to_pylist()]
+    keys = np.concatenate([np.cumsum(d[0], dtype=np.uint64) for d in data])
+    _, place = np.unique(keys, return_inverse=True)
+    cuts = np.cumsum([d.shape[1] for d in data])[:-1]
+    sums = []
+    for side in (1, 2):
+        every = np.bincount(place, weights=np.concatenate([d[side] for d in data]))
+        sums.append(np.split(every[place].astype(np.uint64), cuts))
+    return _facts(sent["block"].to_pylist(), sent["range"].to_pylist(), [packed(n, t) for n, t in zip(*sums)])
 
 
 def _score(texts: pa.Table, facts: pa.Table) -> pa.Table:
-    names = ["doc_id", "n_words", "target_loss", "background_loss", "score"]
     if not texts.num_rows:
-        return pa.table([pa.array([], k) for k in [pa.int64()] * 2 + [pa.float64()] * 3], names=names)
-    marked, totals = _split(facts)
-    block = Block(texts, marked)
-    block.add(totals)
+        return _nothing(SCHEMA)
+    sums = pc.is_valid(facts["data"])
+    block = Block(texts, facts.filter(pc.invert(sums)))
+    block.take(facts.filter(sums))
     doc = np.repeat(np.arange(len(block.lengths)), block.lengths)
     n = np.maximum(block.lengths, 1)
-    a, b = (
-        np.bincount(doc, weights=loss[block.place], minlength=len(n)) / n for loss in block.losses()
-    )
+    a, b = (np.bincount(doc, weights=loss[block.place], minlength=len(n)) / n for loss in block.losses())
+    names = [field.split()[0] for field in SCHEMA.split(", ")]
     return pa.table([block.doc_id, block.lengths, a, b, a - b], names=names)
 
 
-def totals(counts: DataFrame) -> DataFrame:
-    """The counts over all blocks, for each key of each block that other blocks add to."""
-    key = Window.partitionBy("key")  # a row for each block that has the key
-    return (
-        counts.select("block", "key", "n", F.sum("n").over(key).alias("every"), "t", F.sum("t").over(key).alias("target"))
-        .filter("every <> n")  # no other block has the key where the counts are the same
-        .select("block", "key", F.col("every").alias("n"), F.col("target").alias("t"))
-    )
-
-
 def loss_difference(docs: DataFrame, target: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Score every row of (doc_id, text); the documents that ``target`` (doc_id) names are the target.
 
@@ -174,10 +213,12 @@ def loss_difference(docs: DataFrame, target: DataFrame, block_bytes: int = BLOCK
     no rows. Results do not depend on how rows are dealt into blocks; ``docs`` should read files, as its rows
     are numbered in the order they are read, and another order at a second reading is an error.
     """
-    rows = dealt(docs.select("doc_id", "text"), block_bytes)
+    docs = docs.select("doc_id", "text")
+    blocks = block_number(docs, block_bytes)
+    rows = dealt(docs, blocks)
     marked = marks(rows, target)
-    counts = rows.groupBy("block").cogroup(marked.groupBy("block")).applyInArrow(_count, FACTS)
-    facts = totals(counts).unionByName(marked)
+    counts = rows.groupBy("block").cogroup(marked.groupBy("block")).applyInArrow(_count(2 * blocks), FACTS)
+    facts = counts.groupBy("range").applyInArrow(_sum, FACTS).unionByName(marked)
     return rows.groupBy("block").cogroup(facts.groupBy("block")).applyInArrow(_score, SCHEMA)
 
 
