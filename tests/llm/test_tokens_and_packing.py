@@ -223,8 +223,38 @@ def test_training_order_edges(edge, nothing):
     assert training_order.training_order(nothing, RANKS, key=1).collect() == []
 
 
-def test_changed_input_is_an_error(documents, spark, tmp_path):
-    parts = training_order.counted(documents.select("doc_id", "text"), RANKS)
-    other = documents.selectExpr("doc_id", "concat(text, ' more') as text")
-    with pytest.raises(Exception, match="not those that were counted"):
-        training_order.records(other, RANKS, parts, 1).collect()
+@pytest.mark.parametrize("parts", [1, 3])
+def test_every_record_by_hand(documents, spark, tmp_path, parts):
+    """Streams of the partitions cut by hand, numbered through the partitions, at the slots of the permutation."""
+    path = str(tmp_path / "documents")
+    documents.select("doc_id", "text").repartition(parts).write.parquet(path)
+    docs = spark.read.parquet(path)
+    rows = docs.selectExpr("spark_partition_id() AS part", "doc_id", "text").collect()
+    cut = []
+    for part in sorted({r.part for r in rows}):
+        stream, origin = [], []
+        for r in rows:
+            if r.part == part:
+                ids = [*LIBRARY.encode_ordinary(r.text or ""), training_order.END]
+                stream += ids
+                origin += [(r.doc_id, k) for k in range(len(ids))]
+        for i in range(0, len(stream), training_order.LENGTH):
+            ids = np.array(stream[i : i + training_order.LENGTH], dtype="<u2")
+            cut.append((*origin[i], len(ids), zlib.crc32(ids.tobytes())))
+    slot = training_order.slots(np.arange(len(cut)), len(cut), key=5).tolist()
+    want = {k: (*c, True) for k, c in zip(slot, cut)}
+    for per_shard in (7, training_order.PER_SHARD):
+        out = str(tmp_path / f"shards-{per_shard}")
+        training_order.write_shards(docs, RANKS, 5, out, per_shard)
+        found = training_order.read_shards(spark, out, per_shard=per_shard).collect()
+        assert {r.slot: (r.doc_id, r.start, r.n_tokens, r.ids_crc32, r.intact) for r in found} == want
+        assert all((r.shard, r.byte_offset) == (r.slot // per_shard, r.slot % per_shard * training_order.STRIDE) for r in found)
+
+
+@pytest.mark.parametrize("rank", [training_order.END, 65_536])
+def test_ranks_that_do_not_fit_are_refused(tmp_path, rank):
+    path = tmp_path / "ranks"
+    path.write_text(f"YQ== 0\nYg== {rank}\n")
+    with pytest.raises(ValueError, match="ids past 16 bits, or uses"):
+        training_order.checked_ranks(str(path))
+

@@ -2,7 +2,8 @@
 
 Token streams are cut into sequences of one length. A keyed Feistel permutation with cycle-walking
 gives every sequence its global slot, so the training order is random, needs no sort key and can be
-computed for any sequence alone. Ranges of slots become shards of fixed-stride records: slot k lies
+computed for any sequence alone. Texts are tokenised once: sequences are stored, counted and numbered
+from the stored table. Ranges of slots become shards of fixed-stride records: slot k lies
 in shard ``k // per_shard`` at byte ``(k % per_shard) * STRIDE``, so a reader goes through the shards in
 order, and resumes anywhere, by arithmetic.
 
@@ -17,23 +18,25 @@ from __future__ import annotations
 import struct
 import zlib
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmetrics.llm.common import kept
-from tripmetrics.llm.tokens import part_encoder
+from tripmetrics.llm.tokens import part_encoder, read_ranks
 from tripmetrics.sources.scratch import scratch_path
 
 #: Tokens of a sequence, and sequences of a shard.
 LENGTH = 512
-PER_SHARD = 32_768
-#: Id between documents; the rank files leave it free.
+PER_SHARD = 4_096
+#: Sequences that a task gathers before it hands them on.
+SLICE = 4_096
+#: Id between documents; a rank file that uses it, or ids past 16 bits, is refused.
 END = 50_256
 #: doc_id in the header of a sequence that starts in a document without one.
 NO_ID = -(1 << 63)
@@ -83,7 +86,7 @@ class Cutter:
         self.begins: tuple[int | None, int] = (None, 0)
 
     def add(self, doc: int | None, text: str | None) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        ids = np.frombuffer(self.encoder.encode(text or ""), dtype="<u4").astype("<u2")
+        ids = np.frombuffer(self.encoder.encode(text or ""), dtype="<u4").astype("<u2")  # checked_ranks
         ids = np.append(ids, np.uint16(END))
         if not len(self.rest):
             self.begins = (doc, 0)
@@ -103,85 +106,84 @@ class Cutter:
         self.rest = self.rest[:0]
 
 
-def counted(docs: DataFrame, ranks: str) -> list[tuple[int, int, int]]:
-    """(partition, sequences, crc32 of their ids) of each partition that has any."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, n, crc = Cutter(ranks), 0, 0
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for _, _, ids in cutter.add(doc, text.as_py()):
-                    n, crc = n + 1, zlib.crc32(ids.tobytes(), crc)
-        for _, _, ids in cutter.end():
-            n, crc = n + 1, zlib.crc32(ids.tobytes(), crc)
-        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n], "crc": [crc]})
-
-    rows = docs.mapInArrow(run, "part long, n long, crc long").filter("n > 0")
-    return sorted(tuple(row) for row in kept(rows, "partitions").collect())  # a row for each partition
+def checked_ranks(ranks: str) -> str:
+    """``ranks`` itself, if its ids fit two bytes and leave END free."""
+    ids = read_ranks(ranks).values()
+    if max(ids) > 0xFFFF or END in ids:
+        raise ValueError(f"{ranks} has ids past 16 bits, or uses {END}, the id between documents")
+    return ranks
 
 
-def records(docs: DataFrame, ranks: str, parts: list[tuple[int, int, int]], key: int) -> DataFrame:
-    """``shard``, ``slot`` and ``record`` of every sequence.
-
-    Sequences are numbered through the partitions in order. A partition that does not hold what was
-    counted (an input that changed meanwhile, or that comes in another order each time) is an
-    error, never a wrong order.
-    """
-    total = sum(n for _, n, _ in parts)
-    begins, at = {}, 0
-    for part, n, crc in parts:
-        begins[part] = (at, n, crc)
-        at += n
-    shared = docs.sparkSession.sparkContext.broadcast(begins)  # three numbers for each partition
+def sequences(docs: DataFrame, ranks: str) -> DataFrame:
+    """``part``, ``place``, doc_id, start and ids of every sequence, cut through each partition in order."""
+    checked_ranks(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, n, expected = shared.value.get(TaskContext.get().partitionId(), (0, 0, 0))
-        cutter, done, crc = Cutter(ranks), 0, 0
+        cutter, part, done = Cutter(ranks), TaskContext.get().partitionId(), 0
 
         def out(found: list[tuple[int | None, int, np.ndarray]]) -> pa.RecordBatch:
-            nonlocal done, crc
-            made = []
-            for doc, start, ids in found:
-                data = ids.tobytes()
-                crc = zlib.crc32(data, crc)
-                doc = NO_ID if doc is None else doc
-                made.append(struct.pack(HEADER, doc, start, len(ids), zlib.crc32(data)) + data)
-            slot = slots(np.arange(first + done, first + done + len(made)), total, key)
-            done += len(made)
+            nonlocal done
+            place = pa.array(range(done, done + len(found)), pa.int64())
+            done += len(found)
+            doc, start, ids = zip(*found)
+            columns = [pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array([i.tobytes() for i in ids], pa.binary())]
             return pa.RecordBatch.from_arrays(
-                [pa.array(slot // PER_SHARD), pa.array(slot), pa.array(made, pa.binary())],
-                names=["shard", "slot", "record"],
+                [pa.array([part] * len(found), pa.int64()), place, *columns], names=["part", "place", "doc_id", "start", "ids"]
             )
 
+        found = []
         for batch in batches:
-            found = [
-                sequence
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1))
-                for sequence in cutter.add(doc, text.as_py())
-            ]
-            if found:
-                yield out(found)
-        if found := list(cutter.end()):
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for sequence in cutter.add(doc, text.as_py()):
+                    found.append(sequence)
+                    if len(found) == SLICE:
+                        yield out(found)
+                        found = []
+        if found := [*found, *cutter.end()]:
             yield out(found)
-        if (done, crc) != (n, expected):
-            raise ValueError("the documents of a partition are not those that were counted")
 
-    return docs.mapInArrow(run, "shard long, slot long, record binary")
+    return docs.mapInArrow(run, "part long, place long, doc_id long, start long, ids binary")
 
 
-def write_shards(docs: DataFrame, ranks: str, key: int, path: str) -> None:
+def _records(total: int, key: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for doc, start, ids in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
+                doc = NO_ID if doc is None else doc
+                made.append(struct.pack(HEADER, doc, start, len(ids) // 2, zlib.crc32(ids)) + ids)
+            slot = slots(batch.column(0).to_numpy(), total, key)
+            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(made, pa.binary())], names=["slot", "record"])
+
+    return run
+
+
+def records(stored: DataFrame, key: int) -> DataFrame:
+    """``slot`` and ``record`` of every sequence of a stored table of ``sequences``, numbered by part and place."""
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    counts = stored.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    begins = counts.select("part", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
+    begins = kept(begins, "begins")  # its size is known then, and decides how it is joined
+    total = begins.agg(F.sum("n")).first()[0] or 0
+    index = (F.col("begin") + F.col("place")).alias("index")
+    numbered = stored.join(begins, "part").select(index, "doc_id", "start", "ids")
+    return numbered.mapInArrow(_records(total, key), "slot long, record binary")
+
+
+def write_shards(docs: DataFrame, ranks: str, key: int, path: str, per_shard: int = PER_SHARD) -> None:
     """Write the sequences of (doc_id, text) to ``path`` in training order.
 
     A null text is empty: it has the end id alone. A null doc_id is a document like any other,
-    repeated rows are trained on repeatedly, other columns are not looked at, and no rows write no
-    shard. The numbering follows the input's partitions, so ``docs`` should read files.
+    repeated rows are trained on repeatedly, a text of any length goes on over as many sequences as it
+    takes, other columns are not looked at, and no rows write no shard. The numbering follows the
+    input's partitions. A shard is read as one row, so ``per_shard`` bounds what a reader holds.
     """
-    docs = docs.select("doc_id", "text")
-    parts = counted(docs, ranks)
+    stored = kept(sequences(docs.select("doc_id", "text"), ranks), "sequences")
     padded = F.rpad("record", STRIDE - 1, F.unhex(F.lit("00")))
     (
-        records(docs, ranks, parts, key)
-        .repartition("shard")
+        records(stored, key)
+        .withColumn("shard", F.floor(F.col("slot") / per_shard))
+        .repartitionByRange("shard")  # whole shards, neighbours together
         .sortWithinPartitions("shard", "slot")
         .select("shard", padded.cast("string").alias("record"))  # bytes stay as they are
         .write.partitionBy("shard")
@@ -196,32 +198,34 @@ SCHEMA = (
 )
 
 
-def read_shards(spark: SparkSession, path: str, first_slot: int = 0) -> DataFrame:
+def read_shards(spark: SparkSession, path: str, first_slot: int = 0, per_shard: int = PER_SHARD) -> DataFrame:
     """What each record from ``first_slot`` on says, and whether its ids have the crc32 it names."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
-    files = files.select("content", F.col("shard").cast("long").alias("shard"))
-    files = files.filter(F.col("shard") >= first_slot // PER_SHARD)
+    files = files.filter(F.col("shard") >= first_slot // per_shard)
+    last = F.floor(F.length("content") / STRIDE) - 1
+    cut = F.transform(
+        F.sequence(F.lit(0), last.cast("int")),
+        lambda k: F.struct(k.alias("place"), F.substring(F.col("content"), k * STRIDE + 1, F.lit(STRIDE)).alias("record")),
+    )
+    shard = F.col("shard").cast("long").alias("shard")
+    found = files.select(shard, F.explode(cut).alias("found")).select("shard", "found.place", "found.record")
+    found = found.filter(F.col("shard") * per_shard + F.col("place") >= first_slot)
+    names = [field.split()[0] for field in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data, shard in zip(batch.column(0), batch.column(1).to_pylist()):
-                view = memoryview(data.as_buffer())
-                out = []
-                for k in range(len(view) // STRIDE):
-                    slot = shard * PER_SHARD + k
-                    if slot < first_slot:
-                        continue
-                    at = k * STRIDE
-                    doc, start, n, crc = struct.unpack_from(HEADER, view, at)
-                    ids = view[at + HEADER_SIZE : at + HEADER_SIZE + 2 * n]
-                    out.append((slot, shard, at, None if doc == NO_ID else doc, start, n, crc, zlib.crc32(ids) == crc))
-                kinds = [pa.int64()] * 7 + [pa.bool_()]
-                names = [field.split()[0] for field in SCHEMA.split(", ")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=names
-                )
-
-    return files.mapInArrow(run, SCHEMA)
+            out = []
+            for shard, place, record in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                doc, start, n, crc = struct.unpack_from(HEADER, record)
+                intact = zlib.crc32(record[HEADER_SIZE : HEADER_SIZE + 2 * n]) == crc
+                doc = None if doc == NO_ID else doc
+                out.append((shard * per_shard + place, shard, place * STRIDE, doc, start, n, crc, intact))
+            if not out:
+                continue
+            kinds = [pa.int64()] * 7 + [pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=names)
+
+    return found.mapInArrow(run, SCHEMA)
 
 
 def training_order(docs: DataFrame, ranks: str, key: int) -> DataFrame:
