@@ -201,31 +201,28 @@ SCHEMA = (
 def read_shards(spark: SparkSession, path: str, first_slot: int = 0, per_shard: int = PER_SHARD) -> DataFrame:
     """What each record from ``first_slot`` on says, and whether its ids have the crc32 it names."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    files = files.select("content", F.col("shard").cast("long").alias("shard"))
     files = files.filter(F.col("shard") >= first_slot // per_shard)
-    last = F.floor(F.length("content") / STRIDE) - 1
-    cut = F.transform(
-        F.sequence(F.lit(0), last.cast("int")),
-        lambda k: F.struct(k.alias("place"), F.substring(F.col("content"), k * STRIDE + 1, F.lit(STRIDE)).alias("record")),
-    )
-    shard = F.col("shard").cast("long").alias("shard")
-    found = files.select(shard, F.explode(cut).alias("found")).select("shard", "found.place", "found.record")
-    found = found.filter(F.col("shard") * per_shard + F.col("place") >= first_slot)
+    kinds = [pa.int64()] * 7 + [pa.bool_()]
     names = [field.split()[0] for field in SCHEMA.split(", ")]
 
+    def said(view: memoryview, shard: int, place: int) -> tuple:
+        at = place * STRIDE
+        doc, start, n, crc = struct.unpack_from(HEADER, view, at)
+        ids = view[at + HEADER_SIZE : at + HEADER_SIZE + 2 * n]
+        doc = None if doc == NO_ID else doc
+        return shard * per_shard + place, shard, at, doc, start, n, crc, zlib.crc32(ids) == crc
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for shard, place, record in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                doc, start, n, crc = struct.unpack_from(HEADER, record)
-                intact = zlib.crc32(record[HEADER_SIZE : HEADER_SIZE + 2 * n]) == crc
-                doc = None if doc == NO_ID else doc
-                out.append((shard * per_shard + place, shard, place * STRIDE, doc, start, n, crc, intact))
-            if not out:
-                continue
-            kinds = [pa.int64()] * 7 + [pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=names)
-
-    return found.mapInArrow(run, SCHEMA)
+            for data, shard in zip(batch.column(0), batch.column(1).to_pylist()):
+                view = memoryview(data.as_buffer())
+                places = range(max(first_slot - shard * per_shard, 0), len(view) // STRIDE)
+                for k in range(0, len(places), SLICE):
+                    columns = zip(*(said(view, shard, place) for place in places[k : k + SLICE]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=names)
+
+    return files.mapInArrow(run, SCHEMA)
 
 
 def training_order(docs: DataFrame, ranks: str, key: int) -> DataFrame:
