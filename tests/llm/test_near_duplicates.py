@@ -189,6 +189,41 @@ def test_near_lines_in_a_crowded_band(spark):
     assert Counter(map(tuple, line_dedup.line_decisions(df).collect())) == decisions_by_hand(docs)
 
 
+#: Short and long lines of few characters, so that shingles meet; some of zeros, some past Latin-1.
+LINES = st.text(alphabet="ab\0\xe9\u20ac\U0001f600", max_size=40) | st.text(alphabet="ab", max_size=60)
+
+
+def jaccard_reached(a, b):
+    one, two = line_dedup.shingles(a), line_dedup.shingles(b)
+    return len(one & two) >= 0.8 * len(one | two)
+
+
+@settings(max_examples=300, deadline=None)
+@given(LINES, LINES, st.integers(0, 40))
+def test_similar_lines_as_sets_of_strings(a, b, cut):
+    for other in (b, a, a + b[:1], a[:cut] + b[:1] + a[cut + 1 :]):
+        assert line_dedup.similar(a, other) == jaccard_reached(a, other)
+        one, two = line_dedup.spelt(a), line_dedup.spelt(other)
+        assert len(one) == len(line_dedup.shingles(a))
+        assert line_dedup.shared(one, two) == len(line_dedup.shingles(a) & line_dedup.shingles(other))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(LINES, min_size=2, max_size=6), st.integers(0, 20))
+def test_spanning_links_of_lines_of_both_kinds(lines, cut):
+    """A Latin-1 line and one with a wider character share shingles, whichever way each is held."""
+    lines = list(dict.fromkeys([*lines, *(x[:cut] + "\u20ac" + x[cut:] for x in lines), *(x * 3 for x in lines)]))
+    union, want = Union(), Union()
+    for i, j in line_dedup.spanning_links(lines, [str(k).encode() for k in range(len(lines))]):
+        assert jaccard_reached(lines[i], lines[j])
+        union.join(i, j)
+    for i, a in enumerate(lines):
+        for j in range(i):
+            if jaccard_reached(a, lines[j]):
+                want.join(i, j)
+    assert [union.find(i) for i in range(len(lines))] == [want.find(i) for i in range(len(lines))]
+
+
 def test_line_edges(edge, nothing):
     found = Counter(map(tuple, line_dedup.line_decisions(edge).collect()))
     assert found == decisions_by_hand([(d, t) for d, t, _ in EDGE_ROWS])

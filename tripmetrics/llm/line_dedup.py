@@ -15,6 +15,7 @@ task. So no link that the bands find is lost, and a group costs rows in proporti
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from tripmetrics.llm.common import kept, own_columns, unused, with_length
 from tripmetrics.llm.components import components
 
-#: Characters of a shingle; a shorter line is one shingle.
+#: Characters of a shingle, as many as a 64-bit number has bytes; a shorter line is one shingle.
 SHINGLE = 8
 SIMILAR = 0.8
 BANDS, ROWS = 9, 3
@@ -52,8 +53,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-#: Odd factors; multiplying by one permutes the 64-bit numbers.
-_FACTORS = _mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+#: Odd factors; multiplying by one permutes the 32-bit numbers.
+_FACTORS = (_mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def _hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,22 +62,28 @@ def _hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     shingles begin and end among them."""
     padded = [line.ljust(SHINGLE, "\0") for line in lines]
     codes = np.frombuffer("".join(padded).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    n = len(codes) - SHINGLE + 1
-    h = np.zeros(n + 1, dtype=np.uint64)  # one more, so that the last line has an end
-    for i in range(SHINGLE):
-        h[:n] = h[:n] * _MUL + codes[i : i + n]
+    width, h = 1, codes
+    while width < SHINGLE:  # a power of two; each step joins neighbours of half the width
+        h = h[:-width] * np.uint64(pow(int(_MUL), width, 1 << 64)) + h[width:]
+        width *= 2
+    h = np.append(h, np.uint64(0))  # one more, so that the last line has an end
     lengths = np.array([len(line) for line in padded])
     starts = np.r_[0, np.cumsum(lengths)[:-1]]
     return _mixed(h), starts, starts + lengths - SHINGLE + 1
 
 
 def bands(lines: list[str]) -> np.ndarray:
-    """A row of band keys for each line. Any two equal lines have equal rows."""
+    """A row of band keys for each line. Any two equal lines have equal rows.
+
+    Permutations are of 32 bits, half the work of 64; hashes that meet only make candidates, which are verified.
+    """
     h, starts, ends = _hashed(lines)
+    h = (h >> np.uint64(32)).astype(np.uint32)
     edges = np.stack([starts, ends], axis=1).ravel()
+    permuted = np.empty_like(h)
     keys = np.zeros((len(lines), BANDS), dtype=np.uint64)
     for k, factor in enumerate(_FACTORS):
-        least = np.minimum.reduceat(h * factor, edges)[::2]
+        least = np.minimum.reduceat(np.multiply(h, factor, out=permuted), edges)[::2]
         keys[:, k // ROWS] = _mixed(keys[:, k // ROWS] * _MUL + least)
     return (keys ^ _mixed(np.arange(BANDS, dtype=np.uint64) + _MUL)).view(np.int64)
 
@@ -125,14 +132,61 @@ def shingles(line: str) -> set[str]:
     return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
 
 
-def similar(a: str, b: str) -> bool:
-    """Whether the Jaccard similarity of two lines' shingle sets reaches the threshold."""
-    return similar_sets(shingles(a), shingles(b))
+def spelt(line: str) -> np.ndarray | set[str]:
+    """The different shingles of a line, to be counted and compared by ``shared``.
+
+    A shingle of Latin-1 characters is eight bytes, hence one 64-bit number that no other shingle
+    has; such lines become sorted numbers. Others, and those shorter than a shingle, stay strings.
+    """
+    try:
+        held = line.encode("latin-1")
+    except UnicodeEncodeError:
+        return shingles(line)
+    if len(held) < SHINGLE:
+        return shingles(line)
+    found = np.sort(np.ndarray(len(held) - SHINGLE + 1, dtype="<u8", buffer=held, strides=(1,)))
+    new = np.empty(len(found), dtype=bool)
+    new[0] = True
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    return found[new]
+
+
+def _number(shingle: str) -> int:
+    """The number of ``spelt`` where it has one, so that lines of both kinds agree; else a checksum."""
+    try:
+        held = shingle.encode("latin-1")
+    except UnicodeEncodeError:
+        return zlib.crc32(shingle.encode("utf-8", "surrogatepass"))
+    return int.from_bytes(held, "little")
+
+
+def _strings(found: np.ndarray | set[str]) -> set[str]:
+    if isinstance(found, set):
+        return found
+    return {shingle.tobytes().decode("latin-1") for shingle in found}
+
+
+def shared(one: np.ndarray | set[str], two: np.ndarray | set[str]) -> int:
+    """How many shingles two lines have in common."""
+    if isinstance(one, set) or isinstance(two, set):
+        return len(_strings(one) & _strings(two))
+    both = np.concatenate([one, two])
+    both.sort(kind="stable")  # merges the two sorted runs
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
+def similar_spelt(one: np.ndarray | set[str], two: np.ndarray | set[str]) -> bool:
+    """Whether the Jaccard similarity of two lines' shingles reaches the threshold, exactly."""
+    fewer, more = sorted((len(one), len(two)))
+    if fewer < SIMILAR * more:
+        return False  # they cannot share more than the smaller has
+    common = shared(one, two)
+    return common >= SIMILAR * (fewer + more - common)
 
 
-def similar_sets(one: set[str], two: set[str]) -> bool:
-    shared = len(one & two)
-    return shared >= SIMILAR * (len(one) + len(two) - shared)
+def similar(a: str, b: str) -> bool:
+    """Whether the Jaccard similarity of two lines' shingle sets reaches the threshold."""
+    return similar_spelt(spelt(a), spelt(b))
 
 
 def candidate_lines(docs: DataFrame, shared: DataFrame) -> DataFrame:
@@ -156,18 +210,15 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").mapInArrow(run, "a binary, b binary")
 
 
-def bitmaps(lines: list[str]) -> np.ndarray:
-    """A row of bits for each line, one for each shingle, several to a bit where their hashes meet."""
-    rows = []
-    for part in _chunks(lines):
-        h, starts, ends = _hashed(part)
-        counts = ends - starts
-        row = np.repeat(np.arange(len(part)), counts)
-        place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[row]
-        bits = np.zeros((len(part), 64 * BITMAP), dtype=np.uint8)
-        bits[row, (h[place] % np.uint64(64 * BITMAP)).astype(np.int64)] = 1
-        rows.append(np.packbits(bits, axis=1).view(np.uint64))
-    return np.concatenate(rows)
+def bitmaps(found: list[np.ndarray | set[str]]) -> np.ndarray:
+    """A row of bits for each line's shingles, one for each, several to a bit where their hashes meet."""
+    width = 64 * BITMAP
+    bits = np.zeros((len(found), width), dtype=np.uint8)
+    for row, own in zip(bits, found):
+        if isinstance(own, set):
+            own = np.array([_number(shingle) for shingle in own], dtype=np.uint64)
+        row[(own * _MUL >> np.uint64(64 - width.bit_length() + 1)).astype(np.intp)] = 1
+    return np.packbits(bits, axis=1).view(np.uint64)
 
 
 def spanning_links(lines: list[str], roots: list[bytes]) -> list[tuple[int, int]]:
@@ -176,9 +227,9 @@ def spanning_links(lines: list[str], roots: list[bytes]) -> list[tuple[int, int]
     Each bit that one line has and another lacks is at least one shingle that only the first has,
     so the bits bound the shared shingles from above; a pair that the bound rules out isn't compared.
     """
-    sets = [shingles(line) for line in lines]
-    sizes = np.array([len(found) for found in sets])
-    bits = bitmaps(lines)
+    found = [spelt(line) for line in lines]
+    sizes = np.array([len(own) for own in found])
+    bits = bitmaps(found)
     numbers = {root: k for k, root in enumerate(dict.fromkeys(roots))}
     root = np.array([numbers[r] for r in roots])
     links = []
@@ -190,7 +241,7 @@ def spanning_links(lines: list[str], roots: list[bytes]) -> list[tuple[int, int]
         other = sizes[later] - np.bitwise_count(bits[later] & ~bits[i]).sum(axis=1, dtype=np.int64)
         most = np.minimum(own, other)
         for j in later[most >= SIMILAR * (sizes[i] + sizes[later] - most)].tolist():
-            if root[i] != root[j] and similar_sets(sets[i], sets[j]):
+            if root[i] != root[j] and similar_spelt(found[i], found[j]):
                 links.append((i, j))
                 root[root == root[j]] = root[i]
     return links
@@ -230,9 +281,10 @@ def crowded_links(crowded: DataFrame) -> DataFrame:
         if held:
             yield out(held)
 
-    return (
-        tasks.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a binary, b binary").distinct()
-    )
+    # A number of its own: few bytes take long here, so partitions merged by size would be too few.
+    parts = int(crowded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tasks.repartition(parts, "task").sortWithinPartitions("task")
+    return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def line_components(docs: DataFrame) -> DataFrame:
