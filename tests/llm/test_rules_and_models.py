@@ -66,6 +66,24 @@ def test_rules_run_by_rejections_per_second():
     assert sorted(names) == sorted(rule.name for rule in rule_cascade.RULES)
 
 
+def test_rules_are_timed_where_the_cascade_meets_them(spark):
+    """A count that the base holds costs next to nothing, and texts that fail the base are no evidence."""
+    rules = (
+        rule_cascade.Rule("held", lambda t: 10 * t.n_dup_lines > 3 * len(t.lines)),
+        rule_cascade.Rule("made", lambda t: len(set(zip(t.text, t.text[1:]))) < 0),
+        rule_cascade.Rule("short", lambda t: t.n_words < 50),
+    )
+    long = "\n".join(" ".join(f"w{k}x{j}" for j in range(20)) for k in range(100))
+    same = "\n".join(["one line of words"] * 30)  # three words in four repeat: the base fails
+    rows = [(k, text) for k, text in enumerate([long, f"{long}\n{long[:90]}", same, "a few words", "", None] * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {name: (seconds, share) for name, seconds, share in rule_cascade.measured(docs, rules)}
+    assert found["held"][0] < found["made"][0] / 20
+    assert {name: share for name, (_, share) in found.items()} == {"held": 0, "made": 0, "short": 0}
+    none = rule_cascade.measured(docs.filter("text is null or text = ''"), rules)
+    assert [(name, share) for name, _, share in none] == [(rule.name, 0) for rule in rules]
+
+
 def test_good_documents_stay_and_junk_goes(documents, spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     found = {r.doc_id: r for r in rule_cascade.rule_cascade(documents).collect()}
