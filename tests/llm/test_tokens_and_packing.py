@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 import zlib
 
 from collections import Counter, defaultdict
@@ -251,6 +252,28 @@ def test_every_record_by_hand(documents, spark, tmp_path, parts):
         assert all((r.shard, r.byte_offset) == (r.slot // per_shard, r.slot % per_shard * training_order.STRIDE) for r in found)
 
 
+def test_shards_leave_no_shuffle_files(documents, spark, tmp_path):
+    """The records' shuffles go with the range of shards that they were for; the setting stays as it was."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def shuffled() -> int:
+        files = [disk.getAllFiles().apply(k) for k in range(disk.getAllFiles().size())]
+        return sum(f.length() for f in files if f.getName().startswith("shuffle_") and f.getName().endswith(".data"))
+
+    before, setting = shuffled(), spark.conf.get(key)
+    path = tmp_path / "shards"
+    training_order.write_shards(documents, RANKS, 5, str(path), 100)
+    shards = sorted(path.glob("shard=*"), key=lambda p: int(p.name[6:]))
+    assert len(shards) > training_order.PASSES and all(len([*s.glob("*.txt")]) == 1 for s in shards)
+    written = sum(f.stat().st_size for s in shards for f in s.glob("*.txt"))
+    for _ in range(50):  # files go a moment later
+        if shuffled() - before < written / 20:
+            break
+        time.sleep(0.2)
+    assert shuffled() - before < written / 20 and spark.conf.get(key) == setting
+
+
 @pytest.mark.parametrize("rank", [training_order.END, 65_536])
 def test_ranks_that_do_not_fit_are_refused(tmp_path, rank):
     path = tmp_path / "ranks"

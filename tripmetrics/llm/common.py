@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,13 +19,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read from there, so that its lineage ends."""
+def kept(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written once to the shared folder, with the writer's ``options``, and read from there, so that its lineage ends."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that begin meanwhile drop their shuffle files as soon as they have ended."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def numbered(df: DataFrame, row: str, *order: str) -> DataFrame:
     """``df`` with ``row``: 0, 1, 2 and so on in the order of the columns, nulls first.
 

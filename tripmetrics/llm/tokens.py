@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import json
 import re
+import struct
 
 from functools import lru_cache
 
@@ -16,7 +17,10 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: A blank between two visible characters always starts a new match of PATTERN: no match holds
 #: a blank past its first character unless it is white space throughout.
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
-_BLANK_BESIDE_SPACE = re.compile(r"^ | $|\s | \s")
+
+
+class _BesideSpace(Exception):
+    """A blank that does not stand between two visible characters."""
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -63,9 +67,12 @@ class PartEncoder:
         self._known: dict[str, bytes] = {}
 
     def _bytes(self, text: str) -> bytes:
-        return np.array(self._encode(text), dtype="<u4").tobytes()
+        ids = self._encode(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, part: str) -> bytes:
+        if not part or part[0].isspace() or part[-1].isspace():
+            raise _BesideSpace
         ids = self._bytes(" " + part)
         if len(part) <= self._longest:
             if len(self._known) >= self._entries:
@@ -84,10 +91,29 @@ class PartEncoder:
     def _plain(self, text: str) -> bytes:
         if not text:
             return b""
-        cut = _LONE_BLANK.split if _BLANK_BESIDE_SPACE.search(text) else None
-        first, *parts = cut(text) if cut else text.split(" ")
+        # Most texts have lone blanks only, which shows when their parts are looked up.
+        if "  " not in text and "\n " not in text:
+            try:
+                return self._joined(text.split(" "))
+            except _BesideSpace:
+                pass
+        return self._joined(_LONE_BLANK.split(text))
+
+    def _joined(self, parts: list[str]) -> bytes:
+        """Ids of parts that one blank each stood between; only the first may begin, and the last end, with space."""
+        first, last = parts[0], parts[-1]
+        if len(parts) == 1:
+            return self._bytes(first)
+        if not first or first[-1].isspace() or not last or last[0].isspace():
+            raise _BesideSpace
         known, learn = self._known.get, self._learn
-        return self._bytes(first) + b"".join([known(part) or learn(part) for part in parts])
+        ids = list(map(known, parts))
+        ids[0] = self._bytes(first)
+        if last[-1].isspace():
+            ids[-1] = self._bytes(" " + last)
+        if None in ids:
+            ids = [found or known(part) or learn(part) for found, part in zip(ids, parts)]
+        return b"".join(ids)
 
 
 @lru_cache(maxsize=4)

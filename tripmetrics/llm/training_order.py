@@ -2,8 +2,9 @@
 
 Token streams are cut into sequences of one length. A keyed Feistel permutation with cycle-walking
 gives every sequence its global slot, so the training order is random, needs no sort key and can be
-computed for any sequence alone. Texts are tokenised once: sequences are stored, counted and numbered
-from the stored table. Ranges of slots become shards of fixed-stride records: slot k lies
+computed for any sequence alone. Texts are tokenised once: sequences are stored as records, counted and
+numbered from the stored table. Ranges of slots become shards of fixed-stride records, a few ranges after
+another, so that only a part of the records lies in shuffle files at a time: slot k lies
 in shard ``k // per_shard`` at byte ``(k % per_shard) * STRIDE``, so a reader goes through the shards in
 order, and resumes anywhere, by arithmetic.
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 import struct
 import zlib
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import kept
+from tripmetrics.llm.common import kept, shuffles_dropped
 from tripmetrics.llm.tokens import part_encoder, read_ranks
 from tripmetrics.sources.scratch import scratch_path
 
@@ -36,14 +37,22 @@ LENGTH = 512
 PER_SHARD = 4_096
 #: Sequences that a task gathers before it hands them on.
 SLICE = 4_096
+#: Ranges of shards written one after the other; a task writes so many shards of a range at most, unless there are
+#: more shuffle partitions than that needs.
+PASSES = 2
+SHARDS_OF_TASK = 16
 #: Id between documents; a rank file that uses it, or ids past 16 bits, is refused.
 END = 50_256
+END_ID = struct.pack("<I", END)
 #: doc_id in the header of a sequence that starts in a document without one.
 NO_ID = -(1 << 63)
 
 HEADER = "<qIHI"
 HEADER_SIZE = struct.calcsize(HEADER)
 STRIDE = HEADER_SIZE + 2 * LENGTH + 1
+RECORD = np.dtype(
+    [("doc_id", "<i8"), ("start", "<u4"), ("n", "<u2"), ("crc", "<u4"), ("ids", f"V{2 * LENGTH}"), ("end", "V1")]
+)
 ROUNDS = 6
 
 
@@ -86,8 +95,7 @@ class Cutter:
         self.begins: tuple[int | None, int] = (None, 0)
 
     def add(self, doc: int | None, text: str | None) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        ids = np.frombuffer(self.encoder.encode(text or ""), dtype="<u4").astype("<u2")  # checked_ranks
-        ids = np.append(ids, np.uint16(END))
+        ids = np.frombuffer(self.encoder.encode(text or "") + END_ID, dtype="<u4").astype("<u2")  # checked_ranks
         if not len(self.rest):
             self.begins = (doc, 0)
         room = self.length - len(self.rest)
@@ -114,60 +122,60 @@ def checked_ranks(ranks: str) -> str:
     return ranks
 
 
+def _record(doc: int | None, start: int, ids: np.ndarray) -> bytes:
+    ids = ids.tobytes()
+    return struct.pack(HEADER, NO_ID if doc is None else doc, start, len(ids) // 2, zlib.crc32(ids)) + ids
+
+
 def sequences(docs: DataFrame, ranks: str) -> DataFrame:
-    """``part``, ``place``, doc_id, start and ids of every sequence, cut through each partition in order."""
+    """``part``, ``place`` and the record of every sequence, cut through each partition in order."""
     checked_ranks(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, part, done = Cutter(ranks), TaskContext.get().partitionId(), 0
 
-        def out(found: list[tuple[int | None, int, np.ndarray]]) -> pa.RecordBatch:
+        def out(found: list[bytes]) -> pa.RecordBatch:
             nonlocal done
             place = pa.array(range(done, done + len(found)), pa.int64())
             done += len(found)
-            doc, start, ids = zip(*found)
-            columns = [pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array([i.tobytes() for i in ids], pa.binary())]
             return pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(found), pa.int64()), place, *columns], names=["part", "place", "doc_id", "start", "ids"]
+                [pa.array([part] * len(found), pa.int64()), place, pa.array(found, pa.binary())], names=["part", "place", "record"]
             )
 
         found = []
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for sequence in cutter.add(doc, text.as_py()):
-                    found.append(sequence)
+                    found.append(_record(*sequence))
                     if len(found) == SLICE:
                         yield out(found)
                         found = []
-        if found := [*found, *cutter.end()]:
+        if found := [*found, *(_record(*sequence) for sequence in cutter.end())]:
             yield out(found)
 
-    return docs.mapInArrow(run, "part long, place long, doc_id long, start long, ids binary")
-
-
-def _records(total: int, key: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = []
-            for doc, start, ids in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
-                doc = NO_ID if doc is None else doc
-                made.append(struct.pack(HEADER, doc, start, len(ids) // 2, zlib.crc32(ids)) + ids)
-            slot = slots(batch.column(0).to_numpy(), total, key)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(made, pa.binary())], names=["slot", "record"])
+    return docs.mapInArrow(run, "part long, place long, record binary")
 
-    return run
 
-
-def records(stored: DataFrame, key: int) -> DataFrame:
-    """``slot`` and ``record`` of every sequence of a stored table of ``sequences``, numbered by part and place."""
+def numbering(stored: DataFrame) -> tuple[DataFrame, int]:
+    """``begin``, the sequences of earlier partitions, by ``part`` of a stored table of ``sequences``; and the sequences in all."""
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
     counts = stored.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     begins = counts.select("part", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
     begins = kept(begins, "begins")  # its size is known then, and decides how it is joined
-    total = begins.agg(F.sum("n")).first()[0] or 0
-    index = (F.col("begin") + F.col("place")).alias("index")
-    numbered = stored.join(begins, "part").select(index, "doc_id", "start", "ids")
-    return numbered.mapInArrow(_records(total, key), "slot long, record binary")
+    return begins.select("part", "begin"), begins.agg(F.sum("n")).first()[0] or 0
+
+
+def records(stored: DataFrame, begins: DataFrame, total: int, key: int, first: int, end: int) -> DataFrame:
+    """``slot`` and ``record`` of the stored sequences whose slots are ``first`` and more, but less than ``end``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = slots(batch.column(0).to_numpy(), total, key)
+            here = np.flatnonzero((slot >= first) & (slot < end))
+            yield pa.RecordBatch.from_arrays([pa.array(slot[here]), batch.column(1).take(pa.array(here))], names=["slot", "record"])
+
+    numbered = stored.join(begins, "part").select((F.col("begin") + F.col("place")).alias("index"), "record")
+    return numbered.mapInArrow(run, "slot long, record binary")
 
 
 def write_shards(docs: DataFrame, ranks: str, key: int, path: str, per_shard: int = PER_SHARD) -> None:
@@ -177,19 +185,31 @@ def write_shards(docs: DataFrame, ranks: str, key: int, path: str, per_shard: in
     repeated rows are trained on repeatedly, a text of any length goes on over as many sequences as it
     takes, other columns are not looked at, and no rows write no shard. The numbering follows the
     input's partitions. A shard is read as one row, so ``per_shard`` bounds what a reader holds.
+
+    The shards are written in ``PASSES`` ranges, each from the stored sequences and through a shuffle of its own, whose
+    files go when the range is written.
     """
-    stored = kept(sequences(docs.select("doc_id", "text"), ranks), "sequences")
+    spark = docs.sparkSession
+    stored = kept(sequences(docs.select("doc_id", "text"), ranks), "sequences", compression="zstd")
+    begins, total = numbering(stored)
     padded = F.rpad("record", STRIDE - 1, F.unhex(F.lit("00")))
-    (
-        records(stored, key)
-        .withColumn("shard", F.floor(F.col("slot") / per_shard))
-        .repartitionByRange("shard")  # whole shards, neighbours together
-        .sortWithinPartitions("shard", "slot")
-        .select("shard", padded.cast("string").alias("record"))  # bytes stay as they are
-        .write.partitionBy("shard")
-        .option("compression", "none")
-        .text(path)
-    )
+    shards = max(1, -(-total // per_shard))
+    bounds = sorted({shards * k // PASSES for k in range(PASSES + 1)})
+    at_once = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for first, end in zip(bounds, bounds[1:]):
+        tasks = min(end - first, max(at_once, -(-(end - first) // SHARDS_OF_TASK)))
+        with shuffles_dropped(spark):
+            (
+                records(stored, begins, total, key, first * per_shard, end * per_shard)
+                .withColumn("shard", F.floor(F.col("slot") / per_shard))
+                .repartitionById(tasks, ((F.col("shard") - first) * tasks / (end - first)).cast("int"))  # whole shards, neighbours together
+                .sortWithinPartitions("shard", "slot")
+                .select("shard", padded.cast("string").alias("record"))  # bytes stay as they are
+                .write.partitionBy("shard")
+                .mode("append" if first else "error")
+                .option("compression", "none")
+                .text(path)
+            )
 
 
 SCHEMA = (
@@ -203,15 +223,19 @@ def read_shards(spark: SparkSession, path: str, first_slot: int = 0, per_shard:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
     files = files.select("content", F.col("shard").cast("long").alias("shard"))
     files = files.filter(F.col("shard") >= first_slot // per_shard)
-    kinds = [pa.int64()] * 7 + [pa.bool_()]
     names = [field.split()[0] for field in SCHEMA.split(", ")]
 
-    def said(view: memoryview, shard: int, place: int) -> tuple:
-        at = place * STRIDE
-        doc, start, n, crc = struct.unpack_from(HEADER, view, at)
-        ids = view[at + HEADER_SIZE : at + HEADER_SIZE + 2 * n]
-        doc = None if doc == NO_ID else doc
-        return shard * per_shard + place, shard, at, doc, start, n, crc, zlib.crc32(ids) == crc
+    def said(view: memoryview, shard: int, places: range) -> pa.RecordBatch:
+        at = np.arange(places.start, places.stop) * STRIDE
+        found = np.frombuffer(view[places.start * STRIDE : places.stop * STRIDE], RECORD)
+        ends = (at + HEADER_SIZE + 2 * found["n"].astype(np.int64)).tolist()
+        crc = np.array([zlib.crc32(view[a:b]) for a, b in zip((at + HEADER_SIZE).tolist(), ends)], np.int64)
+        columns = [pa.array(found[name].astype(np.int64)) for name in ("start", "n", "crc")]
+        doc = pa.array(found["doc_id"].astype(np.int64), mask=found["doc_id"] == NO_ID)
+        slot, shard = np.arange(places.start, places.stop) + shard * per_shard, np.full(len(at), shard)
+        return pa.RecordBatch.from_arrays(
+            [*map(pa.array, (slot, shard, at)), doc, *columns, pa.array(crc == found["crc"])], names=names
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,8 +243,7 @@ def read_shards(spark: SparkSession, path: str, first_slot: int = 0, per_shard:
                 view = memoryview(data.as_buffer())
                 places = range(max(first_slot - shard * per_shard, 0), len(view) // STRIDE)
                 for k in range(0, len(places), SLICE):
-                    columns = zip(*(said(view, shard, place) for place in places[k : k + SLICE]))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=names)
+                    yield said(view, shard, places[k : k + SLICE])
 
     return files.mapInArrow(run, SCHEMA)
 
