@@ -333,3 +333,20 @@ def test_rejects_of_parquet(spark, golden_trips):
         "rows_raw": 14, "rows_kept": 10, "rows_rejected": 4, "records_read": 14, "short_records": 0,
         "wide_records": 0, "extra_columns": 2,
     }
+
+
+@pytest.mark.parametrize("open_files", [2, 100])
+def test_folders_are_written_without_a_sort(spark, tmp_path, monkeypatch, open_files):
+    """Rows go to open files; folders past that number still have one file for each task and all their lines."""
+    from pyspark.sql import DataFrameWriter
+
+    key, seen, text = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda *a: seen.append(spark.conf.get(key)) or text(*a))
+    before = spark.conf.get(key)
+    lines = spark.range(0, 1000, 1, 3).selectExpr("id % 7 AS folder", "string(id) AS value").repartition("folder")
+    path = sinks.write_text_folders(lines, str(tmp_path / "folders"), "folder", open_files)
+    assert seen == [str(open_files)] and spark.conf.get(key) == before
+    found = sources.input_folders(spark, path)
+    assert sorted((r["folder"][-1], r["files"]) for r in found.collect()) == [(str(k), 1) for k in range(7)]
+    assert {(int(r["value"]) % 7, r["folder"]) for r in spark.read.text(path).collect()} == {(k, k) for k in range(7)}
+    assert spark.read.text(path).distinct().count() == 1000

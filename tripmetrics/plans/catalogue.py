@@ -427,7 +427,7 @@ def input_bytes(spark: SparkSession, sf: str) -> DataFrame:
     """Files and bytes of a set that was just written: a folder and a file for each return flag."""
     path = sources.scratch_path(spark, "folders")
     lines = lineitem(spark, sf).select("l_returnflag", F.format_string("%020d", "l_orderkey").alias("value"))
-    lines.repartition("l_returnflag").write.partitionBy("l_returnflag").text(path)
+    sinks.write_text_folders(lines.repartition("l_returnflag"), path, "l_returnflag")
     size = op.input_bytes(sources.input_folders(spark, path))
     return size.select("files", "input_bytes", F.round("input_gb", 9).alias("input_gb"))
 
@@ -446,7 +446,7 @@ def input_bytes_by_folder(spark: SparkSession, sf: str) -> DataFrame:
     path = sources.scratch_path(spark, "months")
     month = F.date_format("l_shipdate", "yyyyMM").alias("month")
     lines = lineitem(spark, sf).select(month, F.col("l_orderkey").cast("string").alias("value"))
-    lines.repartition("month").write.partitionBy("month").text(path)
+    sinks.write_text_folders(lines.repartition("month"), path, "month")
     folders = sources.input_folders(spark, path)
     return folders.select(F.substring_index("folder", "=", -1).alias("month"), "files", "bytes")
 

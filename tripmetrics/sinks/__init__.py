@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager, nullcontext
+from contextlib import AbstractContextManager, contextmanager, nullcontext
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,8 +46,7 @@ def stage_parquet(
     return path
 
 
-@contextmanager
-def _advised(spark: SparkSession, size: int) -> Iterator[None]:
+def _advised(spark: SparkSession, size: int) -> AbstractContextManager[None]:
     """The adaptive plan aims at ``size`` bytes for each task meanwhile."""
     wanted = {
         "spark.sql.adaptive.enabled": "true",
@@ -56,6 +55,11 @@ def _advised(spark: SparkSession, size: int) -> Iterator[None]:
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(max(1, size // 2)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size),
     }
+    return _settings(spark, wanted)
+
+
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -90,6 +94,17 @@ def stage_days(df: DataFrame, path: str, batch: str = "all", file_bytes: int | N
     return path
 
 
+def write_text_folders(lines: DataFrame, path: str, by: str, open_files: int = 100) -> str:
+    """Write text lines (``by`` and one more column) into a folder for each value of ``by``; gives back the path.
+
+    No row is sorted: a task keeps the files of its folders open, as long as they are no more than ``open_files``, and
+    rows go straight into them, so what a task holds does not grow with the rows of a folder.
+    """
+    with _settings(lines.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(open_files)}):
+        lines.write.partitionBy(by).text(path)
+    return path
+
+
 def write_sketches(sketches: DataFrame, path: str, batch: str) -> str:
     """Keep the sketches of one batch of trips beside those of others; gives back the path.
 
