@@ -216,3 +216,25 @@ def test_staging_days_again_replaces_those_days_only(spark, golden_trips, tmp_pa
     one_day = sources.read_staged(spark, path, days=("2013-01-02", "2013-01-02"))
     assert [r["pickup_datetime"][:10] for r in one_day.collect()] == ["2013-01-02"]
     assert "PartitionFilters: [isnotnull(pickup_day" in plan_of(one_day)
+
+
+@pytest.mark.parametrize("odd", ["wide", "short"])
+@pytest.mark.parametrize("some", [True, False])
+def test_odd_records_first_in_one_pass(spark, tmp_path, monkeypatch, odd, some):
+    """The lines are made and written once, also where no record is odd."""
+    from pyspark.sql import DataFrameWriter
+    from tripmetrics.plans.catalogue import QUERIES
+
+    discount, line = (0.10, 5) if odd == "wide" else (0.06, 1)
+    items = [(1, 10, 2.0, 30.0, 0.02, 0.01, 1), (1, 11, 3.0, 40.0, discount if some else 0.01, 0.01, line)]
+    named = ("l_suppkey long, l_partkey long, l_quantity double, l_extendedprice double, l_discount double, "
+             "l_tax double, l_linenumber int")
+    table = spark.createDataFrame(items, named).withColumns(
+        {"l_shipdate": F.lit("2024-01-01 05:00:00").cast("timestamp_ntz"), "l_returnflag": F.lit("N")}
+    )
+    table.write.parquet(str(tmp_path / "lineitem.parquet"))
+    calls, text = [], DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda *a: calls.append(a[1]) or text(*a))
+    found = rows(QUERIES[f"csv_first_record_{odd}"](spark, str(tmp_path)))
+    assert len(calls) == 1
+    assert found == [("M1", 2, 2) if not some else ("M1", 1, 1) if odd == "wide" else ("M1", 2, 1)]
