@@ -301,3 +301,32 @@ def test_the_approximate_form_of_both_rankings_is_checked(spark, monkeypatch):
     monkeypatch.setattr(op, "both_rankings_shared", lambda *a, **k: asked.append(k) or shared(*a, **k))
     plan = plan_of(both_shared_within_bound(spark, SF))
     assert asked == [{"method": "approx"}] and plan.count("TakeOrderedAndProject") >= 2
+
+
+def test_the_approximate_form_is_checked_for_every_taxi_and_driver(spark, tmp_path, monkeypatch):
+    """Thirty taxis and drivers, more than either ranking holds; counts that are off and a driver left out show."""
+    from tripmetrics.plans.catalogue import both_shared_within_bound
+
+    spark.range(30).selectExpr(
+        "id AS l_suppkey", "id AS l_partkey", "2.0D AS l_quantity", "10.0D + id AS l_extendedprice", "0.02D AS l_discount",
+        "0.01D AS l_tax", "1 AS l_linenumber", "timestamp_ntz'2024-01-01 05:00:00' AS l_shipdate", "'N' AS l_returnflag",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+
+    def found():
+        return {(r["ranking"], r["key"]): r for r in both_shared_within_bound(spark, str(tmp_path)).collect()}
+
+    whole = found()
+    keys = {("top_taxis", f"M{k}") for k in range(30)} | {("top_drivers", f"H{k}") for k in range(30)}
+    assert set(whole) == keys | {("top_taxis", None), ("top_drivers", None)}
+    assert all(r["within_bound"] for r in whole.values())
+    assert (whole["top_drivers", "H7"]["measure"], whole["top_drivers", "H7"]["minutes"]) == (17.0, 2.0)
+    assert whole["top_taxis", None]["measure"] == whole["top_drivers", None]["measure"] == 10
+    shared = op.both_rankings_shared
+    worst = lambda *a, **k: shared(*a, **k) | {"top_drivers": op.driver_rates(a[0]).select("hack_license", "money_per_min").orderBy("money_per_min").limit(10)}
+    monkeypatch.setattr(op, "both_rankings_shared", worst)
+    assert [k for k, r in found().items() if not r["within_bound"]] == [("top_drivers", None)]
+    monkeypatch.setattr(op, "both_rankings_shared", shared)
+    counts = op.taxi_drivers
+    twice = F.when(F.col("medallion") == "M29", F.col("num_drivers") * 2).otherwise(F.col("num_drivers")).alias("num_drivers")
+    monkeypatch.setattr(op, "taxi_drivers", lambda t, m="exact", *a, **k: counts(t, m, *a, **k).select("medallion", twice) if m == "approx" else counts(t, m, *a, **k))
+    assert ("top_taxis", "M29") in [k for k, r in found().items() if not r["within_bound"]]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -702,17 +703,35 @@ def taxi_drivers_within_bound(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def both_shared_within_bound(spark: SparkSession, sf: str) -> DataFrame:
-    """The two rankings with the approximate taxi table: how that stands against the exact counts,
-    beside the number of drivers ranked."""
+    """The two rankings with the approximate taxi table, whole: every taxi's approximate count beside the exact one,
+    every driver's money and minutes, and a row without a key for how each ranking stands against its whole table.
+
+    ``measure`` is the exact count or the money, or the number of places; ``within_bound`` of a driver says that the
+    rate is money by minutes, and of a ranking that no place is off by more than the bound and that nobody who
+    belongs there is missing.
+    """
     trips = dirty_trips(spark, sf)
     tables = op.both_rankings_shared(trips, method="approx")
-    exact = op.taxi_drivers(trips, scope="clean")
-    check = op.ranking_check(exact, tables["top_taxis"], 4 * SKETCH_RSD)
-    drivers = tables["top_drivers"].agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("top_drivers").alias("ranking"), F.col("n").alias("ranked"),
-        F.lit(0).cast("long").alias("off"), F.lit(False).alias("missed"),
-    )
-    return check.select(F.lit("top_taxis").alias("ranking"), "ranked", "off", "missed").unionByName(drivers)
+    exact, found = op.taxi_drivers(trips, scope="clean"), op.taxi_drivers(trips, "approx", "clean")
+    drivers = op.driver_rates(trips)
+    rates, ranked = (t.select("hack_license", "money_per_min").toDF("medallion", "num_drivers") for t in (drivers, tables["top_drivers"]))
+
+    def part(rows: DataFrame, ranking: str, measure: Column | str, fits: Column | str, key: Column | str, minutes: Column | str) -> DataFrame:
+        found = {"measure": measure, "minutes": minutes}
+        return rows.select(
+            F.lit(ranking).alias("ranking"), text(key).alias("key"), *[num(c).alias(n) for n, c in found.items()],
+            (F.col(fits) if isinstance(fits, str) else fits).alias("within_bound"),
+        )
+
+    nothing, right = F.lit(None), (F.col("off") == 0) & ~F.col("missed")
+    rated = F.abs(F.col("money_per_min") * F.col("minutes") - F.col("money")) <= F.abs("money") * 1e-9
+    parts = [
+        part(within_bound(exact, found, "medallion"), "top_taxis", "num_drivers", "within_bound", "medallion", nothing),
+        part(drivers, "top_drivers", F.round("money", 2), rated, "hack_license", "minutes"),
+        part(op.ranking_check(exact, tables["top_taxis"], 4 * SKETCH_RSD), "top_taxis", "ranked", right, nothing, nothing),
+        part(op.ranking_check(rates, ranked, 1e-9), "top_drivers", "ranked", right, nothing, nothing),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query

@@ -417,9 +417,12 @@ ORACLES = {
     "taxi_drivers_within_bound": "SELECT medallion, num_drivers, true AS within_bound "
     f"FROM ({_taxis(DIRTY, 'clean')})",
     "both_shared_within_bound": f"""
-        SELECT 'top_taxis' AS ranking, least(10, count(*)) AS ranked, CAST(0 AS BIGINT) AS off, false AS missed
+        SELECT 'top_taxis' AS ranking, medallion AS key, CAST(num_drivers AS DOUBLE) AS measure,
+               CAST(NULL AS DOUBLE) AS minutes, true AS within_bound
         FROM ({_taxis(DIRTY, 'clean')})
-        UNION ALL SELECT 'top_drivers', least(10, count(*)), 0, false FROM ({_rates(DIRTY, 'clean')})
+        UNION ALL SELECT 'top_drivers', hack_license, round(money, 2), minutes, true FROM ({_rates(DIRTY, 'clean')})
+        UNION ALL SELECT 'top_taxis', NULL, least(10, count(*)), NULL, true FROM ({_taxis(DIRTY, 'clean')})
+        UNION ALL SELECT 'top_drivers', NULL, least(10, count(*)), NULL, true FROM ({_rates(DIRTY, 'clean')})
     """,
     "top_taxis_approx_within_bound": _ranking_check(TRIPS),
     "sketches_merged_within_bound": "SELECT medallion, num_drivers, true AS within_bound "
