@@ -152,6 +152,11 @@ def test_one_row_of_each_group_stays(edge, documents, texts):
     assert stay == {c for _, _, c in all_groups}
 
 
+def test_a_task_fingerprints_in_one_worker(edge):
+    plan = simhash_grid.representatives(edge)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def decisions_by_hand(docs):
     rows = [
         (d, n, line)

@@ -238,7 +238,9 @@ def representatives(docs: DataFrame) -> DataFrame:
     def bits_of(text: pd.Series) -> pd.Series:
         return text.map(fingerprint)
 
-    marked = docs.withColumn(bits, bits_of("text")).withColumn(
+    # Nondeterministic to the planner only: the join's null check would else go below as a second call, and every
+    # task would run two Python workers, which stay beside each other for the stages that follow.
+    marked = docs.withColumn(bits, bits_of.asNondeterministic()("text")).withColumn(
         key, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     )
     nodes = kept(
