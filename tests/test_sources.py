@@ -9,6 +9,7 @@ from conftest import GOLDEN, HEADER, plan_of, rows
 from pyspark.sql import functions as F
 from tripmetrics import operators as op
 from tripmetrics import sinks, sources
+from tripmetrics.plans import jobs
 from tripmetrics.sources.scratch import scratch_path
 
 
@@ -191,6 +192,51 @@ def test_staged_files_have_one_size_at_any_split_size(spark, lineitem_trips, tmp
     assert sources.read_staged(spark, str(tmp_path / "out")).count() == lineitem_trips.count()
 
 
+def tasks_of(path):
+    return {f.name.split("-")[1] for f in path.rglob("*.parquet")}
+
+
+def many_lines(spark, path):
+    """Trip lines of some 90 bytes, every key on a few of them, and some short ones."""
+    n = spark.range(0, 30_000, 1, 6).withColumn("k", F.xxhash64("id"))
+    cells = [F.concat(F.lit("M"), F.pmod("k", F.lit(700))), F.concat(F.lit("H"), F.pmod("k", F.lit(9_000))), *[F.lit("2013-01-01 05:00:00")] * 2, F.pmod("id", F.lit(900)), *[F.pmod("k", F.lit(1000 + i)) for i in range(12)]]
+    line = F.when(F.pmod("id", F.lit(50)) == 0, F.concat_ws(",", *cells[:2])).otherwise(F.concat_ws(",", *cells))
+    n.select(line.alias("value")).write.text(path)
+    return path
+
+
+def test_many_staged_files_of_one_size_need_few_tasks(spark, tmp_path):
+    text, out = many_lines(spark, str(tmp_path / "in")), tmp_path / "out"
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    staged = jobs.stage(spark, text, str(out), layout="trip17", file_bytes=8 * 1024)
+    sizes, tasks = sizes_of(out), tasks_of(out)
+    assert len(sizes) >= 8 * len(tasks) and sizes[-1] <= 2 * sizes[0]
+    plain = op.conform(op.rename_layout(sources.read_csv_permissive(spark, text, 17), "trip17"))
+    assert staged.schema == plain.schema
+    assert staged.exceptAll(plain).count() == 0 and plain.exceptAll(staged).count() == 0
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+def test_staging_again_in_files_of_another_size_replaces_all(spark, tmp_path):
+    text, out = many_lines(spark, str(tmp_path / "in")), tmp_path / "out"
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for size in (8 * 1024, 32 * 1024, 1024 * 1024, 8 * 1024):
+            staged = jobs.stage(spark, text, str(out), layout="trip17", file_bytes=size)
+            assert staged.count() == 30_000
+            assert any(p.name.startswith("piece=") for p in out.iterdir()) == (size < 1024 * 1024)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+
+
+def test_a_column_called_piece_is_staged_as_it_is(spark, tmp_path):
+    rows_ = spark.range(0, 20_000).select(F.col("id").alias("Piece"), F.xxhash64("id").alias("x"))
+    sinks.stage_parquet(rows_, str(tmp_path / "out"), file_bytes=8 * 1024, by=("x",), input_bytes=10**9)
+    assert spark.read.parquet(str(tmp_path / "out")).exceptAll(rows_).count() == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 20_000
+
+
 def test_sized_staging_is_a_rebalance(spark, lineitem_trips, tmp_path):
     plan = lineitem_trips.hint("rebalance", "medallion", "hack_license")._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan and "RoundRobin" not in plan

@@ -54,7 +54,8 @@ def stage(
     if by_day:
         sinks.stage_days(typed, staging, batch, file_bytes)
     else:
-        sinks.stage_parquet(typed, staging, files, file_bytes)
+        known = sources.listed_bytes(spark, path) if file_bytes else None
+        sinks.stage_parquet(typed, staging, files, file_bytes, input_bytes=known)
     return sources.read_staged(spark, staging, records)
 
 

@@ -12,6 +12,10 @@ from pyspark.sql.types import StringType
 
 from tripmetrics.functions import event_time
 
+#: A task of a sized set writes so many files at most, and shuffled bytes, and a set of few files has so many tasks at least.
+TASK_FILES, TASK_BYTES, LEAST_TASKS = 32, 8 * 1024 * 1024, 16
+PIECE = "piece"
+
 
 def staging_path(out_dir: str) -> str:
     """Default place of the staging set under an output directory."""
@@ -24,6 +28,7 @@ def stage_parquet(
     files: int | None = None,
     file_bytes: int | None = None,
     by: tuple[str, ...] = ("medallion", "hack_license"),
+    input_bytes: int | None = None,
 ) -> str:
     """Write a compact snappy Parquet set, replacing what is there; gives back its path.
 
@@ -32,6 +37,10 @@ def stage_parquet(
     of shuffled rows each: rows go by ``by``, and the adaptive plan splits what is larger and
     joins what is smaller, whatever the size of the input splits. ``files`` forces that many files, which
     suits small sets only.
+
+    To start a task of a write costs the same whatever it holds, which is much for a small file. Where
+    ``input_bytes`` says that the input is large, each task deals its rows out evenly to several files, one
+    in each of the folders ``piece=0``, ``piece=1``, ...
     """
     if files is not None and file_bytes is not None:
         raise ValueError("give files or file_bytes, not both")
@@ -40,12 +49,21 @@ def stage_parquet(
     if file_bytes is None:
         df.write.mode("overwrite").option("compression", "snappy").parquet(path)
         return path
-    with _advised(df.sparkSession, file_bytes):
+    named = PIECE in (c.lower() for c in df.columns)
+    each = 1 if named else _files_of_a_task(file_bytes, input_bytes or 0)
+    with _advised(df.sparkSession, each * file_bytes), _open_files(df.sparkSession, each):
         sized = df.hint("rebalance", *by)
-        sized.write.mode("overwrite").option("compression", "snappy").parquet(path)
+        if each > 1:
+            sized = sized.withColumn(PIECE, F.pmod(F.monotonically_increasing_id(), F.lit(each)).cast("int"))
+        writer = sized.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "snappy")
+        (writer.partitionBy(PIECE) if each > 1 else writer).parquet(path)
     return path
 
 
+def _files_of_a_task(file_bytes: int, input_bytes: int) -> int:
+    return max(1, min(TASK_FILES, TASK_BYTES // file_bytes, input_bytes // (LEAST_TASKS * file_bytes)))
+
+
 def _advised(spark: SparkSession, size: int) -> AbstractContextManager[None]:
     """The adaptive plan aims at ``size`` bytes for each task meanwhile."""
     wanted = {
@@ -58,6 +76,11 @@ def _advised(spark: SparkSession, size: int) -> AbstractContextManager[None]:
     return _settings(spark, wanted)
 
 
+def _open_files(spark: SparkSession, most: int) -> AbstractContextManager[None]:
+    """A task keeps the files of so many folders open meanwhile, and rows go straight into them, unsorted."""
+    return _settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(most)})
+
+
 @contextmanager
 def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
     before = {key: spark.conf.get(key, None) for key in wanted}
@@ -100,7 +123,7 @@ def write_text_folders(lines: DataFrame, path: str, by: str, open_files: int = 1
     No row is sorted: a task keeps the files of its folders open, as long as they are no more than ``open_files``, and
     rows go straight into them, so what a task holds does not grow with the rows of a folder.
     """
-    with _settings(lines.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(open_files)}):
+    with _open_files(lines.sparkSession, open_files):
         lines.write.partitionBy(by).text(path)
     return path
 
