@@ -241,6 +241,28 @@ def test_rare_secrets_are_found(spark):
     assert [r.doc_id for r in secret_forest.scan(docs).filter("secret").collect()] == [17_003]
 
 
+def test_rare_letter_pairs_of_a_large_input_have_a_likelihood(spark, monkeypatch):
+    """Billions of letter pairs, as over 6 GB of documents: one that no word holds still has a likelihood above 0."""
+    times, kept = 10**7, secret_forest.kept
+
+    def many(df, name, **options):
+        df = kept(df, name, **options)
+        return df.withColumn("count", F.col("count") * times) if name == "dictionary" else df
+
+    monkeypatch.setattr(secret_forest, "kept", many)
+    rows = [(k, f"see the page some_long_name_of_a_file_{k} for more", "a/b") for k in range(300)] + [(300, RARE, "a/b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    counts = Counter(w[i : i + 2] for w in ("see", "the", "page", "for", "more") * 300 for i in range(len(w) - 1))
+    counts.update(("to", "ok", "ke", "en"))  # of the secret's name
+    every = times * counts.total() + 26**2
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    want = [(times * counts[a + b] + 1) / every * 26**2 for a in letters for b in letters]
+    pairs, _ = secret_forest.dictionary(docs)
+    assert min(pairs) > 0 and pairs == pytest.approx(want, rel=1e-9)
+    found = secret_forest.scan(docs).collect()
+    assert len(found) == 301 and [r.doc_id for r in found if r.secret] == [300]
+
+
 def test_secret_scan_runs_no_python(documents):
     plan = secret_forest.scan(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

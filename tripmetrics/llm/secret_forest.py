@@ -130,7 +130,10 @@ def dictionary(docs: DataFrame) -> tuple[list[float], list[int]]:
     known = [0] * 26**3
     for row in grams(3).select("gram").distinct().collect():
         known[place(row.gram)] = 1
-    return [round((n + 1) / every * len(pairs), 6) for n in pairs], known
+    likely = [(n + 1) / every * len(pairs) for n in pairs]
+    short = [round(x, 6) for x in likely]
+    # Over a large input a rare pair would become 0, which has no logarithm: then none is rounded.
+    return short if all(short) else likely, known
 
 
 def _numbers(values: list, kind: str) -> Column:
